@@ -81,17 +81,14 @@ def scan_path_glob(spark, sf_dir):
 
 
 @query("scan_partition_pruned", """
-    SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS _ingestion_date FROM orders
-    WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)""")
+    SELECT 'ORD-' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS order_id, DATE '2001-08-01' AS _ingestion_date
+    FROM orders WHERE o_orderstatus = 'O'""")
 def scan_partition_pruned(spark, sf_dir):
-    """The last ingestion day of a table partitioned by day."""
-    path = scratch_path(spark, "orders-by-day")
-    orders = T.load(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("_ingestion_date")
-    )
-    report = write_table(orders, path, partition_by=["_ingestion_date"],
-                         metrics={"last_day": F.max("_ingestion_date").cast("string")})
-    return read_layer(spark, path, ingestion_date=report.metrics["last_day"])
+    """One ingestion day of a bronze table."""
+    path = scratch_path(spark, "bronze-orders")
+    orders = T.raw_orders(spark, sf_dir).withColumn("_ingestion_date", F.col("_ingested_at").cast("date"))
+    write_table(orders, path, partition_by=["_ingestion_date"])
+    return read_layer(spark, path, ingestion_date="2001-08-01").select("order_id", "_ingestion_date")
 
 
 @query("bronze_metadata", S.with_tables(S.RAW_ITEMS, """

@@ -183,7 +183,7 @@ def missing_references(spark, sf_dir):
 
 
 @query("rank_within_group", """
-    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_extendedprice,
+    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, l_returnflag, l_extendedprice,
       row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber,
         l_partkey, l_suppkey) AS price_rank
     FROM lineitem""")
