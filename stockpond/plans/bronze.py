@@ -46,6 +46,7 @@ def ingest_table(
         mode="overwrite" if replace_day else "append",
         partition_by=["_ingestion_date"],
         replace_only_written=replace_day,
+        gather=False,  # one run writes one day
     )
     log.info("%s: %d records to bronze", table, written.rows)
     return written

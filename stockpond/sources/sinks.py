@@ -24,6 +24,7 @@ def write_table(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     replace_only_written: bool = False,
+    gather: bool = True,
     metrics: Mapping[str, Column] | None = None,
 ) -> WriteReport:
     """Write a table and count its rows in the same job.
@@ -31,9 +32,11 @@ def write_table(
     Partitioned writes are rebalanced on the partition columns: rows of small
     partitions share a task, those of a large one are split over several, so
     there are neither thousands of tiny files nor one task with a hot day.
+    ``gather=False`` leaves out that shuffle where rows are in place already,
+    for instance when all of them belong to one partition.
     ``replace_only_written`` overwrites just the partitions that occur in ``df``.
     """
-    if partition_by:
+    if partition_by and gather:
         df = df.hint("rebalance", *partition_by)
     observed = Observation()
     extra = [expr.alias(name) for name, expr in (metrics or {}).items()]
