@@ -36,4 +36,5 @@ def top_per_group(df: DataFrame, group: Sequence[str], order_by: Sequence[Column
     large group sends at most ``k`` rows per task.
     """
     window = Window.partitionBy(*group).orderBy(*order_by)
-    return df.withColumn(name, F.row_number().over(window).cast("bigint")).where(F.col(name) <= k)
+    ranked = df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= k)
+    return ranked.withColumn(name, F.col(name).cast("bigint"))

@@ -26,7 +26,8 @@ def read_raw(
     A CSV header that does not match the contract is an error instead of a
     silent swap of columns. ``multi_line`` allows line breaks inside quotes
     but stops Spark from splitting files. ``keep_corrupt`` adds the text of
-    malformed records; ``match_pattern`` reads only files named like the table.
+    malformed records, and leaves the header unchecked because no header names
+    that column; ``match_pattern`` reads only files named like the table.
     """
     contract = source_table(table)
     schema = contract.schema
