@@ -6,8 +6,10 @@ from stockpond.functions.bands import (
     value_tier,
 )
 from stockpond.functions.money import (
-    exact,
+    differ_by,
+    from_micros,
     mean_exact,
+    micros,
     money,
     percent_of,
     sum_cents,
@@ -19,7 +21,7 @@ from stockpond.functions.text import clean_code, email_domain, is_valid_email, p
 
 __all__ = [
     "calendar_columns", "clean_code", "customer_segment", "customer_status", "date_key",
-    "email_domain", "exact", "is_valid_email", "mean_exact", "money", "parse_flag",
+    "differ_by", "email_domain", "from_micros", "is_valid_email", "mean_exact", "micros", "money", "parse_flag",
     "parse_timestamp", "percent_of", "person_name", "price_tier", "stock_status",
     "sum_cents", "sum_exact", "value_tier", "within_cent",
 ]

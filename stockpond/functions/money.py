@@ -1,8 +1,10 @@
 """Money arithmetic.
 
-Amounts are stored as doubles, but every rounding, comparison and sum goes
-through decimals or whole cents, so results depend neither on binary noise
-(0.335 * 3) nor on the order in which partitions are added up.
+Amounts are stored as doubles, but every rounding and comparison goes through
+whole millionths and every sum through whole cents or decimals, so results
+depend neither on binary noise (0.335 * 3) nor on the order in which
+partitions are added up. Whole numbers stay in generated code, where a
+decimal per value would allocate objects.
 """
 
 from __future__ import annotations
@@ -10,21 +12,28 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EXACT_TYPE = "decimal(18,6)"
+PER_UNIT = 1_000_000  # millionths in one currency unit
+PER_CENT = 10_000  # millionths in one cent
 
 
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def exact(value: Column | str) -> Column:
-    """The amount as a decimal with six places."""
-    return _col(value).cast(EXACT_TYPE)
+def micros(value: Column | str) -> Column:
+    """The amount in whole millionths; null if it is no number or beyond nine trillion."""
+    return F.rint(_col(value) * PER_UNIT).try_cast("bigint")
+
+
+def from_micros(value: Column) -> Column:
+    return value / F.lit(float(PER_UNIT))
 
 
 def money(value: Column | str) -> Column:
-    """The amount rounded half-up to cents."""
-    return F.round(exact(value), 2).cast("double")
+    """The amount rounded to cents, half a cent away from zero."""
+    whole = micros(value)
+    cents = F.call_function("div", F.abs(whole) + PER_CENT // 2, F.lit(PER_CENT).cast("bigint"))
+    return F.when(whole < 0, -cents).otherwise(cents) / F.lit(100.0)
 
 
 def percent_of(part: Column | str, whole: Column | str) -> Column:
@@ -33,14 +42,19 @@ def percent_of(part: Column | str, whole: Column | str) -> Column:
     return F.when(whole > 0, money(F.try_divide(part, whole) * 100)).otherwise(F.lit(0.0))
 
 
+def differ_by(left: Column, right: Column) -> Column:
+    """Distance of two amounts in millionths."""
+    return F.abs(micros(left) - micros(right))
+
+
 def within_cent(left: Column | str, right: Column | str) -> Column:
     """True when two amounts differ by less than one cent; null if either is null."""
-    return F.abs(exact(left) - exact(right)) < F.lit("0.01").cast("decimal(3,2)")
+    return differ_by(_col(left), _col(right)) < PER_CENT
 
 
 def sum_exact(value: Column | str) -> Column:
     """Order-independent sum of amounts with up to six places."""
-    return F.sum(exact(value)).cast("double")
+    return from_micros(F.sum(micros(value).cast("decimal(19,0)")).cast("double"))
 
 
 def mean_exact(value: Column | str) -> Column:
@@ -51,7 +65,7 @@ def mean_exact(value: Column | str) -> Column:
 def sum_cents(value: Column | str) -> Column:
     """Order-independent sum of amounts already rounded to cents.
 
-    Adds whole cents as bigint, which stays in generated code and is cheaper
-    than a decimal buffer. Use it only on columns made by ``money``.
+    Adds whole cents as bigint, which is cheaper than a decimal buffer. Use it
+    only on columns made by ``money``.
     """
     return F.sum(F.rint(_col(value) * 100).cast("bigint")) / F.lit(100.0)

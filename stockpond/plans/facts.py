@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockpond.functions.money import exact, money, percent_of, sum_cents, sum_exact
+from stockpond.functions.money import money, percent_of, sum_cents, sum_exact
 from stockpond.functions.temporal import date_key
 from stockpond.operators.numbering import number_rows
 
@@ -39,7 +39,7 @@ def sales_lines(items: DataFrame, orders: DataFrame, customer_dim: DataFrame, pr
         "cost_of_goods": money(F.col("quantity") * F.col("cost")),
         "allocated_tax": money(F.col("tax_amount") * share),
         "allocated_shipping": money(F.col("shipping_amount") * share),
-    }).withColumn("profit", money(exact("net_revenue") - exact("cost_of_goods")))
+    }).withColumn("profit", money(F.col("net_revenue") - F.col("cost_of_goods")))
     return measured.select(
         date_key("order_date").alias("date_key"),
         "customer_key",
@@ -78,8 +78,8 @@ def allocation_residuals(fact: DataFrame, orders: DataFrame) -> DataFrame:
     )
     return orders.select("order_id", "tax_amount", "shipping_amount").join(allocated, "order_id").select(
         "order_id",
-        money(exact("tax_amount") - exact("allocated_tax")).alias("tax_residual"),
-        money(exact("shipping_amount") - exact("allocated_shipping")).alias("shipping_residual"),
+        money(F.col("tax_amount") - F.col("allocated_tax")).alias("tax_residual"),
+        money(F.col("shipping_amount") - F.col("allocated_shipping")).alias("shipping_residual"),
     )
 
 
@@ -102,7 +102,7 @@ def order_totals(
         "shipping_amount": F.when(subtotal > FREE_SHIPPING_ABOVE, 0.0).otherwise(money("_quote")),
         "discount_amount": F.when(subtotal > DISCOUNT_ABOVE, money(subtotal * DISCOUNT_RATE)).otherwise(0.0),
     })
-    total = exact("subtotal") + exact("tax_amount") + exact("shipping_amount") - exact("discount_amount")
+    total = F.col("subtotal") + F.col("tax_amount") + F.col("shipping_amount") - F.col("discount_amount")
     return priced.select(
         "order_id",
         "customer_id",

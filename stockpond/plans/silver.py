@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stockpond.contracts import source_table
 from stockpond.functions.bands import customer_segment
-from stockpond.functions.money import exact, money, percent_of, within_cent
+from stockpond.functions.money import from_micros, micros, money, percent_of, within_cent
 from stockpond.functions.temporal import as_of_date, parse_timestamp
 from stockpond.functions.text import clean_code, email_domain, is_valid_email, parse_flag, person_name
 from stockpond.operators.dedup import latest_per_key
@@ -87,7 +87,8 @@ def silver_orders(bronze: DataFrame) -> DataFrame:
         "order_date": parse_timestamp("order_date"),
         **{name: _number(name) for name in amounts},
     })
-    expected = exact("subtotal") + exact("tax_amount") + exact("shipping_amount") - exact("discount_amount")
+    parts = micros("subtotal") + micros("tax_amount") + micros("shipping_amount") - micros("discount_amount")
+    expected = from_micros(parts)
     return typed.select(
         "order_id",
         "customer_id",
@@ -100,8 +101,8 @@ def silver_orders(bronze: DataFrame) -> DataFrame:
         clean_code("status").alias("status"),
         clean_code("payment_method").alias("payment_method"),
         *amounts,
-        expected.cast("double").alias("calculated_total"),
-        within_cent(F.col("total_amount"), expected).alias("is_total_valid"),
+        expected.alias("calculated_total"),
+        within_cent("total_amount", expected).alias("is_total_valid"),
         "currency",
         clean_code("shipping_country", "upper").alias("shipping_country"),
         "shipping_city",
@@ -123,7 +124,7 @@ def silver_order_items(bronze: DataFrame) -> DataFrame:
     return (
         typed.withColumn("gross_amount", gross)
         .withColumn("discount_amount", discount)
-        .withColumn("calculated_line_total", money(exact("gross_amount") - exact("discount_amount")))
+        .withColumn("calculated_line_total", money(F.col("gross_amount") - F.col("discount_amount")))
         .select(
             "order_item_id",
             "order_id",

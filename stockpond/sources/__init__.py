@@ -1,8 +1,8 @@
 from stockpond.sources.catalog import refresh_partitions, register_table
-from stockpond.sources.files import is_empty_source, path_exists, read_files, read_layer, read_raw
+from stockpond.sources.files import is_empty_source, path_exists, read_files, read_layer, read_raw, spread_rows
 from stockpond.sources.sinks import WriteReport, write_table
 
 __all__ = [
     "WriteReport", "is_empty_source", "path_exists", "read_files", "read_layer", "read_raw",
-    "refresh_partitions", "register_table", "write_table",
+    "refresh_partitions", "register_table", "spread_rows", "write_table",
 ]

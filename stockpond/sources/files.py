@@ -70,6 +70,21 @@ def read_layer(spark: SparkSession, path: str, ingestion_date: str | None = None
     return df
 
 
+def spread_rows(df: DataFrame, from_bytes: int = 2 << 20) -> DataFrame:
+    """Share out rows of a scan that has fewer tasks than there are cores.
+
+    A compressed text file or a Parquet file with one row group cannot be
+    split, so all work up to the next shuffle would run in one task. Large
+    scans have tasks enough and small ones are not worth it; both stay as they
+    are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size < from_bytes or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jpath, fs = hadoop_path(spark, path)
     return fs.exists(jpath)

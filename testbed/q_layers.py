@@ -304,7 +304,7 @@ def scd2_merge(spark, sf_dir):
         (F.col("c_acctbal") < 0).alias("moved"),
     )
     suppliers = T.load(spark, sf_dir, "supplier").select(
-        F.format_string("SUPP-%09d", F.col("s_suppkey")).alias("partner_id"), F.col("s_name").alias("name"),
+        T.code("SUPP-", "s_suppkey", 9).alias("partner_id"), F.col("s_name").alias("name"),
         F.concat(F.lit("nation "), F.col("s_nationkey").cast("string")).alias("place"),
     )
     first_load = number_rows(customers.drop("moved"), "partner_key", ["partner_id"]).withColumns({

@@ -15,13 +15,14 @@ from stockpond.contracts import COUNTRY_NAMES
 from stockpond.functions.money import money
 from stockpond.operators.numbering import number_rows
 from stockpond.plans import dimensions, facts, silver
+from stockpond.sources import spread_rows
 
 AS_OF = "2001-08-02"
 CLOCK_COLUMNS = ("_processed_at", "_created_at")
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread_rows(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -43,16 +44,20 @@ def every(key: str, n: int) -> Column:
     return F.col(key) % n == 0
 
 
+def code(prefix: str, key: str, width: int) -> Column:
+    return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), width, "0"))
+
+
 def customer_id(key: str) -> Column:
-    return F.format_string("CUST-%09d", F.col(key))
+    return code("CUST-", key, 9)
 
 
 def product_id(key: str) -> Column:
-    return F.format_string("PROD-%09d", F.col(key))
+    return code("PROD-", key, 9)
 
 
 def order_id(key: str) -> Column:
-    return F.format_string("ORD-%012d", F.col(key))
+    return code("ORD-", key, 12)
 
 
 def country_code(nation_key: str, otherwise: Column) -> Column:
@@ -90,7 +95,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         email.alias("email"),
         F.when(~every(key, 13), F.concat(F.lit(" "), F.lower("c_mktsegment"), F.lit(" "))).alias("first_name"),
         F.col("n_name").alias("last_name"),
-        F.format_string("+49 %09d ", F.col(key)).alias("phone"),
+        F.concat(code("+49 ", key, 9), F.lit(" ")).alias("phone"),
         F.concat(F.lit(" "), F.lower(country_code("c_nationkey", F.col("n_name")))).alias("country"),
         F.when(F.col("delivery") == 1, "Old Town")
         .otherwise(F.concat(F.lit(" City "), (F.col(key) % 7).cast("string"))).alias("city"),
@@ -185,7 +190,7 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(every(supplier, 50), "PROD-UNKNOWN").when(~every(supplier, 53), product_id("l_partkey"))
     )
     return load(spark, sf_dir, "lineitem").select(
-        F.format_string("ITEM-%012d-%d", "l_orderkey", "l_linenumber").alias("order_item_id"),
+        F.concat(code("ITEM-", "l_orderkey", 12), F.lit("-"), F.col("l_linenumber").cast("string")).alias("order_item_id"),
         F.when(every(supplier, 47), "ORD-UNKNOWN").otherwise(order_id("l_orderkey")).alias("order_id"),
         product.alias("product_id"),
         F.when(every(supplier, 59), "0").when(every(supplier, 67), "many")

@@ -34,6 +34,8 @@ def values(spark, rows, schema, column):
 
 
 def test_money_rounds_half_cents_up_despite_binary_noise(spark):
+    odd = [(float("nan"),), (float("inf"),), (1e300,), (-0.001,)]
+    assert values(spark, odd, "x double", money("x")) == [None, None, None, 0.0]
     rows = [(0.335 * 3,), (1.005,), (2.675,), (-1.005,), (41.666,), (None,)]
     assert values(spark, rows, "x double", money("x")) == [1.01, 1.01, 2.68, -1.01, 41.67, None]
 
