@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,14 @@ from stockpond.functions.money import mean_exact, sum_exact
 from stockpond.functions.temporal import as_of_date, calendar_columns
 from stockpond.operators.numbering import number_rows
 
+# Attributes whose changes open a new version of a member.
+TRACKED_ATTRIBUTES = {
+    "dim_product": ("sku", "name", "category", "subcategory", "brand", "price", "cost", "margin_percent", "is_active"),
+    "dim_customer": ("email", "full_name", "country", "city", "segment"),
+}
+NATURAL_KEYS = {"dim_product": "product_id", "dim_customer": "customer_id"}
+SURROGATE_KEYS = {"dim_product": "product_key", "dim_customer": "customer_key"}
+
 
 def calendar(spark: SparkSession, start_year: int = 2020, end_year: int = 2030) -> DataFrame:
     """One row per day of the given years, made inside Spark."""
@@ -78,6 +88,11 @@ def dim_product(products: DataFrame) -> DataFrame:
     return number_rows(described, "product_key", ["product_id"])
 
 
+def start_history(dimension: DataFrame, key: str, natural_key: str, tracked: Sequence[str]) -> DataFrame:
+    """Type 2 history of a dimension at its first load: every member with one open version."""
+    return dimension.select(key, natural_key, *tracked, "effective_from", "effective_to", "is_current")
+
+
 def customer_metrics(orders: DataFrame) -> DataFrame:
     """Order count, spend and dates per customer, over orders of every status."""
     return orders.groupBy("customer_id").agg(

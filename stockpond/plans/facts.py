@@ -16,6 +16,11 @@ REDUCED_RATE, FULL_RATE, FULL_RATE_COUNTRIES = 0.19, 0.21, ("NL", "BE")
 FREE_SHIPPING_ABOVE, DISCOUNT_ABOVE, DISCOUNT_RATE = 50, 200, 0.05
 
 
+def _current(dimension: DataFrame) -> DataFrame:
+    """The valid version of each member, where a dimension keeps history."""
+    return dimension.where("is_current") if "is_current" in dimension.columns else dimension
+
+
 def sales_lines(items: DataFrame, orders: DataFrame, customer_dim: DataFrame, product_dim: DataFrame) -> DataFrame:
     """One row per order item with dimension keys and measures, not numbered yet.
 
@@ -26,11 +31,11 @@ def sales_lines(items: DataFrame, orders: DataFrame, customer_dim: DataFrame, pr
     headers = orders.select(
         "order_id", "customer_id", "order_date", "status", "payment_method", "shipping_country",
         "subtotal", "tax_amount", "shipping_amount",
-    ).join(customer_dim.select("customer_id", "customer_key"), "customer_id")
+    ).join(_current(customer_dim).select("customer_id", "customer_key"), "customer_id")
     lines = items.select(
         "order_item_id", "order_id", "product_id", "quantity", "unit_price",
         "discount_percent", "discount_amount", "line_total",
-    ).join(product_dim.select("product_id", "product_key", "cost"), "product_id")
+    ).join(_current(product_dim).select("product_id", "product_key", "cost"), "product_id")
 
     share = F.try_divide(F.col("line_total"), F.col("subtotal"))
     measured = lines.join(headers, "order_id").withColumns({

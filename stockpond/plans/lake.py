@@ -7,7 +7,7 @@ layer. A table is never overwritten while it is being read.
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,7 +17,8 @@ from stockpond.plans.bronze import ingest_table
 from stockpond.plans.silver import build_silver, merge_silver
 from stockpond.quality.engine import enforce
 from stockpond.quality.suites import check_customers, check_order_items, check_orders, check_products
-from stockpond.session import stage
+from stockpond.operators.history import merge_history
+from stockpond.session import scratch_scope, stage
 from stockpond.sources.files import is_empty_source, path_exists, read_layer
 from stockpond.sources.sinks import WriteReport, write_table
 
@@ -65,9 +66,10 @@ def _silver_table(spark, lake, table, as_of, processing_date) -> WriteReport | N
         log.warning("%s: no bronze records, skipped", table)
         return None
     silver = build_silver(table, bronze, as_of)
-    if processing_date and path_exists(spark, target):
-        silver = stage(merge_silver(table, read_layer(spark, target), silver, as_of), f"silver-{table}")
-    return write_table(silver, target)
+    with scratch_scope(spark):
+        if processing_date and path_exists(spark, target):
+            silver = stage(merge_silver(table, read_layer(spark, target), silver, as_of), f"silver-{table}")
+        return write_table(silver, target)
 
 
 def run_quality(spark: SparkSession, lake: LakeConfig) -> DataFrame:
@@ -96,21 +98,42 @@ def run_gold(spark: SparkSession, lake: LakeConfig, as_of: str | None = None) ->
     silver = {table: read_layer(spark, lake.path("silver", table)) for table in SILVER_TABLES}
     reports = {}
 
-    def save(name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        reports[name] = write_table(df, lake.path("gold", name), partition_by=partition_by)
+    def save(name: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = ()) -> DataFrame:
+        with scratch_scope(spark):
+            reports[name] = write_table(build(), lake.path("gold", name), partition_by=partition_by)
         return read_layer(spark, lake.path("gold", name))
 
     days = dimensions.calendar(spark, lake.calendar_start_year, lake.calendar_end_year)
-    save("dim_date", dimensions.dim_date(days))
-    products = save("dim_product", dimensions.dim_product(silver["products"]))
-    customers = save("dim_customer", dimensions.dim_customer(silver["customers"], silver["orders"], as_of))
+    save("dim_date", lambda: dimensions.dim_date(days))
+    products = save("dim_product", lambda: dimensions.dim_product(silver["products"]))
+    customers = save("dim_customer", lambda: dimensions.dim_customer(silver["customers"], silver["orders"], as_of))
     fact = save(
         "fact_sales",
-        facts.fact_sales(silver["order_items"], silver["orders"], customers, products),
+        lambda: facts.fact_sales(silver["order_items"], silver["orders"], customers, products),
         partition_by=["date_key"],
     )
-    save("agg_daily_sales", marts.daily_sales(fact))
-    save("agg_product_performance", marts.product_performance(fact, products))
+    save("agg_daily_sales", lambda: marts.daily_sales(fact))
+    save("agg_product_performance", lambda: marts.product_performance(fact, products))
+    return reports
+
+
+def run_history(spark: SparkSession, lake: LakeConfig, effective: str) -> dict[str, WriteReport]:
+    """Carry the changes of the gold dimensions into their Type 2 histories.
+
+    The first call starts a history from the dimension; later calls close the
+    versions that changed by ``effective`` and open new ones.
+    """
+    reports = {}
+    for name, tracked in dimensions.TRACKED_ATTRIBUTES.items():
+        natural, key = dimensions.NATURAL_KEYS[name], dimensions.SURROGATE_KEYS[name]
+        latest, target = read_layer(spark, lake.path("gold", name)), lake.path("gold", f"{name}_history")
+        with scratch_scope(spark):
+            if path_exists(spark, target):
+                merged = merge_history(read_layer(spark, target), latest, natural, key, tracked, effective)
+                history = stage(merged, f"{name}-history")
+            else:
+                history = dimensions.start_history(latest, key, natural, tracked)
+            reports[name] = write_table(history, target)
     return reports
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,7 @@ DEFAULT_CONF = {
 
 _local_fallback: dict[str, str] = {}
 _prepared: set[str] = set()
+_scopes: list[list[str]] = []
 
 
 def build_session(app_name: str = "stockpond", master: str | None = None, **extra: str) -> SparkSession:
@@ -60,7 +63,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         fs.mkdirs(path)
         fs.deleteOnExit(path)
         _prepared.add(root)
-    return f"{root}/{label}-{uuid.uuid4().hex}"
+    path = f"{root}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the staged tables of a step as soon as the step is done.
+
+    Only for steps whose results are written before the scope ends.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for staged in _scopes.pop():
+            path, fs = hadoop_path(spark, staged)
+            fs.delete(path, True)
 
 
 def hadoop_path(spark: SparkSession, path: str):

@@ -12,7 +12,7 @@ from stockpond.contracts import LakeConfig, QualityLimits, source_table
 from stockpond.plans import lake as runs
 from stockpond.plans.bronze import ingest_table
 from stockpond.quality import DataQualityError
-from stockpond.session import scratch_path, shared_folder
+from stockpond.session import hadoop_path, scratch_path, shared_folder
 from stockpond.sources import is_empty_source, path_exists, read_files, read_layer, read_raw, register_table, write_table
 from stockpond.streaming import ingest_new_files
 
@@ -176,6 +176,10 @@ def test_whole_run(spark, lake):
     assert checks.count() == 34 and checks.where("not passed").isEmpty()
     assert path_exists(spark, lake.path("gold", "fact_sales/date_key=20240201"))
 
+    # histories start with one open version per member
+    assert {n: r.rows for n, r in runs.run_history(spark, lake, "2024-03-01").items()} == {
+        "dim_product": 2, "dim_customer": 2}
+
     # another delivery: one changed and one new order, merged from its ingestion day only
     put(Path(lake.path("raw", "orders")), "orders2.csv", ",".join(source_table("orders").columns)
         + "\nO2,C2,2024-02-02T10:00:00,delivered,paypal,20,4.2,4.99,0,29.19,EUR,nl,Delft\n"
@@ -188,6 +192,20 @@ def test_whole_run(spark, lake):
     again = runs.run_gold(spark, lake, as_of="2024-03-01")
     assert again["fact_sales"].rows == 3
 
+    # a price changes: the old version is closed, the customers stay as they are
+    put(Path(lake.path("raw", "products")), "products2.csv", ",".join(source_table("products").columns)
+        + "\nP1,s1,One,,Books,,B,12,4,5,True,2023-01-01\n")
+    runs.run_bronze(spark, lake, ["products"])
+    runs.run_silver(spark, lake, ["products"], processing_date=today.isoformat())
+    runs.run_gold(spark, lake, as_of="2024-03-02")
+    assert {n: r.rows for n, r in runs.run_history(spark, lake, "2024-03-02").items()} == {
+        "dim_product": 3, "dim_customer": 2}
+    versions = read_layer(spark, lake.path("gold", "dim_product_history")).where("product_id = 'P1'").collect()
+    assert {(r.product_key, r.price, r.is_current) for r in versions} == {(1, 10.0, False), (3, 12.0, True)}
+    _, fs = hadoop_path(spark, shared_folder(spark))
+    left = fs.listStatus(hadoop_path(spark, scratch_path(spark, "x").rsplit("/", 1)[0])[0])
+    assert not [s for s in left if "history" in s.getPath().getName() or "sale_key" in s.getPath().getName()]
+
 
 def test_gate_stops_a_run(spark, lake):
     put(Path(lake.path("raw", "order_items")), "bad.csv", ITEMS + "I9,OX,P1,1,1,0,1\n")
