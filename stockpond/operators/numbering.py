@@ -24,18 +24,28 @@ def _split(slot: str) -> tuple[Column, Column]:
 
 
 def number_rows(
-    df: DataFrame, name: str, order_by: Sequence[str | Column] = (), after: int = 0
+    df: DataFrame, name: str, order_by: Sequence[str | Column] = (), after: int = 0, ties: bool = False
 ) -> DataFrame:
     """Add ``name`` = ``after`` + 1 .. ``after`` + n in the given order (``name`` comes first).
 
-    The order should be total, otherwise equal rows share out their numbers
-    arbitrarily. Without an order rows are numbered as they arrive. The ordered
-    rows are staged, because range bounds come from sampling and a second run
-    of the same plan may cut elsewhere.
+    Without an order rows are numbered as they arrive. The ordered rows are
+    staged, because range bounds come from sampling and a second run of the
+    same plan may cut elsewhere.
+
+    The order is taken to be total. Where many rows may be equal in it, say
+    ``ties=True``: rows then get an arrival number first, which decides among
+    equal rows and lets a range of equal rows be cut into several tasks. That
+    number is staged too, so that a repeated task sends every row to the same
+    place.
     """
-    if order_by:
-        df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    staged = stage(df.withColumn("_slot", F.monotonically_increasing_id()), f"numbered-{name}")
+    columns, order = df.columns, list(order_by)
+    if order and ties:
+        df = stage(df.withColumn("_arrival", F.monotonically_increasing_id()), f"arrivals-{name}")
+        order.append(F.col("_arrival"))
+    if order:
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    staged = stage(df.select(*[F.col(f"`{c}`") for c in columns], F.monotonically_increasing_id().alias("_slot")),
+                   f"numbered-{name}")
     partition, position = _split("_slot")
     # One row per written partition: bounded by the number of tasks, not by the data.
     sizes = staged.groupBy(partition.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
@@ -45,7 +55,7 @@ def number_rows(
     return (
         staged.withColumn("_part", partition)
         .join(F.broadcast(offsets), "_part")
-        .select(number, *[F.col(f"`{c}`") for c in df.columns])
+        .select(number, *[F.col(f"`{c}`") for c in columns])
     )
 
 

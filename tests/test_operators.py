@@ -95,6 +95,15 @@ def test_numbering_gives_the_same_keys_to_every_reader(skewed):
     assert {(r.n, r.id) for r in numbered.collect()} == {(r.n, r.id) for r in numbered.collect()}
 
 
+def test_numbering_cuts_through_equal_rows(spark):
+    """Copies of one key are numbered by several tasks, and ahead of the greater keys."""
+    rows = spark.range(0, 6000, 1, 6).select(F.when(F.col("id") % 3 == 0, "z").otherwise("hot").alias("k"))
+    numbered = number_rows(rows, "n", ["k"], ties=True)
+    got = sorted((r.n, r.k) for r in numbered.collect())
+    assert [n for n, _ in got] == list(range(1, 6001))
+    assert [k for _, k in got] == ["hot"] * 4000 + ["z"] * 2000
+
+
 def test_numbering_an_empty_table(spark):
     assert number_rows(spark.range(0), "n", ["id"]).collect() == []
 
