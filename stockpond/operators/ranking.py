@@ -11,15 +11,18 @@ from stockpond.operators.numbering import number_rows
 from stockpond.session import stage
 
 
-def rank_within(df: DataFrame, group: Sequence[str], order_by: Sequence[Column], name: str) -> DataFrame:
+def rank_within(
+    df: DataFrame, group: Sequence[str], order_by: Sequence[Column], name: str, ties: bool = False
+) -> DataFrame:
     """Number the rows of each group 1..m in the given total order, for every row.
 
     A group can hold most of the table, so it is not gathered in one task:
     rows are numbered over (group, order) across the table and the first
     number of the row's group is subtracted. The table of group starts is
     staged; its file size tells the planner whether it may be broadcast.
+    ``ties=True`` is for orders in which many rows may be equal.
     """
-    numbered = number_rows(df, "_position", [*[F.col(c) for c in group], *order_by])
+    numbered = number_rows(df, "_position", [*[F.col(c) for c in group], *order_by], ties=ties)
     starts = stage(
         numbered.groupBy(*[F.col(c).alias(f"_g_{c}") for c in group]).agg(F.min("_position").alias("_first")),
         "group-starts",

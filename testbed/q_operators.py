@@ -194,4 +194,4 @@ def rank_within_group(spark, sf_dir):
     )
     order = [F.col("l_extendedprice").desc(), F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"),
              F.col("l_suppkey")]
-    return T.comparable(rank_within(lines, ["l_returnflag"], order, "price_rank"))
+    return T.comparable(rank_within(lines, ["l_returnflag"], order, "price_rank", ties=True))
