@@ -54,8 +54,6 @@ SOURCE_TABLES = {
     )
 }
 
-LINEAGE_COLUMNS = ("_ingested_at", "_source_file", "_ingestion_date")
-
 # Allowed codes.
 ORDER_STATUSES = ("pending", "confirmed", "shipped", "delivered", "cancelled", "returned")
 PAYMENT_METHODS = ("credit_card", "debit_card", "paypal", "bank_transfer", "cash_on_delivery")
@@ -76,8 +74,14 @@ COUNTRY_NAMES = (
 )
 
 SILVER_TABLES = tuple(SOURCE_TABLES)
-GOLD_TABLES = ("dim_date", "dim_product", "dim_customer", "fact_sales",
-               "agg_daily_sales", "agg_product_performance")
+GOLD_PARTITIONS = {
+    "dim_date": (),
+    "dim_product": (),
+    "dim_customer": (),
+    "fact_sales": ("date_key",),
+    "agg_daily_sales": (),
+    "agg_product_performance": (),
+}
 
 
 def source_table(name: str) -> SourceTable:
@@ -90,11 +94,15 @@ def source_table(name: str) -> SourceTable:
 
 @dataclass(frozen=True)
 class QualityLimits:
-    """Tolerances of a run. Percentages apply to required fields and key duplicates."""
+    """Tolerances of a run.
+
+    Percentages apply to required fields and key duplicates; the age is that of
+    the newest ingested row, ``None`` leaves it unchecked.
+    """
 
     max_null_percentage: float = 1.0
     max_duplicate_percentage: float = 0.1
-    max_data_age_hours: float = 48
+    max_data_age_hours: float | None = 48
     fail_on_error: bool = True
 
 

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockpond.contracts import SILVER_TABLES, LakeConfig, source_table
+from stockpond.contracts import GOLD_PARTITIONS, SILVER_TABLES, LakeConfig, source_table
 from stockpond.plans import dimensions, facts, marts
 from stockpond.plans.bronze import ingest_table
 from stockpond.plans.silver import build_silver, merge_silver
@@ -19,6 +19,7 @@ from stockpond.quality.engine import enforce
 from stockpond.quality.suites import check_customers, check_order_items, check_orders, check_products
 from stockpond.operators.history import merge_history
 from stockpond.session import scratch_scope, stage
+from stockpond.sources.catalog import register_table
 from stockpond.sources.files import is_empty_source, path_exists, read_layer
 from stockpond.sources.sinks import WriteReport, write_table
 
@@ -72,15 +73,15 @@ def _silver_table(spark, lake, table, as_of, processing_date) -> WriteReport | N
         return write_table(silver, target)
 
 
-def run_quality(spark: SparkSession, lake: LakeConfig) -> DataFrame:
-    """Check the silver tables, keep the results as a table and stop the run if the gate is closed."""
+def run_quality(spark: SparkSession, lake: LakeConfig, as_of: str | None = None) -> DataFrame:
+    """Check the silver tables (their age as of the given moment or now), keep the results as a table and stop the run if the gate is closed."""
     silver = {table: read_layer(spark, lake.path("silver", table)) for table in SILVER_TABLES}
     limits = lake.limits
     results = (
-        check_customers(silver["customers"], limits)
-        .unionByName(check_products(silver["products"], limits))
-        .unionByName(check_orders(silver["orders"], silver["customers"], limits))
-        .unionByName(check_order_items(silver["order_items"], silver["orders"], silver["products"], limits))
+        check_customers(silver["customers"], limits, as_of)
+        .unionByName(check_products(silver["products"], limits, as_of))
+        .unionByName(check_orders(silver["orders"], silver["customers"], limits, as_of))
+        .unionByName(check_order_items(silver["order_items"], silver["orders"], silver["products"], limits, as_of))
     )
     path = lake.path("quality", "silver_checks")
     write_table(results, path)
@@ -110,7 +111,7 @@ def run_gold(spark: SparkSession, lake: LakeConfig, as_of: str | None = None) ->
     fact = save(
         "fact_sales",
         lambda: facts.fact_sales(silver["order_items"], silver["orders"], customers, products),
-        partition_by=["date_key"],
+        partition_by=GOLD_PARTITIONS["fact_sales"],
     )
     save("agg_daily_sales", lambda: marts.daily_sales(fact))
     save("agg_product_performance", lambda: marts.product_performance(fact, products))
@@ -147,6 +148,16 @@ def check_load(spark: SparkSession, lake: LakeConfig) -> tuple[DataFrame, DataFr
     return keys, marts.business_totals(gold["fact_sales"])
 
 
+def register_layers(spark: SparkSession, lake: LakeConfig, database: str) -> list[str]:
+    """Make the silver and gold tables known to the catalog; returns their names."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    layers = [("silver", table, ()) for table in SILVER_TABLES]
+    layers += [("gold", table, partition_by) for table, partition_by in GOLD_PARTITIONS.items()]
+    for layer, table, partition_by in layers:
+        register_table(spark, f"{database}.{table}", lake.path(layer, table), partition_by)
+    return [f"{database}.{table}" for _, table, _ in layers]
+
+
 def run_all(spark: SparkSession, lake: LakeConfig, as_of: str | None = None, file_format: str = "csv") -> dict:
     """All layers in order."""
     bronze = run_bronze(spark, lake, file_format=file_format)

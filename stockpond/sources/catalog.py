@@ -7,15 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
-def register_table(spark: SparkSession, name: str, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def register_table(
+    spark: SparkSession, name: str, path: str, partition_by: Sequence[str] = (), merge_schema: bool = False
+) -> DataFrame:
     """Register Parquet files as an external table and return it.
 
-    The schema is the union of all file schemas; partitions are discovered.
+    Partitions are discovered. A table of that name is defined anew, which
+    takes up changed columns and leaves the files alone. ``merge_schema``
+    unites the schemas of all files instead of taking that of one, at the cost
+    of reading every file footer.
     """
-    schema = spark.read.option("mergeSchema", True).parquet(path).schema
+    schema = spark.read.option("mergeSchema", merge_schema).parquet(path).schema
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     partitioning = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {partitioning} LOCATION '{path}'")
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "MANAGED":
+        raise ValueError(f"{name} is a managed table; registering would delete its data")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {partitioning} LOCATION '{path}'")
     if partition_by:
         refresh_partitions(spark, name)
     return spark.table(name)

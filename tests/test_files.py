@@ -13,7 +13,7 @@ from stockpond.plans import lake as runs
 from stockpond.plans.bronze import ingest_table
 from stockpond.quality import DataQualityError
 from stockpond.session import hadoop_path, scratch_path, shared_folder
-from stockpond.sources import is_empty_source, path_exists, read_files, read_layer, read_raw, register_table, write_table
+from stockpond.sources import is_empty_source, path_exists, read_files, read_layer, read_raw, refresh_partitions, register_table, write_table
 from stockpond.streaming import ingest_new_files
 
 ITEMS = "order_item_id,order_id,product_id,quantity,unit_price,discount_percent,line_total\n"
@@ -121,8 +121,13 @@ def test_catalog_sees_new_partitions_and_columns(spark, tmp_path):
     assert register_table(spark, "catalog_test", path, ["p"]).count() == 1
     spark.createDataFrame([(2, 5, "y")], "v int, w int, p string").write.mode("append").partitionBy("p").parquet(path)
     assert read_layer(spark, path, merge_schema=True).columns == ["v", "w", "p"]
-    spark.sql("MSCK REPAIR TABLE catalog_test")
+    refresh_partitions(spark, "catalog_test")
     assert spark.sql("SELECT sum(v) FROM catalog_test WHERE p = 'y'").first()[0] == 2
+    spark.range(1).write.saveAsTable("managed_test")
+    with pytest.raises(ValueError, match="managed"):
+        register_table(spark, "managed_test", path)
+    assert register_table(spark, "catalog_test", path, ["p"], merge_schema=True).columns == ["v", "w", "p"]
+    assert spark.sql("SELECT sum(w) FROM catalog_test").first()[0] == 5
 
 
 def test_incremental_ingest_takes_each_file_once(spark, tmp_path):
@@ -173,9 +178,17 @@ def test_whole_run(spark, lake):
     assert all(r.null_keys == 0 and r.orphan_rows == 0 for r in keys.collect())
     assert totals.first().total_revenue == 50.0
     checks = read_layer(spark, lake.path("quality", "silver_checks"))
-    assert checks.count() == 34 and checks.where("not passed").isEmpty()
+    assert checks.count() == 38 and checks.where("not passed").isEmpty()
     assert path_exists(spark, lake.path("gold", "fact_sales/date_key=20240201"))
 
+    # all tables can be queried by name
+    assert len(runs.register_layers(spark, lake, "shop")) == 10
+    assert len(runs.register_layers(spark, lake, "shop")) == 10
+    best = spark.sql("""SELECT p.name, sum(f.net_revenue) AS revenue FROM shop.fact_sales f
+                        JOIN shop.dim_product p USING (product_key) WHERE f.date_key >= 20240201
+                        GROUP BY p.name ORDER BY revenue DESC LIMIT 1""").first()
+    assert best[:] == ("Two", 40.0)
+
     # histories start with one open version per member
     assert {n: r.rows for n, r in runs.run_history(spark, lake, "2024-03-01").items()} == {
         "dim_product": 2, "dim_customer": 2}
@@ -215,6 +228,8 @@ def test_gate_stops_a_run(spark, lake):
         runs.run_quality(spark, lake)
     relaxed = LakeConfig(lake.root, QualityLimits(fail_on_error=False))
     assert runs.run_quality(spark, relaxed).where("not passed").count() == 1
+    late = runs.run_quality(spark, relaxed, as_of="2100-01-01").where("not passed and severity = 'warning'")
+    assert late.count() == 4 and late.where("check_name = 'freshness__ingested_at'").count() == 4
 
 
 def test_gold_needs_every_silver_table(spark, lake):
