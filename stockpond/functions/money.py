@@ -30,10 +30,11 @@ def from_micros(value: Column) -> Column:
 
 
 def money(value: Column | str) -> Column:
-    """The amount rounded to cents, half a cent away from zero."""
-    whole = micros(value)
-    cents = F.call_function("div", F.abs(whole) + PER_CENT // 2, F.lit(PER_CENT).cast("bigint"))
-    return F.when(whole < 0, -cents).otherwise(cents) / F.lit(100.0)
+    """The amount rounded to cents, half a cent away from zero.
+
+    Mentions ``value`` once, so nested amounts do not multiply in the plan.
+    """
+    return from_micros(F.round(micros(value), -4))
 
 
 def percent_of(part: Column | str, whole: Column | str) -> Column:

@@ -137,11 +137,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One delivery per order, and an earlier, still pending one for open orders."""
     key, buyer = "o_orderkey", "o_custkey"
     deliveries = F.when(F.col("o_orderstatus") == "O", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(2)))
-    subtotal = F.when(every(key, 43), 0.0).otherwise(money(F.col("o_totalprice") / 4000))
-    tax = money(subtotal * 0.19)
-    shipping = F.when(every(key, 4), 4.99).otherwise(0.0)
-    discount = F.when(subtotal > 100, money(subtotal * 0.05)).otherwise(0.0)
-    total = money(subtotal + tax + shipping - discount + F.when(every(key, 5), 0.02).otherwise(0.0))
+    subtotal = F.col("subtotal")
+    parts = F.col("subtotal") + F.col("tax") + F.col("shipping") - F.col("discount")
+    total = money(parts + F.when(every(key, 5), 0.02).otherwise(0.0))
     status = (
         F.when(F.col("delivery") == 1, "pending")
         .when(every(key, 29), "LOST")
@@ -160,6 +158,11 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = load(spark, sf_dir, "orders").withColumns({
         "delivery": F.explode(deliveries),
         "ship_to": F.col(buyer) % len(COUNTRY_NAMES),
+        "subtotal": F.when(every(key, 43), 0.0).otherwise(money(F.col("o_totalprice") / 4000)),
+    }).withColumns({
+        "tax": money(subtotal * 0.19),
+        "shipping": F.when(every(key, 4), 4.99).otherwise(0.0),
+        "discount": F.when(subtotal > 100, money(subtotal * 0.05)).otherwise(0.0),
     })
     return placed.select(
         order_id(key).alias("order_id"),
@@ -168,9 +171,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         status.alias("status"),
         payment.alias("payment_method"),
         subtotal.cast("string").alias("subtotal"),
-        F.when(~every(key, 37), tax.cast("string")).alias("tax_amount"),
-        shipping.cast("string").alias("shipping_amount"),
-        discount.cast("string").alias("discount_amount"),
+        F.when(~every(key, 37), F.col("tax").cast("string")).alias("tax_amount"),
+        F.col("shipping").cast("string").alias("shipping_amount"),
+        F.col("discount").cast("string").alias("discount_amount"),
         total.cast("string").alias("total_amount"),
         F.lit("EUR").alias("currency"),
         F.concat(F.lower(country_code("ship_to", F.lit(""))), F.lit(" ")).alias("shipping_country"),
@@ -184,18 +187,18 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines; a line number occurs more than once in an order, the last shipped one counts."""
     supplier = "l_suppkey"
     unit_price = money(F.col("l_extendedprice") / F.col("l_quantity"))
-    line_total = money(F.col("l_quantity") * unit_price * (1 - F.col("l_discount")))
+    line_total = money(F.col("l_quantity") * F.col("price") * (1 - F.col("l_discount")))
     off_by = F.when(every(supplier, 61), 0.02).otherwise(0.0)
     product = (
         F.when(every(supplier, 50), "PROD-UNKNOWN").when(~every(supplier, 53), product_id("l_partkey"))
     )
-    return load(spark, sf_dir, "lineitem").select(
+    return load(spark, sf_dir, "lineitem").withColumn("price", unit_price).select(
         F.concat(code("ITEM-", "l_orderkey", 12), F.lit("-"), F.col("l_linenumber").cast("string")).alias("order_item_id"),
         F.when(every(supplier, 47), "ORD-UNKNOWN").otherwise(order_id("l_orderkey")).alias("order_id"),
         product.alias("product_id"),
         F.when(every(supplier, 59), "0").when(every(supplier, 67), "many")
         .otherwise(F.col("l_quantity").cast("int").cast("string")).alias("quantity"),
-        unit_price.cast("string").alias("unit_price"),
+        F.col("price").cast("string").alias("unit_price"),
         money(F.col("l_discount") * 100).cast("string").alias("discount_percent"),
         money(line_total + off_by).cast("string").alias("line_total"),
         F.col("l_shipdate").cast("timestamp").alias("_ingested_at"),
