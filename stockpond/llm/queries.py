@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockpond.llm import line_dedup
+from stockpond.llm import lang_id, line_dedup
 from stockpond.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,15 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@_query
+def op6_lang_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from two thirds of them."""
+    docs = table(spark, folder, "documents")
+    held_out = lang_id.fold_of(F.col("doc_id"), 3) == 1
+    model = lang_id.fit(docs.where(~held_out))
+    return lang_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+
+
 @_query
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines found in ten documents or more leave every document."""
