@@ -86,9 +86,14 @@ class LanguageModel:
 
 def fit(docs: DataFrame, per_lang: int = 2000, buckets: int = 1 << 16) -> LanguageModel:
     """Learn from ``text`` and non-null ``lang``, from at most ``per_lang`` texts of each language."""
-    pick = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
+    labelled = docs.select("text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull())
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    # Hashes below the cut leave about twice the rows of the sample, so no language gathers its texts in one task.
+    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
+    pick = Window.partitionBy("lang").orderBy("draw", "text")
     sample = (
-        docs.select("text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull())
+        labelled.withColumn("draw", draw).join(F.broadcast(sizes), "lang")  # a row per language
+        .where(F.col("draw") < F.greatest(F.lit(2 * per_lang), F.lit(64)) / F.col("size") * (1 << 40))
         .withColumn("pick", F.row_number().over(pick)).where(F.col("pick") <= per_lang).select("text", "lang")
     )
 
