@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockpond.llm import lang_id, line_dedup
+from stockpond.llm import lang_id, line_dedup, piece_codec, piece_counts
 from stockpond.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,21 @@ def op6_lang_id(spark: SparkSession, folder: str) -> DataFrame:
     return lang_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
 
 
+@_query
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The number of unigram pieces of every document."""
+    counted = piece_counts.count_tokens(table(spark, folder, "documents").select("doc_id", "text"))
+    return counted.select("doc_id", "n_tokens", "n_words", "path_score")
+
+
+@_query
+def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document as piece ids, decoded again: number and digest of the ids, and whether the text came back."""
+    coded = piece_codec.encode(table(spark, folder, "documents").select("doc_id", "text"), check=True)
+    return coded.select("doc_id", F.size("piece_ids").cast("bigint").alias("n_pieces"),
+                        F.xxhash64("piece_ids").alias("ids_hash"), "round_trip")
+
+
 @_query
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines found in ten documents or more leave every document."""
