@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockpond.llm import lang_id, line_dedup, piece_codec, piece_counts
+from stockpond.llm import decontaminate, lang_id, line_dedup, piece_codec, piece_counts, secret_scan
 from stockpond.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,12 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@_query
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every document: base patterns and runs that pass the randomness battery."""
+    return secret_scan.secrets(table(spark, folder, "documents"))
+
+
 @_query
 def op6_lang_id(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learned from two thirds of them."""
@@ -50,6 +56,12 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@_query
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """The benchmark items that each document contains."""
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 SQL["op9_line_dedup"] = """
 WITH cut AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
