@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockpond.llm import decontaminate, lang_id, line_dedup, piece_codec, piece_counts, secret_scan
+from stockpond.llm import decontaminate, lang_id, line_dedup, order_minhash, piece_codec, piece_counts, secret_scan
 from stockpond.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,12 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@_query
+def op2_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """The class of near duplicates of every document."""
+    return order_minhash.classes(table(spark, folder, "documents"))
+
+
 @_query
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of every document: base patterns and runs that pass the randomness battery."""
