@@ -19,7 +19,8 @@ k-mer Jaccard similarity of 0.67.
    leader, until none is left.
 4. A pair is verified by an alignment in a band that doubles until it holds
    the distance or passes the limit. A member whose distance to the leader may
-   still allow a link to a member that was verified is compared with those too.
+   still allow a link to a member that was verified is compared with those too,
+   unless they are in one class already.
 5. Classes are the connected components of the verified pairs.
 
 Null texts, and texts without words, are classes of their own. Repeated
@@ -73,7 +74,7 @@ def sketch(kmers: np.ndarray, sketches: int, picks: int, cells: int = 1 << 21) -
     step = max(1, cells // len(labelled))
     for first in range(0, sketches, step):
         seeds = mix64(np.arange(first + 1, min(sketches, first + step) + 1, dtype=np.uint64))
-        # An odd multiplier and the high half of the product: a random order per sketch.
+        # An odd multiplier and a shift per sketch: a random order of the labelled k-mers.
         ranks = (labelled[None, :] * (seeds[:, None] | np.uint64(1)) + (seeds[:, None] >> np.uint64(7))) >> np.uint64(1)
         ranks ^= ranks >> np.uint64(29)
         places = np.argpartition(ranks, keep - 1, axis=1)[:, :keep] if keep < len(labelled) else (
@@ -102,7 +103,7 @@ def banded_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
         return limit + 1
     if not len(a):
         return len(b)
-    band = 8
+    band = max(8, len(b) - len(a))
     while True:
         band = min(band, limit)
         found = _in_band(a, b, band)
@@ -220,34 +221,47 @@ def candidate_pairs(buckets: DataFrame) -> DataFrame:
 
 def near_pairs(texts: DataFrame, similarity: float, sketches: int, picks: int) -> DataFrame:
     """Verified pairs (a, b) of different texts that connect all near duplicates that share a sketch."""
-    buckets = stage(_sketched(texts, sketches, picks), "sketches")
-    sizes = buckets.select("bucket", "id", "size")
-    links = None
+    members = stage(_sketched(texts, sketches, picks), "sketches")
+    rounds: list[DataFrame] = []
     tested = None
     while True:
-        star = stage(candidate_pairs(sizes), "stars")
+        star = stage(candidate_pairs(members), "stars")
         if star.isEmpty():
-            return links if links is not None else star.select(F.col("leader").alias("a"), F.col("id").alias("b"))
+            break
         pairs = star.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
         fresh = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
         results = stage(_verified(fresh, texts, similarity), "verified")
-        seen = results if tested is None else tested.unionByName(results)
-        rated = star.withColumnsRenamed({"leader": "a", "id": "b"}).join(seen, ["a", "b"])
-        # Triangle inequality: a member this far from its leader cannot be near to one this close to it.
-        near = rated.where("linked").groupBy("bucket").agg(F.max("distance").alias("reach"))
-        missed = stage(
-            rated.where(~F.col("linked")).join(near, "bucket", "left")
-            .withColumn("open", F.col("distance") - F.coalesce("reach", F.lit(0))
-                        <= F.ceil((1 - similarity) / similarity * F.col("size")))
-            .select("bucket", F.col("b").alias("id"), "size", "open", "reach"), "missed")
-        doubtful = missed.where(F.col("open") & F.col("reach").isNotNull()).select("bucket", F.col("id").alias("x"))
-        across = rated.where("linked").select("bucket", F.col("b").alias("y")).join(doubtful, "bucket").select(
-            F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        extra = stage(_verified(across, texts, similarity), "across")
-        found = stage(seen.where("linked").select("a", "b").unionByName(extra.where("linked").select("a", "b")), "links")
-        links = found if links is None else links.unionByName(found)
-        tested = seen
-        sizes = missed.select("bucket", "id", "size")
+        tested = results if tested is None else tested.unionByName(results)
+        rated = stage(star.withColumnsRenamed({"leader": "a", "id": "b"}).join(tested, ["a", "b"]), "rated")
+        rounds.append(rated)
+        members = rated.where(~F.col("linked")).select("bucket", F.col("b").alias("id"), "size")
+    if tested is None:
+        return star.select(F.col("leader").alias("a"), F.col("id").alias("b"))
+    links = tested.where("linked").select("a", "b")
+    return links.unionByName(_across(rounds, stage(components(links), "first-classes"), texts, similarity)).distinct()
+
+
+def _across(rounds: list[DataFrame], roots: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links between members that a leader accepted and members that it refused, where there may be some.
+
+    By the triangle inequality a member far from its leader cannot be near to
+    one close to it; and members of one class need no further link.
+    """
+    found = []
+    for rated in rounds:
+        near = rated.where("linked").groupBy("bucket", "a").agg(F.max("distance").alias("reach"))
+        slack = F.floor((1 - similarity) / similarity * F.col("size") + 1e-9)  # the largest limit of a pair with this size
+        doubtful = rated.where(~F.col("linked")).join(near, ["bucket", "a"]).where(
+            F.col("distance") - F.col("reach") <= slack).select("bucket", "a", F.col("b").alias("x"))
+        left, right = (roots.select(F.col("id").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "x"))
+        apart = doubtful.join(left, "a", "left").join(right, "x", "left").where(
+            F.coalesce("root_a", "a") != F.coalesce("root_x", "x")).select("bucket", "a", "x")
+        accepted = rated.where("linked").select("bucket", "a", F.col("b").alias("y"))
+        found.append(accepted.join(apart, ["bucket", "a"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    return stage(_verified(every.distinct(), texts, similarity), "across").where("linked").select("a", "b")
 
 
 def components(pairs: DataFrame) -> DataFrame:
