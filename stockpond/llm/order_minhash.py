@@ -16,7 +16,7 @@ k-mer Jaccard similarity of 0.67.
    random order that is the same for all buckets) is paired with all others,
    so a bucket of any size gives one pair per document. Members that turn out
    different from their leader form a bucket of their own, with the next
-   leader, until none is left.
+   leaders, until none is left.
 4. A pair is verified by an alignment in a band that doubles until it holds
    the distance or passes the limit. A member whose distance to the leader may
    still allow a link to a member that was verified is compared with those too,
@@ -31,7 +31,7 @@ Null texts, and texts without words, are classes of their own. Repeated
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockpond.llm.common import map_rows, mix64
@@ -103,15 +103,39 @@ def banded_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
         return limit + 1
     if not len(a):
         return len(b)
-    band = max(8, len(b) - len(a))
+    band = max(16, len(b) - len(a))
     while True:
         band = min(band, limit)
-        found = _in_band(a, b, band)
+        found = (_furthest if (2 * band + 1) * len(a) <= 1 << 22 else _in_band)(a, b, band)
         if found <= band or band >= limit:
             return min(found, limit + 1)
         band *= 4
 
 
+def _furthest(a: np.ndarray, b: np.ndarray, band: int) -> int:
+    """As ``_in_band``, by the furthest row that each diagonal of the band reaches with 0, 1, 2, ... edits."""
+    n, m, width = len(a), len(b), 2 * band + 1
+    padded = np.concatenate([np.full(band, -1, np.int64), b.view(np.int64), np.full(n + band, -1, np.int64)])
+    differs = np.lib.stride_tricks.sliding_window_view(padded, n)[:width] != a.view(np.int64)
+    stop = np.full((width, n + 1), n, np.int32)  # where a run of equal symbols ends, from each row of a diagonal
+    stop[:, :n] = np.where(differs, np.arange(n, dtype=np.int32), n)
+    stop = np.minimum.accumulate(stop[:, ::-1], axis=1)[:, ::-1]
+    diagonal = np.arange(width)
+    last = np.minimum(n, m - (diagonal - band))
+    reach = np.full(width, -(1 << 29), np.int64)
+    reach[band] = stop[band, 0]
+    for edits in range(band + 1):
+        if edits:
+            step = reach + 1
+            step[1:] = np.maximum(step[1:], reach[:-1])
+            step[:-1] = np.maximum(step[:-1], reach[1:] + 1)
+            step = np.minimum(step, last)
+            reach = np.where(step >= 0, stop[diagonal, np.maximum(step, 0)], step)
+        if reach[band + m - n] >= n:
+            return edits
+    return band + 1
+
+
 def _in_band(a: np.ndarray, b: np.ndarray, band: int) -> int:
     """Edit distance over paths that stay within ``band`` of the diagonal; exact if the result is at most ``band``."""
     width = 2 * band + 1
@@ -212,20 +236,36 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
                     f"a {kind}, b {kind}, distance int, linked boolean", rows=128)
 
 
-def candidate_pairs(buckets: DataFrame) -> DataFrame:
-    """(bucket, leader, id) of the members of each bucket other than its leader."""
-    order = F.struct(F.xxhash64("id").alias("r"), "id")
-    leaders = buckets.groupBy("bucket").agg(F.min(order)["id"].alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return buckets.join(leaders.select("bucket", "leader"), "bucket").where(F.col("id") != F.col("leader"))
+def candidate_pairs(buckets: DataFrame, leaders: int) -> DataFrame:
+    """(bucket, leader, id, size, leads): the first members of each bucket with all that come after them.
+
+    ``leads`` tells whether ``id`` is itself one of the leaders.
+    """
+    order = Window.partitionBy("bucket").orderBy("r", "id")
+    ordered = buckets.withColumn("r", F.xxhash64("id"))
+    first = ordered.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= leaders).select(
+        "bucket", F.col("id").alias("leader"), F.col("r").alias("r_leader"))
+    own = first.select("bucket", F.col("leader").alias("id"), F.lit(True).alias("leads"))
+    after = (F.col("r") > F.col("r_leader")) | ((F.col("r") == F.col("r_leader")) & (F.col("id") > F.col("leader")))
+    return ordered.join(first, "bucket").where(after).join(own, ["bucket", "id"], "left").select(
+        "bucket", "leader", "id", "size", F.coalesce("leads", F.lit(False)).alias("leads"))
+
 
+def near_pairs(texts: DataFrame, similarity: float, sketches: int, picks: int, leaders: int = 16) -> DataFrame:
+    """Verified pairs (a, b) of different texts that connect all near duplicates that share a sketch.
 
-def near_pairs(texts: DataFrame, similarity: float, sketches: int, picks: int) -> DataFrame:
-    """Verified pairs (a, b) of different texts that connect all near duplicates that share a sketch."""
+    The first round takes one leader per bucket, as most buckets are copies of
+    one text; the rounds after it, over what differs from it, ``leaders``.
+    """
     members = stage(_sketched(texts, sketches, picks), "sketches")
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    members = stage(members.join(shared, "bucket"), "shared-sketches")
+    involved = members.select(F.col("id").alias("rep")).distinct()
+    texts = stage(texts.join(involved, "rep", "left_semi"), "involved-texts")
     rounds: list[DataFrame] = []
     tested = None
     while True:
-        star = stage(candidate_pairs(members), "stars")
+        star = stage(candidate_pairs(members, leaders if rounds else 1), "stars")
         if star.isEmpty():
             break
         pairs = star.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
@@ -234,7 +274,8 @@ def near_pairs(texts: DataFrame, similarity: float, sketches: int, picks: int) -
         tested = results if tested is None else tested.unionByName(results)
         rated = stage(star.withColumnsRenamed({"leader": "a", "id": "b"}).join(tested, ["a", "b"]), "rated")
         rounds.append(rated)
-        members = rated.where(~F.col("linked")).select("bucket", F.col("b").alias("id"), "size")
+        members = rated.where(~F.col("leads")).groupBy("bucket", F.col("b").alias("id"), "size").agg(
+            F.max("linked").alias("linked")).where(~F.col("linked")).select("bucket", "id", "size")
     if tested is None:
         return star.select(F.col("leader").alias("a"), F.col("id").alias("b"))
     links = tested.where("linked").select("a", "b")

@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockpond.llm import decontaminate, lang_id, line_dedup, order_minhash, piece_codec, piece_counts, secret_scan
+from stockpond.llm import (
+    decontaminate,
+    hidden_markov,
+    lang_id,
+    line_dedup,
+    order_minhash,
+    piece_codec,
+    piece_counts,
+    pivot_search,
+    secret_scan,
+)
 from stockpond.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,12 +35,44 @@ def op2_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return order_minhash.classes(table(spark, folder, "documents"))
 
 
+@_query
+def op3_pivot_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The twenty highest inner products of every twentieth vector with all others."""
+    found = pivot_search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+SQL["op3_pivot_search"] = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, x.vec_id, CAST(list_dot_product(q.v, x.v) AS BIGINT) AS score
+  FROM whole q JOIN whole x ON q.vec_id <> x.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 @_query
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of every document: base patterns and runs that pass the randomness battery."""
     return secret_scan.secrets(table(spark, folder, "documents"))
 
 
+@_query
+def op5_hidden_markov(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probabilities of every document under the unigram base and the hidden Markov model."""
+    docs = table(spark, folder, "documents")
+    held_out = lang_id.fold_of(F.col("doc_id"), 5) == 1
+    scored = hidden_markov.score(docs, ~held_out)
+    return scored.select("doc_id", (lang_id.fold_of(F.col("doc_id"), 5) == 1).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score")
+
+
 @_query
 def op6_lang_id(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learned from two thirds of them."""
