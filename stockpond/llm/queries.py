@@ -17,6 +17,7 @@ from stockpond.llm import (
     piece_counts,
     pivot_search,
     secret_scan,
+    token_shards,
 )
 from stockpond.llm.common import table
 
@@ -29,6 +30,12 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@_query
+def op1_training_order(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as shards of shuffled sequences; one row per sequence."""
+    return token_shards.write_shards(table(spark, folder, "documents"), token_shards.shard_folder(spark))
+
+
 @_query
 def op2_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """The class of near duplicates of every document."""
