@@ -90,11 +90,11 @@ class CuckooFilter:
             column = (free_rank == (rank + 1)[:, None]).argmax(axis=1)
             self.slots[bucket[fits], column[fits]] = mark[fits]
             bucket, mark = bucket[~fits], mark[~fits]
-            if turn % 2 == 0:  # try the other bucket before anything is displaced
+            if turn == 0:  # try the other bucket before anything is displaced
                 bucket = self._other(bucket, mark)
                 continue
             lead = np.r_[True, bucket[1:] != bucket[:-1]] if len(bucket) else np.zeros(0, bool)
-            column = (turn // 2 + bucket[lead]) % self.WIDTH
+            column = (turn + bucket[lead]) % self.WIDTH
             out = self.slots[bucket[lead], column].copy()
             self.slots[bucket[lead], column] = mark[lead]
             mark[lead] = out

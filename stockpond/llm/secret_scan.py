@@ -167,15 +167,12 @@ def limits(scanned: DataFrame, rate: float = 0.05) -> dict[tuple[str, int], floa
         noise = bins[_BINS // 2:].sum() / (_BINS - _BINS // 2)  # runs of noise per bin
         kept = np.cumsum(bins[::-1])[::-1]  # runs at or above the lower edge of each bin
         true = noise * np.arange(_BINS, 0, -1)
-        share = np.maximum(0, kept - true) / np.maximum(kept, 1)
-        good = (share <= rate) & (kept >= 1)
-        good[0] = False  # a class of nothing but words has no limit at 0
-        # The lowest edge from which on no higher edge is worse.
-        edge = _BINS
-        while edge > 1 and (good[edge - 1] or kept[edge - 1] == 0):
-            edge -= 1
-        if edge < _BINS:
-            found[key] = edge / _BINS
+        # What exceeds noise by more than two standard deviations of its count is taken for false discoveries.
+        share = np.maximum(0, kept - true - 2 * np.sqrt(true)) / np.maximum(kept, 1)
+        good = (share <= rate) & (bins[_BINS // 2:].sum() >= 5)
+        good[0] = False  # words pile up there
+        if good.any():
+            found[key] = int(good.argmax()) / _BINS  # the lowest limit that keeps the rate
     return found
 
 
