@@ -9,10 +9,11 @@ recompute or invert. Slot ``s`` is record ``s % per_shard`` of shard
 ``s // per_shard``, at byte ``record * 2 * length``; ids are unsigned 16-bit
 numbers, lowest byte first. A reader goes on from any slot by seeking there.
 
-Texts are tokenised once and staged, compressed; the number of ids of each
-written part gives every text its place. Pieces of sequences are dealt out by
-ranges of shards, and one task writes whole shards: under a name of its own
-first, then moved, so a repeated task leaves the same files.
+Texts are tokenised once and staged, compressed, each with the number of ids
+before it in its task; the sizes of the tasks, one row each, add up to its
+place. Pieces of sequences are dealt out by ranges of shards, and one task
+writes whole shards: under a name of its own first, then moved, so a repeated
+task leaves the same files.
 
 Null and empty texts are just the end id. Repeated rows are repeated texts.
 """
@@ -22,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stockpond.llm.common import map_rows, mix64
+from stockpond.llm.common import map_rows, mix64, ranges
 from stockpond.session import stage
 
 DEFAULT_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -77,48 +79,62 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def tokenise(docs: DataFrame, ranks: str = DEFAULT_RANKS) -> DataFrame:
-    """(doc_id, n_tokens, ids): ids of each text with the end id, as compressed bytes."""
+    """(doc_id, part, inside, n_tokens, ids): ids of each text with the end id, as compressed bytes.
+
+    ``inside`` counts the ids before the text in its task ``part``. Both hold
+    only in a written copy: a task that runs again may see its rows in another
+    order, but a written part comes from one run.
+    """
     table = read_ranks(ranks)
     if len(table) >= 1 << 16:
         raise ValueError("ids of this vocabulary do not fit 16 bits")
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def make():
+        import sys
+
         import tiktoken
         import zstandard
+        from pyspark import TaskContext
 
         coder = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=shared.value, special_tokens={})
-        pack = zstandard.ZstdCompressor(level=6)
+        pack = zstandard.ZstdCompressor(level=1)
         end = len(shared.value)
+        part = TaskContext.get().partitionId()
+        before = 0
+
+        def packed(ids: array) -> bytes:
+            if sys.byteorder == "big":
+                ids.byteswap()
+            return pack.compress(ids.tobytes())
 
         def step(rows: dict[str, list]) -> dict[str, list]:
-            ids = [np.append(coder.encode_to_numpy(t or "", allowed_special=set(), disallowed_special=()), end)
-                   for t in rows["text"]]
-            return {"doc_id": rows["doc_id"], "n_tokens": [len(i) for i in ids],
-                    "ids": [pack.compress(i.astype("<u2").tobytes()) for i in ids]}
+            nonlocal before
+            ids = [array("H", coder.encode_ordinary(t or "")) for t in rows["text"]]
+            for each in ids:
+                each.append(end)
+            sizes = np.array([len(each) for each in ids], np.int64)
+            inside = before + np.cumsum(sizes) - sizes
+            before += int(sizes.sum())
+            return {"doc_id": rows["doc_id"], "part": [part] * len(ids), "inside": inside, "n_tokens": sizes,
+                    "ids": [packed(each) for each in ids]}
 
         return step
 
     kind = dict(docs.dtypes)["doc_id"]
-    return map_rows(docs.select("doc_id", "text"), make, f"doc_id {kind}, n_tokens bigint, ids binary")
+    return map_rows(docs.select("doc_id", "text"), make,
+                    f"doc_id {kind}, part int, inside bigint, n_tokens bigint, ids binary")
 
 
 def _placed(tokens: DataFrame) -> tuple[DataFrame, int]:
     """The staged texts with the number of ids before each, and the number of all ids."""
-    part, position = F.shiftright("row", 33), F.col("row").bitwiseAND(F.lit((1 << 33) - 1))
-    staged = stage(tokens.withColumn("row", F.monotonically_increasing_id()), "tokens").withColumn(
-        "part", part).withColumn("position", position)
-    # One row per written part gives the ids before it; within a part they are added up in the order of its rows.
-    sizes = staged.groupBy("part").agg(F.sum("n_tokens").alias("size"))
+    staged = stage(tokens, "tokens")
+    sizes = staged.groupBy("part").agg(F.sum("n_tokens").alias("size"))  # one row per task
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = sizes.select("part", "size", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("first"))
+    parts = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("first"))
     total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    within = Window.partitionBy("part").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
-    counts = staged.select("row", "part", "position", "n_tokens")
-    starts = stage(
-        counts.withColumn("inside", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
-        .join(F.broadcast(parts), "part").select("row", (F.col("first") + F.col("inside")).alias("start")), "starts")
-    return staged.select("doc_id", "row", "ids").join(starts, "row"), total
+    return staged.join(F.broadcast(parts), "part").select(
+        "doc_id", (F.col("first") + F.col("inside")).alias("start"), "n_tokens", "ids"), total
 
 
 def write_shards(
@@ -143,29 +159,34 @@ def write_shards(
         import zstandard
 
         unpack = zstandard.ZstdDecompressor()
-        pack = zstandard.ZstdCompressor(level=3)
+        pack = zstandard.ZstdCompressor(level=1)
 
         def step(rows: dict[str, list]) -> dict[str, list]:
-            out: dict[str, list] = {c: [] for c in ("shard", "slot", "number", "at", "doc_id", "ids")}
-            for doc, start, packed in zip(rows["doc_id"], rows["start"], rows["ids"], strict=True):
-                ids = unpack.decompress(packed)
-                last = start + len(ids) // 2
-                numbers = np.arange(start // length, (last - 1) // length + 1)
-                for number, slot in zip(numbers.tolist(), order.slots(numbers).tolist(), strict=True):
-                    a, b = max(start, number * length), min(last, (number + 1) * length)
-                    out["shard"].append(slot // per_shard)
-                    out["slot"].append(slot)
-                    out["number"].append(number)
-                    out["at"].append(a - number * length)
-                    out["doc_id"].append(doc)
-                    out["ids"].append(pack.compress(ids[2 * (a - start): 2 * (b - start)]))
-            return out
+            # The sequences that each text touches, and the part of the text in each.
+            start, size = np.array(rows["start"], np.int64), np.array(rows["n_tokens"], np.int64)
+            touched = (start + size - 1) // length - start // length + 1
+            owner = np.repeat(np.arange(len(start)), touched)
+            number = ranges(touched) + (start // length)[owner]
+            first = np.maximum(start[owner], number * length)
+            last = np.minimum((start + size)[owner], (number + 1) * length)
+            slot = order.slots(number)
+            ids: list[bytes] = []
+            spans = zip(owner.tolist(), (2 * (first - start[owner])).tolist(), (2 * (last - start[owner])).tolist(), strict=True)
+            text, whole = -1, b""
+            for k, a, b in spans:
+                if k != text:
+                    text, whole = k, unpack.decompress(rows["ids"][k])
+                ids.append(pack.compress(whole[a:b]))
+            return {"shard": slot // per_shard, "slot": slot, "number": number, "at": first - number * length,
+                    "doc_id": [rows["doc_id"][k] for k in owner.tolist()], "ids": ids}
 
         return step
 
     pieces = map_rows(placed, make, f"shard bigint, slot bigint, number bigint, at int, doc_id {kind}, ids binary", rows=256)
     shards = -(-sequences // per_shard)
-    dealt = pieces.repartitionByRange(int(min(shards, 10_000)), "shard") if shards > 1 else pieces.coalesce(1)
+    tasks = min(shards, 10_000)
+    # Slots are uniform and dense, so the ranges are known and need no sampling pass over the pieces.
+    dealt = pieces.repartitionById(tasks, F.expr(f"cast(shard * {tasks} div {shards} as int)"))
     root = path.rstrip("/")
     _make_folder(root)
 
