@@ -24,7 +24,7 @@ import hashlib
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -78,36 +78,77 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, file)}
 
 
-def tokenise(docs: DataFrame, ranks: str = DEFAULT_RANKS) -> DataFrame:
+class _Packing:
+    """Compression of short runs of ids against common ones, which a run of a few kilobytes is too short to hold itself.
+
+    ``common`` only shortens the packed form; runs without anything in common with it unpack as well.
+    """
+
+    LEVEL = 6
+
+    def __init__(self, common: bytes):
+        self.common = common
+
+    def _shared(self):
+        import zstandard
+
+        return zstandard.ZstdCompressionDict(self.common, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+
+    def packer(self) -> Callable[[bytes], bytes]:
+        import zstandard
+
+        shared = self._shared()
+        shared.precompute_compress(level=self.LEVEL)
+        return zstandard.ZstdCompressor(level=self.LEVEL, dict_data=shared).compress
+
+    def unpacker(self) -> Callable[[bytes], bytes]:
+        import zstandard
+
+        return zstandard.ZstdDecompressor(dict_data=self._shared()).decompress
+
+
+def _coder(table: dict[bytes, int]):
+    import tiktoken
+
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
+
+
+def _id_bytes(ids: array) -> bytes:
+    """The ids, lowest byte first."""
+    import sys
+
+    if sys.byteorder == "big":
+        ids = array("H", ids)
+        ids.byteswap()
+    return ids.tobytes()
+
+
+def common_ids(docs: DataFrame, table: dict[bytes, int], texts: int = 64, size: int = 1600) -> bytes:
+    """About 50 KB of ids for ``_Packing``: the beginnings, ``size`` characters long, of at most ``texts`` texts."""
+    some = docs.where(F.length("text") > 0).select(F.substring("text", 1, size).alias("text")).limit(texts).collect()
+    coder = _coder(table)
+    return b"".join(_id_bytes(array("H", coder.encode_ordinary(r["text"]))) for r in some) or bytes(16)
+
+
+def tokenise(docs: DataFrame, table: dict[bytes, int], packing: _Packing) -> DataFrame:
     """(doc_id, part, inside, n_tokens, ids): ids of each text with the end id, as compressed bytes.
 
     ``inside`` counts the ids before the text in its task ``part``. Both hold
     only in a written copy: a task that runs again may see its rows in another
     order, but a written part comes from one run.
     """
-    table = read_ranks(ranks)
     if len(table) >= 1 << 16:
         raise ValueError("ids of this vocabulary do not fit 16 bits")
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def make():
-        import sys
-
-        import tiktoken
-        import zstandard
         from pyspark import TaskContext
 
-        coder = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=shared.value, special_tokens={})
-        pack = zstandard.ZstdCompressor(level=1)
+        coder, pack = _coder(shared.value), packing.packer()
         end = len(shared.value)
         part = TaskContext.get().partitionId()
         before = 0
 
-        def packed(ids: array) -> bytes:
-            if sys.byteorder == "big":
-                ids.byteswap()
-            return pack.compress(ids.tobytes())
-
         def step(rows: dict[str, list]) -> dict[str, list]:
             nonlocal before
             ids = [array("H", coder.encode_ordinary(t or "")) for t in rows["text"]]
@@ -117,7 +158,7 @@ def tokenise(docs: DataFrame, ranks: str = DEFAULT_RANKS) -> DataFrame:
             inside = before + np.cumsum(sizes) - sizes
             before += int(sizes.sum())
             return {"doc_id": rows["doc_id"], "part": [part] * len(ids), "inside": inside, "n_tokens": sizes,
-                    "ids": [packed(each) for each in ids]}
+                    "ids": [pack(_id_bytes(each)) for each in ids]}
 
         return step
 
@@ -146,8 +187,10 @@ def write_shards(
     of the record, and first_doc, the ``doc_id`` its first id belongs to.
     """
     spark = docs.sparkSession
-    placed, total = _placed(tokenise(docs, ranks))
-    end = len(read_ranks(ranks))
+    table = read_ranks(ranks)
+    end = len(table)
+    packing = _Packing(common_ids(docs, table))
+    placed, total = _placed(tokenise(docs, table, packing))
     sequences = -(-total // length)
     kind = dict(docs.dtypes)["doc_id"]
     ddl = f"slot bigint, number bigint, shard bigint, byte_offset bigint, crc32 bigint, first_doc {kind}"
@@ -156,10 +199,7 @@ def write_shards(
     order = Permutation(sequences, key)
 
     def make():
-        import zstandard
-
-        unpack = zstandard.ZstdDecompressor()
-        pack = zstandard.ZstdCompressor(level=1)
+        pack, unpack = packing.packer(), packing.unpacker()
 
         def step(rows: dict[str, list]) -> dict[str, list]:
             # The sequences that each text touches, and the part of the text in each.
@@ -175,8 +215,8 @@ def write_shards(
             text, whole = -1, b""
             for k, a, b in spans:
                 if k != text:
-                    text, whole = k, unpack.decompress(rows["ids"][k])
-                ids.append(pack.compress(whole[a:b]))
+                    text, whole = k, unpack(rows["ids"][k])
+                ids.append(pack(whole[a:b]))
             return {"shard": slot // per_shard, "slot": slot, "number": number, "at": first - number * length,
                     "doc_id": [rows["doc_id"][k] for k in owner.tolist()], "ids": ids}
 
@@ -191,9 +231,7 @@ def write_shards(
     _make_folder(root)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        unpack = zstandard.ZstdDecompressor()
+        unpack = packing.unpacker()
         shard, file, record = None, None, None
         rows: list[tuple] = []
 
@@ -216,7 +254,7 @@ def write_shards(
                             file.close()
                         shard, file = s, _Shard(root, s)
                     record = (slot, number, [], doc)
-                record[2].append(unpack.decompress(ids))
+                record[2].append(unpack(ids))
             yield _written(rows, ddl_schema)
             rows.clear()
         flush()
