@@ -15,8 +15,12 @@ k-mer Jaccard similarity of 0.67.
 3. The documents of one sketch are a bucket. Its leader (the one first in a
    random order that is the same for all buckets) is paired with all others,
    so a bucket of any size gives one pair per document. Members that turn out
-   different from their leader form a bucket of their own, with the next
-   leaders, until none is left.
+   different from their leader meet the next leaders once. Those still left,
+   mostly documents that only share a passage, are dealt anew by their rarest
+   k-mers: of two near duplicates, both with their labelled k-mers ordered from
+   rare to frequent, the first ``1 - similarity`` and one more have a k-mer in
+   common. So no link is lost, and a passage, however frequent, makes no
+   bucket. Leaders and rounds go on in the new buckets until none is left.
 4. A pair is verified by an alignment in a band that doubles until it holds
    the distance or passes the limit. A member whose distance to the leader may
    still allow a link to a member that was verified is compared with those too,
@@ -66,18 +70,23 @@ def occurrence_labels(kmers: np.ndarray) -> np.ndarray:
     return out
 
 
+def labelled(kmers: np.ndarray) -> np.ndarray:
+    """Numbers of the k-mers together with their occurrence: all different within a text."""
+    return mix64(kmers + occurrence_labels(kmers).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def sketch(kmers: np.ndarray, sketches: int, picks: int, cells: int = 1 << 21) -> np.ndarray:
     """One 64-bit number per sketch."""
-    labelled = mix64(kmers + occurrence_labels(kmers).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    keep = min(picks, len(labelled))
+    labels = labelled(kmers)
+    keep = min(picks, len(labels))
     out = np.empty(sketches, np.uint64)
-    step = max(1, cells // len(labelled))
+    step = max(1, cells // len(labels))
     for first in range(0, sketches, step):
         seeds = mix64(np.arange(first + 1, min(sketches, first + step) + 1, dtype=np.uint64))
         # An odd multiplier and a shift per sketch: a random order of the labelled k-mers.
-        ranks = (labelled[None, :] * (seeds[:, None] | np.uint64(1)) + (seeds[:, None] >> np.uint64(7))) >> np.uint64(1)
+        ranks = (labels[None, :] * (seeds[:, None] | np.uint64(1)) + (seeds[:, None] >> np.uint64(7))) >> np.uint64(1)
         ranks ^= ranks >> np.uint64(29)
-        places = np.argpartition(ranks, keep - 1, axis=1)[:, :keep] if keep < len(labelled) else (
+        places = np.argpartition(ranks, keep - 1, axis=1)[:, :keep] if keep < len(labels) else (
             np.tile(np.arange(keep), (len(seeds), 1)))
         places.sort(axis=1)  # the order of the text
         value = seeds.copy()
@@ -171,20 +180,22 @@ def _bag_bound(a: np.ndarray, b: np.ndarray) -> int:
 
 def _representatives(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, rep) of all documents with words, and (rep, text) of the representatives."""
-    joined = F.array_join(F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != ""), " ")
-    known = (
-        docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", joined.alias("text"))
-        .where(F.col("text") != "").select(
-            "doc_id", "text", F.xxhash64("text").alias("k1"), F.xxhash64("text", F.lit(1)).alias("k2"))
-    )
+    words = F.trim(F.regexp_replace(F.lower("text"), r"\s+", " "))
+
+    def keyed_texts(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("text", words).where(F.col("text") != "").withColumns({
+            "k1": F.xxhash64("text"), "k2": F.xxhash64("text", F.lit(1))})
+
+    given = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
+    known = keyed_texts(given)
     keyed = known.select("doc_id", "k1", "k2")
     once = keyed.groupBy("doc_id").agg(F.min(F.struct("k1", "k2")).alias("k")).select("doc_id", "k.k1", "k.k2")
     groups = once.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     # Members meet their representative by a join, as a group of copies may be of any size.
     members = stage(once.join(groups, ["k1", "k2"]).select("doc_id", "rep", "k1", "k2"), "copies")
-    chosen = members.where(F.col("doc_id") == F.col("rep")).select("rep", "k1", "k2")
-    texts = known.join(chosen, (known.doc_id == chosen.rep) & (known.k1 == chosen.k1) & (known.k2 == chosen.k2)).select(
-        "rep", "text")
+    chosen = members.where(F.col("doc_id") == F.col("rep")).select("rep", F.col("k1").alias("r1"), F.col("k2").alias("r2"))
+    texts = keyed_texts(given.join(chosen, F.col("doc_id") == F.col("rep"))).where(
+        (F.col("k1") == F.col("r1")) & (F.col("k2") == F.col("r2"))).select("rep", "text")
     return members.select("doc_id", "rep"), stage(texts.dropDuplicates(["rep"]), "distinct-texts")
 
 
@@ -251,11 +262,43 @@ def candidate_pairs(buckets: DataFrame, leaders: int) -> DataFrame:
         "bucket", "leader", "id", "size", F.coalesce("leads", F.lit(False)).alias("leads"))
 
 
+def rare_buckets(texts: DataFrame, similarity: float) -> DataFrame:
+    """(bucket, id, size): each text in the bucket of each of its rarest labelled k-mers.
+
+    A text of n k-mers has to take (1 - ``similarity``) * n + 1 of them: near
+    duplicates differ in fewer, so they share one of these whatever the order,
+    as long as it is the same for all texts. Rare ones first makes small buckets.
+    """
+
+    def make():
+        def step(rows: dict[str, list]) -> dict[str, list]:
+            out: dict[str, list] = {"id": rows["rep"], "size": [], "buckets": []}
+            for text in rows["text"]:
+                kmers = kmer_hashes(text.split(" "))
+                out["size"].append(len(kmers))
+                out["buckets"].append(labelled(kmers).view(np.int64))
+            return out
+
+        return step
+
+    kind = dict(texts.dtypes)["rep"]
+    made = map_rows(texts, make, f"id {kind}, size int, buckets array<bigint>", rows=256)
+    held = stage(made.select("id", "size", F.explode("buckets").alias("bucket")), "kmers")
+    counted = held.join(held.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "bucket")
+    rarest = Window.partitionBy("id").orderBy("n", "bucket")
+    wanted = F.floor((1 - similarity) * F.col("size") + 1e-9) + 1
+    return counted.withColumn("place", F.row_number().over(rarest)).where(
+        (F.col("place") <= wanted) & (F.col("n") > 1)).select("bucket", "id", "size")
+
+
 def near_pairs(texts: DataFrame, similarity: float, sketches: int, picks: int, leaders: int = 16) -> DataFrame:
     """Verified pairs (a, b) of different texts that connect all near duplicates that share a sketch.
 
     The first round takes one leader per bucket, as most buckets are copies of
     one text; the rounds after it, over what differs from it, ``leaders``.
+    What is left after the second is dealt anew by ``rare_buckets``; from there
+    on each round takes twice the leaders of the one before, as most members
+    are no near duplicates of any, and rounds stay few.
     """
     members = stage(_sketched(texts, sketches, picks), "sketches")
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
@@ -265,17 +308,20 @@ def near_pairs(texts: DataFrame, similarity: float, sketches: int, picks: int, l
     rounds: list[DataFrame] = []
     tested = None
     while True:
-        star = stage(candidate_pairs(members, leaders if rounds else 1), "stars")
+        star = stage(candidate_pairs(members, leaders << max(0, len(rounds) - 2) if rounds else 1), "stars")
         if star.isEmpty():
             break
         pairs = star.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
         fresh = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
         results = stage(_verified(fresh, texts, similarity), "verified")
-        tested = results if tested is None else tested.unionByName(results)
+        tested = results if tested is None else stage(tested.unionByName(results), "tested")
         rated = stage(star.withColumnsRenamed({"leader": "a", "id": "b"}).join(tested, ["a", "b"]), "rated")
         rounds.append(rated)
         members = rated.where(~F.col("leads")).groupBy("bucket", F.col("b").alias("id"), "size").agg(
             F.max("linked").alias("linked")).where(~F.col("linked")).select("bucket", "id", "size")
+        if len(rounds) == 2:
+            left = stage(members.select(F.col("id").alias("rep")).distinct(), "left")
+            members = rare_buckets(texts.join(left, "rep", "left_semi"), similarity)
     if tested is None:
         return star.select(F.col("leader").alias("a"), F.col("id").alias("b"))
     links = tested.where("linked").select("a", "b")
