@@ -162,5 +162,5 @@ def run_all(spark: SparkSession, lake: LakeConfig, as_of: str | None = None, fil
     """All layers in order."""
     bronze = run_bronze(spark, lake, file_format=file_format)
     silver = run_silver(spark, lake, as_of=as_of)
-    run_quality(spark, lake)
+    run_quality(spark, lake, as_of)
     return {"bronze": bronze, "silver": silver, "gold": run_gold(spark, lake, as_of)}
