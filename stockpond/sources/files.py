@@ -60,9 +60,9 @@ def read_files(
 
 
 def read_layer(spark: SparkSession, path: str, ingestion_date: str | None = None, merge_schema: bool = False) -> DataFrame:
-    """Parquet table of a layer; with a date, only that ingestion partition is listed and read.
+    """Parquet table of a layer; with a date, only the files of that ingestion partition are read.
 
-    An empty date means the whole table.
+    All partitions are listed. An empty date means the whole table.
     """
     df = spark.read.option("mergeSchema", merge_schema).parquet(path)
     if ingestion_date:
