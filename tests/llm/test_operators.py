@@ -125,6 +125,31 @@ def test_classes_against_all_pairs(documents):
     assert order_minhash.keep_one(docs).select("doc_id").distinct().count() == len(set(root))
 
 
+def test_near_texts_share_a_rare_bucket(spark):
+    draw = random.Random(11)
+    passage, texts = words(7, 50), []
+    for k in range(20):
+        base = passage + words(500 + k, draw.randint(10, 60))
+        texts.append(list(base))
+        for _ in range(draw.randint(0, 2)):
+            base[draw.randrange(len(base))] = "changed"
+            del base[: draw.randint(0, 4)]
+        texts.append(base)
+    texts += [["one"], ["one", "two"], ["one", "two"]]
+    given = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "rep bigint, text string")
+    buckets: dict[int, set[int]] = {k: set() for k in range(len(texts))}
+    for row in order_minhash.rare_buckets(given, 0.8).collect():
+        buckets[row["id"]].add(row["bucket"])
+    kmers, near = [order_minhash.kmer_hashes(t) for t in texts], 0
+    for a in range(len(texts)):
+        for b in range(a):
+            limit = int(0.2 * max(len(kmers[a]), len(kmers[b])) + 1e-9)
+            if order_minhash.banded_distance(kmers[a], kmers[b], limit) <= limit:
+                near += 1
+                assert buckets[a] & buckets[b]
+    assert near > 10
+
+
 def test_classes_of_nothing(documents):
     assert order_minhash.classes(documents((1, "a b")).limit(0)).count() == 0
     assert order_minhash.classes(documents((1, "a b"), (None, "a b"))).collect() == [(1, 1, 0)]
