@@ -20,12 +20,25 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _values(column: pa.Array) -> list:
+    """The values of a column; an array of bigint without nulls is a view of the batch."""
+    if not pa.types.is_list(column.type) or column.type.value_type != pa.int64() or column.null_count:
+        return column.to_pylist()
+    ends = column.offsets.to_numpy()
+    flat = column.flatten()
+    if flat.null_count:
+        return column.to_pylist()
+    flat, ends = flat.to_numpy(), ends - ends[0]
+    return [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
 def map_rows(
     df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, Sequence]]], ddl: str, rows: int = 512
 ) -> DataFrame:
     """Map slices of at most ``rows`` rows: columns as lists in, columns of ``ddl`` out.
 
-    ``make`` runs once per task and may build what all slices of the task share.
+    Arrays of bigint come in as numpy arrays. ``make`` runs once per task and
+    may build what all slices of the task share.
     """
     schema = to_arrow_schema(T.StructType.fromDDL(ddl))
 
@@ -33,7 +46,8 @@ def map_rows(
         step = make()
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
-                out = step(batch.slice(start, rows).to_pydict())
+                part = batch.slice(start, rows)
+                out = step({name: _values(part.column(name)) for name in part.schema.names})
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
 
     return df.mapInArrow(run, ddl)

@@ -12,15 +12,17 @@ k-mer Jaccard similarity of 0.67.
    smallest hashes, in the order of the text: equal sketches need equal k-mers
    in equal order. There are ``sketches`` of them. A pair with a Jaccard
    similarity of 0.8 has one sketch in common with a probability above 0.9999.
-3. The documents of one sketch are a bucket. Its leader (the one first in a
-   random order that is the same for all buckets) is paired with all others,
-   so a bucket of any size gives one pair per document. Members that turn out
-   different from their leader meet the next leaders once. Those still left,
-   mostly documents that only share a passage, are dealt anew by their rarest
-   k-mers: of two near duplicates, both with their labelled k-mers ordered from
-   rare to frequent, the first ``1 - similarity`` and one more have a k-mer in
-   common. So no link is lost, and a passage, however frequent, makes no
-   bucket. Leaders and rounds go on in the new buckets until none is left.
+3. The documents of one sketch are a bucket. Its leader is paired with all
+   others, so a bucket of any size gives one pair per document. Leaders are
+   taken in an order that is the same for all buckets: first the documents that
+   share their sketches with most others, as the text that many others were
+   made from does. Members that turn out different from their leader, mostly
+   documents that only share a passage, are dealt anew by their rarest k-mers:
+   of two near duplicates, both with their labelled k-mers ordered from rare to
+   frequent, the first ``1 - similarity`` and one more have a k-mer in common.
+   So no link is lost, and a passage, however frequent, makes no bucket.
+   Leaders and rounds go on in the new buckets until none is left. Pairs whose
+   sizes alone are too far apart for a link are refused without a look at them.
 4. A pair is verified by an alignment in a band that doubles until it holds
    the distance or passes the limit. A member whose distance to the leader may
    still allow a link to a member that was verified is compared with those too,
@@ -199,18 +201,27 @@ def _representatives(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members.select("doc_id", "rep"), stage(texts.dropDuplicates(["rep"]), "distinct-texts")
 
 
+def _kmers(texts: DataFrame) -> DataFrame:
+    """(rep, size, kmers): the k-mer hashes of each text, so that no later step reads texts."""
+
+    def make():
+        def step(rows: dict[str, list]) -> dict[str, list]:
+            made = [kmer_hashes(text.split(" ")).view(np.int64) for text in rows["text"]]
+            return {"rep": rows["rep"], "size": [len(m) for m in made], "kmers": made}
+
+        return step
+
+    kind = dict(texts.dtypes)["rep"]
+    return map_rows(texts, make, f"rep {kind}, size int, kmers array<bigint>", rows=256)
+
+
 def _sketched(texts: DataFrame, sketches: int, picks: int) -> DataFrame:
     """(bucket, id, size): each document in the bucket of each of its sketches."""
 
     def make():
         def step(rows: dict[str, list]) -> dict[str, list]:
-            out: dict[str, list] = {"id": [], "size": [], "buckets": []}
-            for number, text in zip(rows["rep"], rows["text"], strict=True):
-                kmers = kmer_hashes(text.split(" "))
-                out["id"].append(number)
-                out["size"].append(len(kmers))
-                out["buckets"].append(sketch(kmers, sketches, picks).view(np.int64))
-            return out
+            made = [sketch(k.view(np.uint64), sketches, picks).view(np.int64) for k in rows["kmers"]]
+            return {"id": rows["rep"], "size": rows["size"], "buckets": made}
 
         return step
 
@@ -221,17 +232,14 @@ def _sketched(texts: DataFrame, sketches: int, picks: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """(a, b, distance, linked) of pairs (a, b); without a link, ``distance`` is a lower bound."""
-    one = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
+    one = texts.select(F.col("rep").alias("a"), F.col("kmers").alias("x"))
+    two = texts.select(F.col("rep").alias("b"), F.col("kmers").alias("y"))
 
     def make():
         def step(rows: dict[str, list]) -> dict[str, list]:
             out: dict[str, list] = {"a": rows["a"], "b": rows["b"], "distance": [], "linked": []}
-            last, last_kmers = None, None
-            for left, right in zip(rows["text_a"], rows["text_b"], strict=True):
-                if left != last:
-                    last, last_kmers = left, kmer_hashes(left.split(" "))
-                x, y = last_kmers, kmer_hashes(right.split(" "))
+            for x, y in zip(rows["x"], rows["y"], strict=True):
+                x, y = x.view(np.uint64), y.view(np.uint64)
                 limit = int((1 - similarity) * max(len(x), len(y)) + 1e-9)
                 distance = _bag_bound(x, y)
                 if distance <= limit:
@@ -243,27 +251,45 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
         return step
 
     kind = dict(pairs.dtypes)["a"]
-    return map_rows(pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b"), make,
+    return map_rows(pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y"), make,
                     f"a {kind}, b {kind}, distance int, linked boolean", rows=128)
 
 
-def candidate_pairs(buckets: DataFrame, leaders: int) -> DataFrame:
-    """(bucket, leader, id, size, leads): the first members of each bucket with all that come after them.
+def _ordered(buckets: DataFrame) -> DataFrame:
+    """``buckets`` of two members and more, with ``weight``: all the places in the buckets that ``id`` is in."""
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    held = stage(buckets.join(sizes, "bucket"), "shared-buckets")
+    weights = held.groupBy("id").agg(F.sum("n").alias("weight"))
+    return stage(held.drop("n").join(weights, "id"), "ordered-buckets")
+
+
+def candidate_pairs(buckets: DataFrame, leaders: int, similarity: float) -> DataFrame:
+    """(bucket, leader, id, size, leads, gap, far): the first members of each bucket with all that come after them.
 
-    ``leads`` tells whether ``id`` is itself one of the leaders.
+    ``leads`` tells whether ``id`` is itself one of the leaders, ``gap`` is the
+    difference of the sizes, and ``far`` tells that it rules out a link.
     """
-    order = Window.partitionBy("bucket").orderBy("r", "id")
+    order = Window.partitionBy("bucket").orderBy(F.desc("weight"), "r", "id")
     ordered = buckets.withColumn("r", F.xxhash64("id"))
     first = ordered.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= leaders).select(
-        "bucket", F.col("id").alias("leader"), F.col("r").alias("r_leader"))
+        "bucket", F.col("id").alias("leader"), F.struct(-F.col("weight"), "r", "id").alias("place"),
+        F.col("size").alias("leader_size"))
     own = first.select("bucket", F.col("leader").alias("id"), F.lit(True).alias("leads"))
-    after = (F.col("r") > F.col("r_leader")) | ((F.col("r") == F.col("r_leader")) & (F.col("id") > F.col("leader")))
-    return ordered.join(first, "bucket").where(after).join(own, ["bucket", "id"], "left").select(
-        "bucket", "leader", "id", "size", F.coalesce("leads", F.lit(False)).alias("leads"))
+    gap = F.abs(F.col("size") - F.col("leader_size"))
+    limit = F.floor((1 - similarity) * F.greatest("size", "leader_size") + 1e-9)
+    return ordered.join(first, "bucket").where(F.struct(-F.col("weight"), "r", "id") > F.col("place")).join(
+        own, ["bucket", "id"], "left").select(
+        "bucket", "leader", "id", "size", "weight", F.coalesce("leads", F.lit(False)).alias("leads"),
+        gap.alias("gap"), (gap > limit).alias("far"))
 
 
 def rare_buckets(texts: DataFrame, similarity: float) -> DataFrame:
-    """(bucket, id, size): each text in the bucket of each of its rarest labelled k-mers.
+    """``_rare_buckets`` of texts (rep, text)."""
+    return _rare_buckets(_kmers(texts), similarity)
+
+
+def _rare_buckets(texts: DataFrame, similarity: float) -> DataFrame:
+    """(bucket, id, size): each text (rep, size, kmers) in the bucket of each of its rarest labelled k-mers.
 
     A text of n k-mers has to take (1 - ``similarity``) * n + 1 of them: near
     duplicates differ in fewer, so they share one of these whatever the order,
@@ -272,12 +298,8 @@ def rare_buckets(texts: DataFrame, similarity: float) -> DataFrame:
 
     def make():
         def step(rows: dict[str, list]) -> dict[str, list]:
-            out: dict[str, list] = {"id": rows["rep"], "size": [], "buckets": []}
-            for text in rows["text"]:
-                kmers = kmer_hashes(text.split(" "))
-                out["size"].append(len(kmers))
-                out["buckets"].append(labelled(kmers).view(np.int64))
-            return out
+            made = [labelled(k.view(np.uint64)).view(np.int64) for k in rows["kmers"]]
+            return {"id": rows["rep"], "size": rows["size"], "buckets": made}
 
         return step
 
@@ -291,37 +313,36 @@ def rare_buckets(texts: DataFrame, similarity: float) -> DataFrame:
         (F.col("place") <= wanted) & (F.col("n") > 1)).select("bucket", "id", "size")
 
 
-def near_pairs(texts: DataFrame, similarity: float, sketches: int, picks: int, leaders: int = 16) -> DataFrame:
+def near_pairs(texts: DataFrame, similarity: float, sketches: int, picks: int) -> DataFrame:
     """Verified pairs (a, b) of different texts that connect all near duplicates that share a sketch.
 
-    The first round takes one leader per bucket, as most buckets are copies of
-    one text; the rounds after it, over what differs from it, ``leaders``.
-    What is left after the second is dealt anew by ``rare_buckets``; from there
-    on each round takes twice the leaders of the one before, as most members
-    are no near duplicates of any, and rounds stay few.
+    The first round takes one leader per bucket of equal sketches, as most are
+    copies of one text. What differs from it is dealt anew by ``rare_buckets``;
+    from there on each round takes twice the leaders of the one before, as most
+    members are no near duplicates of any, and rounds stay few.
     """
-    members = stage(_sketched(texts, sketches, picks), "sketches")
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members = stage(members.join(shared, "bucket"), "shared-sketches")
-    involved = members.select(F.col("id").alias("rep")).distinct()
-    texts = stage(texts.join(involved, "rep", "left_semi"), "involved-texts")
+    texts = stage(_kmers(texts), "text-kmers")
+    members = _ordered(stage(_sketched(texts, sketches, picks), "sketches"))
+    texts = stage(texts.join(members.select(F.col("id").alias("rep")).distinct(), "rep", "left_semi"), "involved")
     rounds: list[DataFrame] = []
     tested = None
     while True:
-        star = stage(candidate_pairs(members, leaders << max(0, len(rounds) - 2) if rounds else 1), "stars")
+        star = stage(candidate_pairs(members, 1 << max(0, len(rounds) - 1), similarity), "stars")
         if star.isEmpty():
             break
-        pairs = star.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+        pairs = star.where(~F.col("far")).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
         fresh = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
         results = stage(_verified(fresh, texts, similarity), "verified")
         tested = results if tested is None else stage(tested.unionByName(results), "tested")
-        rated = stage(star.withColumnsRenamed({"leader": "a", "id": "b"}).join(tested, ["a", "b"]), "rated")
+        rated = stage(star.withColumnsRenamed({"leader": "a", "id": "b"}).join(tested, ["a", "b"], "left").select(
+            "bucket", "a", "b", "size", "weight", "leads", F.coalesce("distance", "gap").alias("distance"),
+            F.coalesce("linked", F.lit(False)).alias("linked")), "rated")
         rounds.append(rated)
-        members = rated.where(~F.col("leads")).groupBy("bucket", F.col("b").alias("id"), "size").agg(
-            F.max("linked").alias("linked")).where(~F.col("linked")).select("bucket", "id", "size")
-        if len(rounds) == 2:
+        members = rated.where(~F.col("leads")).groupBy("bucket", F.col("b").alias("id"), "size", "weight").agg(
+            F.max("linked").alias("linked")).where(~F.col("linked")).select("bucket", "id", "size", "weight")
+        if len(rounds) == 1:
             left = stage(members.select(F.col("id").alias("rep")).distinct(), "left")
-            members = rare_buckets(texts.join(left, "rep", "left_semi"), similarity)
+            members = _ordered(stage(_rare_buckets(texts.join(left, "rep", "left_semi"), similarity), "rare"))
     if tested is None:
         return star.select(F.col("leader").alias("a"), F.col("id").alias("b"))
     links = tested.where("linked").select("a", "b")
@@ -334,21 +355,24 @@ def _across(rounds: list[DataFrame], roots: DataFrame, texts: DataFrame, similar
     By the triangle inequality a member far from its leader cannot be near to
     one close to it; and members of one class need no further link.
     """
-    found = []
-    for rated in rounds:
-        near = rated.where("linked").groupBy("bucket", "a").agg(F.max("distance").alias("reach"))
-        slack = F.floor((1 - similarity) / similarity * F.col("size") + 1e-9)  # the largest limit of a pair with this size
-        doubtful = rated.where(~F.col("linked")).join(near, ["bucket", "a"]).where(
-            F.col("distance") - F.col("reach") <= slack).select("bucket", "a", F.col("b").alias("x"))
-        left, right = (roots.select(F.col("id").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "x"))
-        apart = doubtful.join(left, "a", "left").join(right, "x", "left").where(
-            F.coalesce("root_a", "a") != F.coalesce("root_x", "x")).select("bucket", "a", "x")
-        accepted = rated.where("linked").select("bucket", "a", F.col("b").alias("y"))
-        found.append(accepted.join(apart, ["bucket", "a"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
-    every = found[0]
-    for more in found[1:]:
+    every = rounds[0]
+    for more in rounds[1:]:
         every = every.unionByName(more)
-    return stage(_verified(every.distinct(), texts, similarity), "across").where("linked").select("a", "b")
+    # The same leader may head many buckets, so members meet once for it, not once for each bucket.
+    met = stage(every.select("a", "b", "size", "distance", "linked").distinct(), "met")
+    near = met.where("linked").groupBy("a").agg(F.max("distance").alias("reach"))
+    slack = F.floor((1 - similarity) / similarity * F.col("size") + 1e-9)  # the largest limit of a pair with this size
+    doubtful = met.where(~F.col("linked")).join(near, "a").where(F.col("distance") - F.col("reach") <= slack).select(
+        "a", F.col("b").alias("x"), F.col("size").alias("size_x"), F.col("distance").alias("far"))
+    left, right = (roots.select(F.col("id").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "x"))
+    apart = doubtful.join(left, "a", "left").join(right, "x", "left").where(
+        F.coalesce("root_a", "a") != F.coalesce("root_x", "x")).select("a", "x", "size_x", "far")
+    accepted = met.where("linked").select("a", F.col("b").alias("y"), F.col("size").alias("size_y"), F.col("distance").alias("close"))
+    limit = F.floor((1 - similarity) * F.greatest("size_x", "size_y") + 1e-9)
+    found = accepted.join(apart, "a").where(
+        (F.col("far") - F.col("close") <= limit) & (F.abs(F.col("size_x") - F.col("size_y")) <= limit)).select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return stage(_verified(found.distinct(), texts, similarity), "across").where("linked").select("a", "b")
 
 
 def components(pairs: DataFrame) -> DataFrame:
