@@ -40,11 +40,12 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockpond.llm.common import map_rows, mix64
+from stockpond.llm.common import BLANKS, map_rows, mix64
 from stockpond.session import stage
 
 K = 5
 _BASE = 0x9E3779B97F4A7C15
+_CUT = str.maketrans(dict.fromkeys(BLANKS, " "))
 
 
 def kmer_hashes(words: list[str]) -> np.ndarray:
@@ -180,54 +181,75 @@ def _bag_bound(a: np.ndarray, b: np.ndarray) -> int:
     return max(len(a), len(b)) - int(np.minimum(left, counts - left).sum())
 
 
-def _representatives(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, rep) of all documents with words, and (rep, text) of the representatives."""
-    words = F.trim(F.regexp_replace(F.lower("text"), r"\s+", " "))
+def words_of(text: str) -> list[str]:
+    """The lower-cased words between ASCII blanks."""
+    return [w for w in text.lower().translate(_CUT).split(" ") if w]
 
-    def keyed_texts(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("text", words).where(F.col("text") != "").withColumns({
-            "k1": F.xxhash64("text"), "k2": F.xxhash64("text", F.lit(1))})
 
-    given = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
-    known = keyed_texts(given)
-    keyed = known.select("doc_id", "k1", "k2")
-    once = keyed.groupBy("doc_id").agg(F.min(F.struct("k1", "k2")).alias("k")).select("doc_id", "k.k1", "k.k2")
-    groups = once.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
-    # Members meet their representative by a join, as a group of copies may be of any size.
-    members = stage(once.join(groups, ["k1", "k2"]).select("doc_id", "rep", "k1", "k2"), "copies")
-    chosen = members.where(F.col("doc_id") == F.col("rep")).select("rep", F.col("k1").alias("r1"), F.col("k2").alias("r2"))
-    texts = keyed_texts(given.join(chosen, F.col("doc_id") == F.col("rep"))).where(
-        (F.col("k1") == F.col("r1")) & (F.col("k2") == F.col("r2"))).select("rep", "text")
-    return members.select("doc_id", "rep"), stage(texts.dropDuplicates(["rep"]), "distinct-texts")
+def _key(words: list[str]) -> np.ndarray:
+    """128 bits of a text's words, as two numbers."""
+    import xxhash
 
+    return np.frombuffer(xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass")), np.int64)
 
-def _kmers(texts: DataFrame) -> DataFrame:
-    """(rep, size, kmers): the k-mer hashes of each text, so that no later step reads texts."""
+
+def _sketched(given: DataFrame, sketches: int, picks: int) -> DataFrame:
+    """(doc_id, k1, k2, size, buckets) of each row with words: the key of its text and its sketches."""
 
     def make():
         def step(rows: dict[str, list]) -> dict[str, list]:
-            made = [kmer_hashes(text.split(" ")).view(np.int64) for text in rows["text"]]
-            return {"rep": rows["rep"], "size": [len(m) for m in made], "kmers": made}
+            out: dict[str, list] = {c: [] for c in ("doc_id", "k1", "k2", "size", "buckets")}
+            seen: dict[tuple[int, int], tuple] = {}
+            for number, text in zip(rows["doc_id"], rows["text"], strict=True):
+                words = words_of(text)
+                if not words:
+                    continue
+                key = tuple(_key(words).tolist())
+                if key not in seen:
+                    kmers = kmer_hashes(words)
+                    seen[key] = len(kmers), sketch(kmers, sketches, picks).view(np.int64)
+                for name, value in zip(out, (number, *key, *seen[key]), strict=True):
+                    out[name].append(value)
+            return out
 
         return step
 
-    kind = dict(texts.dtypes)["rep"]
-    return map_rows(texts, make, f"rep {kind}, size int, kmers array<bigint>", rows=256)
+    kind = dict(given.dtypes)["doc_id"]
+    return map_rows(given, make, f"doc_id {kind}, k1 bigint, k2 bigint, size int, buckets array<bigint>", rows=256)
 
 
-def _sketched(texts: DataFrame, sketches: int, picks: int) -> DataFrame:
-    """(bucket, id, size): each document in the bucket of each of its sketches."""
+def _representatives(sketched: DataFrame) -> DataFrame:
+    """(doc_id, rep, k1, k2): each document, the first document with its words, and their key."""
+    once = sketched.groupBy("doc_id").agg(F.min(F.struct("k1", "k2")).alias("k")).select("doc_id", "k.k1", "k.k2")
+    groups = once.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
+    # Members meet their representative by a join, as a group of copies may be of any size.
+    return once.join(groups, ["k1", "k2"]).select("doc_id", "rep", "k1", "k2")
+
+
+def _kmers(texts: DataFrame) -> DataFrame:
+    """(rep, size, kmers): the k-mer hashes of each text.
+
+    Rows may carry the key ``k1``, ``k2`` of the text that is meant; others are left out then.
+    """
+    keyed = {"k1", "k2"} <= set(texts.columns)
 
     def make():
         def step(rows: dict[str, list]) -> dict[str, list]:
-            made = [sketch(k.view(np.uint64), sketches, picks).view(np.int64) for k in rows["kmers"]]
-            return {"id": rows["rep"], "size": rows["size"], "buckets": made}
+            out: dict[str, list] = {"rep": [], "size": [], "kmers": []}
+            for place, (number, text) in enumerate(zip(rows["rep"], rows["text"], strict=True)):
+                words = words_of(text)
+                if keyed and tuple(_key(words).tolist()) != (rows["k1"][place], rows["k2"][place]):
+                    continue
+                kmers = kmer_hashes(words).view(np.int64)
+                out["rep"].append(number)
+                out["size"].append(len(kmers))
+                out["kmers"].append(kmers)
+            return out
 
         return step
 
     kind = dict(texts.dtypes)["rep"]
-    made = map_rows(texts, make, f"id {kind}, size int, buckets array<bigint>", rows=256)
-    return made.select("id", "size", F.explode("buckets").alias("bucket"))
+    return map_rows(texts, make, f"rep {kind}, size int, kmers array<bigint>", rows=256)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -305,7 +327,7 @@ def _rare_buckets(texts: DataFrame, similarity: float) -> DataFrame:
 
     kind = dict(texts.dtypes)["rep"]
     made = map_rows(texts, make, f"id {kind}, size int, buckets array<bigint>", rows=256)
-    held = stage(made.select("id", "size", F.explode("buckets").alias("bucket")), "kmers")
+    held = stage(made.select("id", "size", F.explode("buckets").alias("bucket")), "labelled")
     counted = held.join(held.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "bucket")
     rarest = Window.partitionBy("id").orderBy("n", "bucket")
     wanted = F.floor((1 - similarity) * F.col("size") + 1e-9) + 1
@@ -313,17 +335,24 @@ def _rare_buckets(texts: DataFrame, similarity: float) -> DataFrame:
         (F.col("place") <= wanted) & (F.col("n") > 1)).select("bucket", "id", "size")
 
 
-def near_pairs(texts: DataFrame, similarity: float, sketches: int, picks: int) -> DataFrame:
+def near_pairs(given: DataFrame, sketched: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
     """Verified pairs (a, b) of different texts that connect all near duplicates that share a sketch.
 
-    The first round takes one leader per bucket of equal sketches, as most are
-    copies of one text. What differs from it is dealt anew by ``rare_buckets``;
-    from there on each round takes twice the leaders of the one before, as most
-    members are no near duplicates of any, and rounds stay few.
+    Texts of ``given`` are read again only for documents that share a sketch:
+    they become k-mers, a table that all rounds use. The first round takes one
+    leader per bucket of equal sketches, as most are copies of one text. What
+    differs from it is dealt anew by ``rare_buckets``; from there on each round
+    takes twice the leaders of the one before, as most members are no near
+    duplicates of any, and rounds stay few.
     """
-    texts = stage(_kmers(texts), "text-kmers")
-    members = _ordered(stage(_sketched(texts, sketches, picks), "sketches"))
-    texts = stage(texts.join(members.select(F.col("id").alias("rep")).distinct(), "rep", "left_semi"), "involved")
+    chosen = members.where(F.col("doc_id") == F.col("rep")).select("rep", F.col("k1").alias("r1"), F.col("k2").alias("r2"))
+    # Rows of one document differ in texts or are repeated; one with the key goes on.
+    own = sketched.join(chosen, (F.col("doc_id") == F.col("rep")) & (F.col("k1") == F.col("r1")) & (F.col("k2") == F.col("r2"))).dropDuplicates(["rep"])
+    members = _ordered(own.select(F.col("rep").alias("id"), "size", F.explode("buckets").alias("bucket")))
+    wanted = members.select(F.col("id").alias("rep")).distinct().join(chosen, "rep")
+    texts = given.join(wanted, F.col("doc_id") == F.col("rep")).select(
+        "rep", "text", F.col("r1").alias("k1"), F.col("r2").alias("k2")).distinct()
+    texts = stage(_kmers(texts), "kmers")
     rounds: list[DataFrame] = []
     tested = None
     while True:
@@ -397,8 +426,10 @@ def classes(docs: DataFrame, similarity: float = 0.8, sketches: int = 40, picks:
     ``n_links`` is the number of verified links of the document's text to
     different texts; copies of a text share it.
     """
-    members, texts = _representatives(docs)
-    pairs = stage(near_pairs(texts, similarity, sketches, picks).select("a", "b").distinct(), "near-pairs")
+    given = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
+    sketched = stage(_sketched(given, sketches, picks), "sketches")
+    members = stage(_representatives(sketched), "copies")
+    pairs = stage(near_pairs(given, sketched, members, similarity).select("a", "b").distinct(), "near-pairs")
     linked = components(pairs)
     degree = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     known = (
