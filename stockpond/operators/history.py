@@ -25,16 +25,17 @@ def merge_history(
     one row per natural key. A changed row closes its current version at
     ``effective`` and opens a new one with a fresh surrogate key. Unchanged
     rows, rows absent from the delivery and closed versions stay as they are.
-    Attributes are compared themselves, not their hashes.
+    Attributes are compared themselves, not their hashes. A null natural key is
+    a member like any other.
     """
     moment = dimension.schema["effective_from"].dataType
     when = F.lit(effective).cast(moment)
     columns = [surrogate_key, natural_key, *tracked, "effective_from", "effective_to", "is_current"]
-    current = dimension.where("is_current").select(natural_key, F.struct(*tracked).alias("_old"))
+    current = dimension.where("is_current").select(F.col(natural_key).alias("_key"), F.struct(*tracked).alias("_old"))
     offered = incoming.select(natural_key, F.struct(*tracked).alias("_new"))
 
     fresh = (
-        offered.join(current, natural_key, "left")
+        offered.join(current, F.col(natural_key).eqNullSafe(F.col("_key")), "left")
         .where(F.col("_old").isNull() | ~F.col("_old").eqNullSafe(F.col("_new")))
         .select(natural_key, "_new.*")
     )
@@ -45,9 +46,9 @@ def merge_history(
         "is_current": F.lit(True),
     })
 
-    replaced = opened.select(natural_key, F.lit(True).alias("_replaced"))
+    replaced = opened.select(F.col(natural_key).alias("_key"), F.lit(True).alias("_replaced"))
     ends = F.col("is_current") & F.col("_replaced").isNotNull()
-    kept = dimension.join(replaced, natural_key, "left").withColumns({
+    kept = dimension.join(replaced, F.col(natural_key).eqNullSafe(F.col("_key")), "left").withColumns({
         "effective_to": F.when(ends, when).otherwise(F.col("effective_to")),
         "is_current": F.col("is_current") & ~ends,
     })

@@ -7,6 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _name(part: str) -> str:
+    return "`" + part.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def register_table(
     spark: SparkSession, name: str, path: str, partition_by: Sequence[str] = (), merge_schema: bool = False
 ) -> DataFrame:
@@ -18,12 +26,12 @@ def register_table(
     of reading every file footer.
     """
     schema = spark.read.option("mergeSchema", merge_schema).parquet(path).schema
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    partitioning = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    columns = ", ".join(f"{_name(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    partitioning = f"PARTITIONED BY ({', '.join(map(_name, partition_by))})" if partition_by else ""
     if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "MANAGED":
         raise ValueError(f"{name} is a managed table; registering would delete its data")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {partitioning} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {partitioning} LOCATION {_text(path)}")
     if partition_by:
         refresh_partitions(spark, name)
     return spark.table(name)

@@ -130,6 +130,13 @@ def test_catalog_sees_new_partitions_and_columns(spark, tmp_path):
     assert spark.sql("SELECT sum(w) FROM catalog_test").first()[0] == 5
 
 
+def test_catalog_takes_quotes_in_paths_and_columns(spark, tmp_path):
+    path = str(tmp_path / "it's")
+    spark.createDataFrame([(1, "x")], "`a``b` int, p string").write.partitionBy("p").parquet(path)
+    assert register_table(spark, "catalog_quotes", path, ["p"]).collect() == [(1, "x")]
+    spark.sql("DROP TABLE catalog_quotes")
+
+
 def test_incremental_ingest_takes_each_file_once(spark, tmp_path):
     raw, bronze, state = tmp_path / "raw", str(tmp_path / "bronze"), str(tmp_path / "state")
 

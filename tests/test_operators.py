@@ -189,3 +189,13 @@ def test_history_opens_closes_and_keeps(spark):
     ]
     again = merge_history(merged, incoming, "id", "key", ["city", "size"], "2024-03-02")
     assert sorted(again.collect()) == sorted(merged.collect())
+
+
+def test_history_keeps_one_version_of_the_null_member(spark):
+    incoming = table(spark, [(None, "x", 1)], "id string, city string, size int")
+    once = merge_history(history(spark, []), incoming, "id", "key", ["city", "size"], "2024-03-01")
+    again = merge_history(once, incoming, "id", "key", ["city", "size"], "2024-03-02")
+    assert [(r.key, r.id, r.is_current) for r in again.collect()] == [(1, None, True)]
+    moved = merge_history(again, table(spark, [(None, "y", 1)], "id string, city string, size int"),
+                          "id", "key", ["city", "size"], "2024-03-03")
+    assert sorted((r.key, r.city, r.is_current) for r in moved.collect()) == [(1, "x", False), (2, "y", True)]
