@@ -4,7 +4,7 @@ Base kinds are patterns: ``assign`` (a secret-like name, a separator, a value
 of 8 characters or more), ``access`` (AKIA keys of 16 or more) and ``hex``
 (runs of 32 or more).
 
-The battery looks at every run of 20 or more characters of the encodings
+The battery looks at every run of 16 or more characters of the encodings
 hexadecimal, base32 and base64 (the smallest alphabet that holds the run) and
 asks whether it could be uniform noise: a chi-squared test of the symbol
 counts, a runs test about the middle of the alphabet, and a serial-correlation
@@ -13,8 +13,14 @@ joined value is uniform, for words and identifiers it piles up near 0. So per
 encoding and length class the corpus-wide histogram of joined values tells how
 many runs are noise (from the upper half) and which limit keeps the share of
 false discoveries at or below ``rate``; short runs, on which the tests have
-little power, get a strict limit or none this way. Runs at or above the limit
-of their class are spans of kind ``noise``, unless a base span touches them.
+little power, get a strict limit this way. A class with too little noise for
+that takes how high words reach from the classes around it, so that every
+class has a limit, of 0.5 at most, and a lone secret can be found. Runs at or
+above the limit of their class are spans of kind ``noise``, unless a base span
+touches them.
+
+Runs of fewer than 20 digits are numbers, not hexadecimal; a key of 16
+hexadecimal characters has no letter in 1 of 1,800 cases.
 
 Positions are code points, ends are exclusive. A null text is an empty text.
 """
@@ -46,7 +52,10 @@ ALPHABETS = {
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
-SHORTEST = 20
+SHORTEST = 16
+_NUMBER = re.compile(r"[0-9]{1,19}")
+#: So many runs of noise in the upper half tell a limit by themselves; so many words tell how high words reach.
+NOISE, WORDS = 5, 100
 _RUN = re.compile(rf"[A-Za-z0-9+/_-]{{{SHORTEST},}}")
 _BINS = 50
 
@@ -107,7 +116,7 @@ def randomness(run: str) -> tuple[str, float]:
 
 def length_class(n: int) -> int:
     """Classes grow by a quarter: tests on longer runs tell more."""
-    return int(math.log(n / SHORTEST) / math.log(1.25))
+    return math.floor(math.log(n / 20) / math.log(1.25) + 1e-9)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -135,6 +144,8 @@ def scan(docs: DataFrame) -> DataFrame:
                 runs = []
                 for m in _RUN.finditer(text):
                     start, end = m.span()
+                    if _NUMBER.fullmatch(m[0]):
+                        continue
                     name, p = randomness(m[0])
                     runs.append({"start": start, "end": end, "enc": name, "len_class": length_class(end - start), "p": p,
                                  "free": not any(a < end and start < b for a, b, _ in base)})
@@ -151,8 +162,55 @@ def scan(docs: DataFrame) -> DataFrame:
     )
 
 
+def _upper(bins: np.ndarray) -> float:
+    return float(bins[_BINS // 2:].sum())
+
+
+def _words(bins: np.ndarray) -> float:
+    """How many runs are not noise, which has as many below one half as above."""
+    return max(0.0, float(bins.sum()) - 2 * _upper(bins))
+
+
+def _kept_and_true(bins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs at or above the lower edge of each bin, and how many of them are noise."""
+    return np.cumsum(bins[::-1])[::-1], _upper(bins) / (_BINS - _BINS // 2) * np.arange(_BINS, 0, -1)
+
+
+def _pooled(histograms: dict[tuple[str, int], np.ndarray], enc: str, len_class: int) -> np.ndarray:
+    """The histogram of a class with its neighbours in length, then of all encodings, until it holds enough words."""
+    widest = max(abs(c - len_class) for _, c in histograms)
+    pool = histograms[enc, len_class]
+    for alike in (True, False):
+        for reach in range(widest + 1):
+            pool = sum(bins for (e, c), bins in histograms.items() if abs(c - len_class) <= reach and (e == enc or not alike))
+            if _words(pool) >= WORDS:
+                return pool
+    return pool
+
+
+def cuts(histograms: dict[tuple[str, int], np.ndarray], rate: float) -> dict[tuple[str, int], float]:
+    """The limit of each class, from the histograms of all."""
+    found = {}
+    for (enc, len_class), bins in histograms.items():
+        kept, true = _kept_and_true(bins)
+        if _upper(bins) >= NOISE:
+            # What exceeds noise by more than two standard deviations of its count is taken for false discoveries.
+            share = np.maximum(0, kept - true - 2 * np.sqrt(true)) / np.maximum(kept, 1)
+        else:
+            # Too few to count noise: all runs of the class may be words, and words reach as high as they do in the pool.
+            pool = _pooled(histograms, enc, len_class)
+            pool_kept, pool_true = _kept_and_true(pool)
+            tail = np.minimum(1, np.maximum(0, pool_kept - pool_true) / max(1.0, _words(pool)))
+            share = bins.sum() * tail / np.maximum(kept, 1)
+        good = share <= rate
+        good[0] = False  # words pile up there
+        good[_BINS // 2:] = True  # the upper half is noise
+        found[enc, len_class] = int(good.argmax()) / _BINS  # the lowest limit that keeps the rate
+    return found
+
+
 def limits(scanned: DataFrame, rate: float = 0.05) -> dict[tuple[str, int], float]:
-    """The joined p-value from which on a run counts as noise, by encoding and length class; classes without one are left out.
+    """The joined p-value from which on a run counts as noise, by encoding and length class.
 
     The histogram has at most ``_BINS`` bins for each of three encodings and
     each length class (log in the length), so it is small for any corpus.
@@ -162,18 +220,7 @@ def limits(scanned: DataFrame, rate: float = 0.05) -> dict[tuple[str, int], floa
     histograms: dict[tuple[str, int], np.ndarray] = {}
     for row in counted.collect():
         histograms.setdefault((row["enc"], row["len_class"]), np.zeros(_BINS))[row["bin"]] = row["count"]
-    found = {}
-    for key, bins in histograms.items():
-        noise = bins[_BINS // 2:].sum() / (_BINS - _BINS // 2)  # runs of noise per bin
-        kept = np.cumsum(bins[::-1])[::-1]  # runs at or above the lower edge of each bin
-        true = noise * np.arange(_BINS, 0, -1)
-        # What exceeds noise by more than two standard deviations of its count is taken for false discoveries.
-        share = np.maximum(0, kept - true - 2 * np.sqrt(true)) / np.maximum(kept, 1)
-        good = (share <= rate) & (bins[_BINS // 2:].sum() >= 5)
-        good[0] = False  # words pile up there
-        if good.any():
-            found[key] = int(good.argmax()) / _BINS  # the lowest limit that keeps the rate
-    return found
+    return cuts(histograms, rate)
 
 
 def secrets(docs: DataFrame, rate: float = 0.05) -> DataFrame:

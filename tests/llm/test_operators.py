@@ -200,6 +200,29 @@ def test_base_spans_and_noise(documents):
     assert secret_scan.secrets(docs.limit(0)).count() == 0
 
 
+BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+
+def run_of_noise(draw: random.Random, n: int, low: float, high: float) -> str:
+    """A random run whose joined p-value lies between the two."""
+    while True:
+        run = "".join(draw.choice(BASE64) for _ in range(n))
+        if low <= secret_scan.randomness(run)[1] <= high and secret_scan.encoding_of(run) == "base64":
+            return run
+
+
+def test_lone_secrets_among_words(documents):
+    draw = random.Random(8)
+    plain = [f"{''.join(words(k, 5))} and {'-'.join(words(300 + k, 9))}" for k in range(200)]
+    lone = [f"see {run_of_noise(draw, n, 0.5, 1)} there" for n in (16, 20, 40, 64, 100, 300)]
+    docs = documents(*enumerate([*lone, *plain, "call 4929118203347561 now"]))
+    found = {r["doc_id"]: r["n_noise"] for r in secret_scan.secrets(docs).collect()}
+    assert [found[k] for k in range(len(lone))] == [1] * len(lone)
+    assert sum(found[k] for k in range(len(lone), len(found))) <= 4
+    # Nothing but one secret.
+    assert [r["n_noise"] for r in secret_scan.secrets(documents((1, lone[3]))).collect()] == [1]
+
+
 # 5. Hidden Markov scores
 
 
