@@ -10,8 +10,8 @@ asks whether it could be uniform noise: a chi-squared test of the symbol
 counts, a runs test about the middle of the alphabet, and a serial-correlation
 test at lag one. Fisher's method joins the three p-values. For noise the
 joined value is uniform, for words and identifiers it piles up near 0. So per
-encoding and length class the corpus-wide histogram of joined values tells how
-many runs are noise (from the upper half) and which limit keeps the share of
+encoding and length class the corpus-wide histogram of the joined values of
+different runs tells how many are noise (from the upper half) and which limit keeps the share of
 false discoveries at or below ``rate``; short runs, on which the tests have
 little power, get a strict limit this way. A class with too little noise for
 that takes how high words reach from the classes around it, so that every
@@ -32,6 +32,7 @@ import math
 import re
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -132,7 +133,7 @@ def _written(spans: list[tuple[int, int, str]]) -> str:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """(doc_id, base, runs): base spans, and all runs with encoding, length class, joined p-value and whether no base span touches them."""
+    """(doc_id, base, runs): base spans, and all runs with a hash, encoding, length class, joined p-value and whether no base span touches them."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def make():
@@ -147,7 +148,8 @@ def scan(docs: DataFrame) -> DataFrame:
                     if _NUMBER.fullmatch(m[0]):
                         continue
                     name, p = randomness(m[0])
-                    runs.append({"start": start, "end": end, "enc": name, "len_class": length_class(end - start), "p": p,
+                    key = xxhash.xxh64_intdigest(m[0]) - (1 << 63)
+                    runs.append({"start": start, "end": end, "key": key, "enc": name, "len_class": length_class(end - start), "p": p,
                                  "free": not any(a < end and start < b for a, b, _ in base)})
                 out["base"].append([{"start": a, "end": b, "kind": k} for a, b, k in base])
                 out["runs"].append(runs)
@@ -158,7 +160,7 @@ def scan(docs: DataFrame) -> DataFrame:
     return map_rows(
         docs.select("doc_id", "text"), make,
         f"doc_id {kind}, base array<struct<start: bigint, end: bigint, kind: string>>, "
-        "runs array<struct<start: bigint, end: bigint, enc: string, len_class: int, p: double, free: boolean>>",
+        "runs array<struct<start: bigint, end: bigint, key: bigint, enc: string, len_class: int, p: double, free: boolean>>",
     )
 
 
@@ -215,8 +217,9 @@ def limits(scanned: DataFrame, rate: float = 0.05) -> dict[tuple[str, int], floa
     The histogram has at most ``_BINS`` bins for each of three encodings and
     each length class (log in the length), so it is small for any corpus.
     """
-    runs = scanned.select(F.explode("runs").alias("r")).select("r.*")
-    counted = runs.groupBy("enc", "len_class", F.least(F.floor(F.col("p") * _BINS), F.lit(_BINS - 1)).alias("bin")).count()
+    place = F.least(F.floor(F.col("r.p") * _BINS), F.lit(_BINS - 1)).alias("bin")
+    runs = scanned.select(F.explode("runs").alias("r")).select("r.enc", "r.len_class", "r.key", place).distinct()
+    counted = runs.groupBy("enc", "len_class", "bin").count()  # copies of a run tell nothing new
     histograms: dict[tuple[str, int], np.ndarray] = {}
     for row in counted.collect():
         histograms.setdefault((row["enc"], row["len_class"]), np.zeros(_BINS))[row["bin"]] = row["count"]

@@ -223,6 +223,20 @@ def test_lone_secrets_among_words(documents):
     assert [r["n_noise"] for r in secret_scan.secrets(documents((1, lone[3]))).collect()] == [1]
 
 
+def test_copies_of_a_run_move_no_limit(documents):
+    draw = random.Random(9)
+    real = [f"see {''.join(draw.choice(BASE64) for _ in range(60))} there" for _ in range(100)]
+    for low, high in ((0.29, 0.31), (0.6, 0.9)):
+        copied = f"see {run_of_noise(draw, 60, low, high)} there"
+        plain = [f"see {'x'.join(words(700 + k, 12))[:58]}Q7 there" for k in range(100)]
+        one = [*real, *plain, copied]
+        single = secret_scan.limits(secret_scan.scan(documents(*enumerate(one))))
+        many = documents(*enumerate(one + [copied] * 1000))
+        assert secret_scan.limits(secret_scan.scan(many)) == single
+        found = {r["doc_id"]: r["n_noise"] for r in secret_scan.secrets(many).collect()}
+        assert found[len(one) - 1] == 1 and sum(found[k] for k in range(len(real))) >= 85
+
+
 # 5. Hidden Markov scores
 
 
