@@ -30,8 +30,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten documents or more go; documents of which nothing is left go with them."""
-    kept = line_dedup.dedup_lines(docs)
+    """Lines found in ten different documents or more go; documents of which nothing is left go with them.
+
+    Copies count once: which of them stays is for near-duplicate removal.
+    """
+    kept = line_dedup.dedup_lines(docs, once_per_text=True)
     empty = (F.col("n_dropped") > 0) & (F.trim("text") == "")
     changed = F.when(F.col("n_dropped") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return kept.where(~empty).withColumn("n_chars", changed).select(*docs.columns)

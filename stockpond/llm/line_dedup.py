@@ -13,6 +13,10 @@ that cross the limit are inserted into or deleted from the filter of their
 shard. Lines are probed against the filters and only hits meet the exact
 counts, so false positives of a filter never drop a line.
 
+``once_per_text`` lets copies count once: a document is then counted under
+the smallest hash of its keys, so documents of the same keys are one for the
+count, however many they are, and all lose the same lines.
+
 Null and empty texts are one empty line; an empty key is never common unless
 ``min_chars`` is 0. Rows with one ``doc_id`` are one document, rows without
 ``doc_id`` are together one more. Other columns are kept as they are.
@@ -119,32 +123,40 @@ class LineIndex:
     shards: int
     min_docs: int
     min_chars: int
+    once_per_text: bool = False
 
 
 def line_key(line: Column) -> Column:
     return lower_ascii(F.btrim(line, F.lit(BLANKS)))
 
 
-def _lines(docs: DataFrame, shards: int, min_chars: int) -> DataFrame:
-    """(doc_id, hi, lo, shard): each key of a document once per row."""
+def _lines(docs: DataFrame, shards: int, min_chars: int, hashed: bool = False) -> DataFrame:
+    """(doc_id, hi, lo, shard): each key of a document once per row; ``hashed`` adds a hash of all its keys as ``same``."""
     keys = F.array_distinct(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), line_key))
+    same = ["same"] * hashed
+    given = docs.select("doc_id", keys.alias("keys"))
+    if hashed:
+        given = given.withColumn("same", F.xxhash64("keys"))
     return (
-        docs.select("doc_id", F.explode(keys).alias("key"))
+        given.select("doc_id", *same, F.explode("keys").alias("key"))
         .where(F.length("key") >= min_chars)
-        .select("doc_id", F.xxhash64("key").alias("hi"), F.xxhash64("key", F.lit(1)).alias("lo"))
+        .select("doc_id", *same, F.xxhash64("key").alias("hi"), F.xxhash64("key", F.lit(1)).alias("lo"))
         .withColumn("shard", F.pmod("hi", F.lit(shards)).cast("int"))
     )
 
 
-def empty_index(spark: SparkSession, shards: int = 64, min_docs: int = 10, min_chars: int = 1) -> LineIndex:
+def empty_index(
+    spark: SparkSession, shards: int = 64, min_docs: int = 10, min_chars: int = 1, once_per_text: bool = False
+) -> LineIndex:
     """``shards``: so many that the common keys of one shard, two bytes each, and their changes fit in a task."""
     return LineIndex(
-        spark.createDataFrame([], _COUNTS), spark.createDataFrame([], _FILTERS), shards, min_docs, min_chars
+        spark.createDataFrame([], _COUNTS), spark.createDataFrame([], _FILTERS), shards, min_docs, min_chars,
+        once_per_text,
     )
 
 
 def add_documents(index: LineIndex, docs: DataFrame) -> LineIndex:
-    """Count the lines of documents that the index does not hold yet."""
+    """Count the lines of documents that the index does not hold yet, nor copies of them if it counts ``once_per_text``."""
     return _change(index, docs, 1)
 
 
@@ -155,7 +167,11 @@ def remove_documents(index: LineIndex, docs: DataFrame) -> LineIndex:
 
 def _change(index: LineIndex, docs: DataFrame, sign: int) -> LineIndex:
     limit = index.min_docs
-    once = _lines(docs, index.shards, index.min_chars).groupBy("shard", "hi", "lo", "doc_id").agg(F.lit(sign).alias("d"))
+    lines = _lines(docs, index.shards, index.min_chars, index.once_per_text)
+    each = lines.groupBy("shard", "hi", "lo", "doc_id")
+    if index.once_per_text:
+        each = each.agg(F.min("same").alias("same")).groupBy("shard", "hi", "lo", "same")
+    once = each.agg(F.lit(sign).alias("d"))
     deltas = once.groupBy("shard", "hi", "lo").agg(F.sum("d").alias("change"))
     after = stage(
         index.counts.withColumnRenamed("n", "before")
@@ -193,7 +209,7 @@ def _change(index: LineIndex, docs: DataFrame, sign: int) -> LineIndex:
     filters = stage(changed.groupBy("shard").cogroup(common.groupBy("shard")).applyInPandas(rebuild, _FILTERS),
                     "line-filters")
     return LineIndex(after.where(F.col("n") > 0).select("shard", "hi", "lo", "n"), filters, index.shards, limit,
-                     index.min_chars)
+                     index.min_chars, index.once_per_text)
 
 
 def _common_lines(index: LineIndex, docs: DataFrame, group_rows: int) -> DataFrame:
@@ -254,7 +270,9 @@ def _signed(key: str) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, shards: int = 64) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, min_docs: int = 10, min_chars: int = 1, shards: int = 64, once_per_text: bool = False
+) -> DataFrame:
     """One batch: index the documents, then drop their common lines."""
-    index = add_documents(empty_index(docs.sparkSession, shards, min_docs, min_chars), docs)
+    index = add_documents(empty_index(docs.sparkSession, shards, min_docs, min_chars, once_per_text), docs)
     return drop_common_lines(index, docs)

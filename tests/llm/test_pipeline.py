@@ -32,6 +32,28 @@ def test_stages_take_effect(spark, documents, tmp_path):
     assert {r["doc_id"] for r in coded} == set(range(14)) and all(r["round_trip"] for r in coded)
 
 
+def test_copies_leave_one(spark, documents, tmp_path):
+    shared = "this line stands in many documents"
+    clean = f"{' '.join(words(500, 40))}\n{' '.join(words(501, 40))}"
+    rows = [(k, f"{' '.join(words(600 + k, 40))}\n{shared}", "en") for k in range(11)]
+    rows += [(100 + k, clean if k % 2 else f" {clean.upper()}\n", "en") for k in range(12)]
+    # One document of many texts, and rows without an id, count a line once.
+    own, lost = "only in one document", "only in rows without an id"
+    rows += [(50, f"{' '.join(words(650 + k, 9))}\n{own}", "en") for k in range(12)]
+    rows += [(None, f"{' '.join(words(670 + k, 9))}\n{lost}", "en") for k in range(12)]
+    docs = documents(*rows)
+    kept = corpus_pipeline.drop_repeated_lines(spark, docs, "").collect()
+    assert len(kept) == len(rows)
+    assert all(shared not in r["text"] for r in kept)
+    assert sum(own in r["text"] for r in kept) == 12 and sum(lost in r["text"] for r in kept) == 12
+    assert {r["text"] for r in kept if (r["doc_id"] or 0) >= 100} == {t for k, t, _ in rows if (k or 0) >= 100}
+    folder = str(tmp_path)
+    docs.where("doc_id <> 50").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    left = {r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect()}
+    assert left == {*range(11), 100}
+
+
 def test_empty_table(spark, documents, tmp_path):
     documents((1, "x", "en")).limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
