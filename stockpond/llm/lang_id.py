@@ -1,8 +1,8 @@
 """Language spans of mixed texts: script ranges, per-word scores, Viterbi with a switching penalty.
 
 Fitting counts character trigrams of words per language over a bounded, stated
-sample of labelled rows (``per_lang`` rows of each language, chosen by a hash
-of the text). The model is a table of log10 probabilities of hashed trigrams
+sample of labelled texts (``per_lang`` different texts of each language, chosen
+by a hash of the text; copies count once). The model is a table of log10 probabilities of hashed trigrams
 and, per language, the scripts its letters come from; its size is fixed by
 ``buckets`` and the number of languages.
 
@@ -84,19 +84,26 @@ class LanguageModel:
         return np.where(allowed | ~allowed.any(axis=1, keepdims=True), scores, scores - 100.0)
 
 
-def fit(docs: DataFrame, per_lang: int = 2000, buckets: int = 1 << 16) -> LanguageModel:
-    """Learn from ``text`` and non-null ``lang``, from at most ``per_lang`` texts of each language."""
+def sample(docs: DataFrame, per_lang: int) -> DataFrame:
+    """(text, lang): ``per_lang`` different texts of each language, or all if there are fewer."""
     labelled = docs.select("text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
-    # Hashes below the cut leave about twice the rows of the sample, so no language gathers its texts in one task.
+    hashed = labelled.select("lang", F.xxhash64("text").alias("hash"))
+    sizes = hashed.distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    # Hashes below the cut leave about twice the texts of the sample, so no language gathers its texts in one task.
+    # That is more than ``per_lang`` by many deviations, as every different text has a draw of its own.
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
     pick = Window.partitionBy("lang").orderBy("draw", "text")
-    sample = (
+    return (
         labelled.withColumn("draw", draw).join(F.broadcast(sizes), "lang")  # a row per language
         .where(F.col("draw") < F.greatest(F.lit(2 * per_lang), F.lit(64)) / F.col("size") * (1 << 40))
+        .select("lang", "draw", "text").distinct()
         .withColumn("pick", F.row_number().over(pick)).where(F.col("pick") <= per_lang).select("text", "lang")
     )
 
+
+def fit(docs: DataFrame, per_lang: int = 2000, buckets: int = 1 << 16) -> LanguageModel:
+    """Learn from ``text`` and non-null ``lang``, from at most ``per_lang`` different texts of each language."""
+
     def make():
         def step(rows: dict[str, list]) -> dict[str, list]:
             out: dict[str, list] = {"lang": [], "kind": [], "item": [], "n": []}
@@ -116,7 +123,7 @@ def fit(docs: DataFrame, per_lang: int = 2000, buckets: int = 1 << 16) -> Langua
 
         return step
 
-    counted = map_rows(sample, make, "lang string, kind string, item bigint, n bigint")
+    counted = map_rows(sample(docs, per_lang), make, "lang string, kind string, item bigint, n bigint")
     rows = counted.groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")).collect()  # (buckets + scripts) x languages
     langs = sorted({r["lang"] for r in rows})
     grams = np.zeros((buckets, len(langs)))

@@ -304,6 +304,16 @@ def test_languages_and_spans(documents, odd):
     assert lang_id.predict(asked, lang_id.fit(train.limit(0))).where("lang_pred <> 'und'").count() == 0
 
 
+def test_sample_is_of_different_texts(documents):
+    german = [" ".join(words(800 + k, 12)) for k in range(30)]
+    rows = [(k, t, "de") for k, t in enumerate(german)] + [(100 + k, "ein text", "de") for k in range(3000)]
+    rows += [(9000 + k, "un texte", "fr") for k in range(500)] + [(9900, None, "it"), (9901, "testo", None)]
+    found = [tuple(r) for r in lang_id.sample(documents(*rows), 40).collect()]
+    assert sorted(found) == sorted([(t, "de") for t in [*german, "ein text"]] + [("un texte", "fr")])
+    assert len(lang_id.sample(documents(*rows), 20).where("lang = 'de'").distinct().collect()) == 20
+    assert lang_id.fit(documents(*rows), per_lang=40).langs == ["de", "fr"]
+
+
 # 7 and 8. Pieces
 
 
