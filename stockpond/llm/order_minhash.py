@@ -11,7 +11,9 @@ k-mer Jaccard similarity of 0.67.
 2. A sketch takes the ``picks`` k-mers, labelled by their occurrence, with the
    smallest hashes, in the order of the text: equal sketches need equal k-mers
    in equal order. There are ``sketches`` of them. A pair with a Jaccard
-   similarity of 0.8 has one sketch in common with a probability above 0.9999.
+   similarity of 0.8 has one sketch in common with a probability above 0.9999,
+   if the texts have many more k-mers than ``picks``. Texts of few k-mers take
+   their rarest ones as buckets as well (see 3), by which no link is lost.
 3. The documents of one sketch are a bucket. Its leader is paired with all
    others, so a bucket of any size gives one pair per document. Leaders are
    taken in an order that is the same for all buckets: first the documents that
@@ -335,13 +337,13 @@ def _rare_buckets(texts: DataFrame, similarity: float) -> DataFrame:
         (F.col("place") <= wanted) & (F.col("n") > 1)).select("bucket", "id", "size")
 
 
-def near_pairs(given: DataFrame, sketched: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
-    """Verified pairs (a, b) of different texts that connect all near duplicates that share a sketch.
+def near_pairs(given: DataFrame, sketched: DataFrame, members: DataFrame, similarity: float, few: int) -> DataFrame:
+    """Verified pairs (a, b) of different texts that connect all near duplicates that share a sketch or have under ``few`` k-mers.
 
-    Texts of ``given`` are read again only for documents that share a sketch:
+    Texts of ``given`` are read again only for documents that share a sketch or are short:
     they become k-mers, a table that all rounds use. The first round takes one
     leader per bucket of equal sketches, as most are copies of one text. What
-    differs from it is dealt anew by ``rare_buckets``; from there on each round
+    differs from it and all that is short is dealt anew by ``rare_buckets``; from there on each round
     takes twice the leaders of the one before, as most members are no near
     duplicates of any, and rounds stay few.
     """
@@ -349,16 +351,23 @@ def near_pairs(given: DataFrame, sketched: DataFrame, members: DataFrame, simila
     # Rows of one document differ in texts or are repeated; one with the key goes on.
     own = sketched.join(chosen, (F.col("doc_id") == F.col("rep")) & (F.col("k1") == F.col("r1")) & (F.col("k2") == F.col("r2"))).dropDuplicates(["rep"])
     members = _ordered(own.select(F.col("rep").alias("id"), "size", F.explode("buckets").alias("bucket")))
-    wanted = members.select(F.col("id").alias("rep")).distinct().join(chosen, "rep")
+    # What is near to a text of under ``few`` k-mers has no more than this.
+    short = stage(own.where(F.col("size") <= few / similarity).select("rep"), "short")
+    wanted = members.select(F.col("id").alias("rep")).unionByName(short).distinct().join(chosen, "rep")
     texts = given.join(wanted, F.col("doc_id") == F.col("rep")).select(
         "rep", "text", F.col("r1").alias("k1"), F.col("r2").alias("k2")).distinct()
     texts = stage(_kmers(texts), "kmers")
     rounds: list[DataFrame] = []
     tested = None
+    dealt = False
     while True:
         star = stage(candidate_pairs(members, 1 << max(0, len(rounds) - 1), similarity), "stars")
         if star.isEmpty():
-            break
+            if dealt or short.isEmpty():
+                break
+            members = _ordered(stage(_rare_buckets(texts, similarity), "rare"))  # no sketch is shared: all are short
+            dealt = True
+            continue
         pairs = star.where(~F.col("far")).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
         fresh = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
         results = stage(_verified(fresh, texts, similarity), "verified")
@@ -369,9 +378,10 @@ def near_pairs(given: DataFrame, sketched: DataFrame, members: DataFrame, simila
         rounds.append(rated)
         members = rated.where(~F.col("leads")).groupBy("bucket", F.col("b").alias("id"), "size", "weight").agg(
             F.max("linked").alias("linked")).where(~F.col("linked")).select("bucket", "id", "size", "weight")
-        if len(rounds) == 1:
-            left = stage(members.select(F.col("id").alias("rep")).distinct(), "left")
+        if not dealt:
+            left = stage(members.select(F.col("id").alias("rep")).unionByName(short).distinct(), "left")
             members = _ordered(stage(_rare_buckets(texts.join(left, "rep", "left_semi"), similarity), "rare"))
+            dealt = True
     if tested is None:
         return star.select(F.col("leader").alias("a"), F.col("id").alias("b"))
     links = tested.where("linked").select("a", "b")
@@ -429,7 +439,7 @@ def classes(docs: DataFrame, similarity: float = 0.8, sketches: int = 40, picks:
     given = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
     sketched = stage(_sketched(given, sketches, picks), "sketches")
     members = stage(_representatives(sketched), "copies")
-    pairs = stage(near_pairs(given, sketched, members, similarity).select("a", "b").distinct(), "near-pairs")
+    pairs = stage(near_pairs(given, sketched, members, similarity, 4 * picks).select("a", "b").distinct(), "near-pairs")
     linked = components(pairs)
     degree = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     known = (

@@ -125,6 +125,20 @@ def test_classes_against_all_pairs(documents):
     assert order_minhash.keep_one(docs).select("doc_id").distinct().count() == len(set(root))
 
 
+def test_short_near_texts_are_linked(documents):
+    pairs = []
+    for n in range(8, 31):
+        base = words(2000 + n, n)
+        pairs += [" ".join(base), " ".join([*base, "more"])]
+    pairs += [" ".join(words(2100, 6)), " ".join([*words(2100, 6), "more"])]  # two and three k-mers: no link
+    found = {r["doc_id"]: r["class_id"] for r in order_minhash.classes(documents(*enumerate(pairs))).collect()}
+    assert [found[k] for k in range(46)] == [k - k % 2 for k in range(46)]
+    assert (found[46], found[47]) == (46, 47)
+    # No sketch is shared at all.
+    alone = order_minhash.classes(documents((1, pairs[0]), (2, pairs[1]))).collect()
+    assert {tuple(r) for r in alone} == {(1, 1, 1), (2, 1, 1)}
+
+
 def test_near_texts_share_a_rare_bucket(spark):
     draw = random.Random(11)
     passage, texts = words(7, 50), []
