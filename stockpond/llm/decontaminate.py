@@ -9,7 +9,8 @@ are fewer), weighted by their rarity in the benchmark.
    where a shingle of an item is found: aligned so that the shingle lies where
    it lies in the item. An edit moves later shingles by its own size; each
    shared shingle lays its window, so the unmoved part has one of its own.
-2. Windows and items get a 64-bit SimHash of their weighted shingles.
+2. Windows and items get a 64-bit SimHash of their shingles, each with the root
+   of its weight: the angle of two then follows from the shared weight.
 3. Fingerprints are cut into four blocks of 16 bits. Two fingerprints within
    ``radius`` = 4 * ``block_radius`` + 3 bits differ by at most ``block_radius``
    bits in one block at least, so looking up every block value of an item with
@@ -17,8 +18,9 @@ are fewer), weighted by their rarity in the benchmark.
 4. Pairs found are verified by the exact weighted Jaccard similarity of their
    shingles, with multiplicity; ``similarity`` or more is a leak.
 
-At a similarity of 0.8 the expected distance is below 10 bits with a standard
-deviation of 3; the default radius of 19 is three deviations above it.
+At a similarity of 0.8 the cosine of two such vectors is at least 0.88, however
+uneven the weights; the expected distance is below 10 bits with a standard
+deviation of 3, and the default radius of 19 is three deviations above it.
 
 Null and empty texts and items have no words and never match; an item of
 fewer than five words is only found as a whole document. Repeated items
@@ -125,8 +127,9 @@ def leaks(
         F.sum("w").alias("mass"), F.count(F.lit(1)).alias("n"), F.first("w").alias("w"))
 
     # 2. Fingerprints.
-    window_prints = window_rows.groupBy("window", "length").agg(*_fingerprint("h", "mass"))
-    item_prints = item_counts.groupBy("item", "length").agg(*_fingerprint("h", "mass"))
+    root = F.sqrt("mass").alias("root")
+    window_prints = window_rows.select("window", "length", "h", root).groupBy("window", "length").agg(*_fingerprint("h", "root"))
+    item_prints = item_counts.select("item", "length", "h", root).groupBy("item", "length").agg(*_fingerprint("h", "root"))
 
     # 3. The index of items holds every value within block_radius bits of a block.
     flips = [str(m) for m in range(1 << BLOCK_BITS) if m.bit_count() <= block_radius]

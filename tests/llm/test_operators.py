@@ -416,3 +416,29 @@ def test_leaks_against_brute_force(spark, documents, odd):
     assert {(r["doc_id"], r["item_id"]) for r in wide.collect()} == found
     assert decontaminate.leaks(odd, benchmark.limit(0)).count() == 0
     assert decontaminate.leaks(odd.limit(0), benchmark).count() == 0
+
+
+def test_templated_leaks_against_brute_force(spark, documents):
+    stem = words(3000, 100)
+    items = [(k, " ".join([*stem, *words(3100 + k, 5)])) for k in range(120)]
+    # The last words differ: the rare shingles at the end change, the shared ones stay.
+    texts = [" ".join([*t.split()[:-(1 + k % 3)], *words(3300 + k, 1 + k % 3)]) for k, t in items]
+
+    def cut(text):
+        w = text.split()
+        return Counter(" ".join(w[i: i + 5]) for i in range(len(w) - 4))
+
+    bags = [cut(t) for _, t in items]
+    df = Counter(h for b in bags for h in b)
+    weight = {h: 1 + math.log(len(items) / n) for h, n in df.items()}
+    rarest = 1 + math.log(len(items))
+    expected = set()
+    for d, text in enumerate(texts):
+        own = cut(text)
+        for i, bag in enumerate(bags):
+            both = sum(weight.get(h, rarest) * n for h, n in (own & bag).items())
+            if both >= 0.8 * sum(weight.get(h, rarest) * n for h, n in (own | bag).items()):
+                expected.add((d, i))
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(documents(*enumerate(texts)), spark.createDataFrame(
+        items, "item_id bigint, text string")).collect()}
+    assert found <= expected and len(found) >= 0.99 * len(expected)
