@@ -16,6 +16,7 @@ from stockpond.llm import (
     piece_codec,
     piece_counts,
     pivot_search,
+    quality_rules,
     secret_scan,
     token_shards,
 )
@@ -134,3 +135,51 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+@_query
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """The measures of every document, and whether it passes the base and all rules."""
+    rated = quality_rules.rate(table(spark, folder, "documents"))
+    return rated.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+_BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS))
+
+SQL["op13_quality_rules"] = f"""
+WITH given AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), cut AS (
+  SELECT r, doc_id, text,
+         list_filter(string_split(translate(text, {_BLANK}, repeat(' ', 6)), ' '), lambda w: w <> '') AS words,
+         list_filter(string_split(text, chr(10)), lambda l: trim(l, {_BLANK}) <> '') AS lines
+  FROM given
+), gram AS (
+  SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
+  FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM cut)
+), twice AS (
+  SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS following
+  FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM gram) WHERE n > 1
+), repeated AS (
+  SELECT r, sum(least(3, coalesce(following - i, 3))) AS n FROM twice GROUP BY r
+), measured AS (
+  SELECT doc_id, len(words) AS n_words, length(translate(text, {_BLANK}, '')) AS word_chars,
+         length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+         len(list_filter(words, lambda w: regexp_matches(w, '\\p{{L}}'))) AS letter_words,
+         len(list_filter(words, lambda w: translate(lower(w), '.,;:!?"''()', '') IN ({_STOP}))) AS stop_words,
+         len(lines) AS n_lines,
+         len(list_filter(lines, lambda l: left(trim(l, {_BLANK}), 1) IN ('-', '*', '•', '–'))) AS bullets,
+         len(list_filter(lines, lambda l: suffix(trim(l, {_BLANK}), '...') OR suffix(trim(l, {_BLANK}), '…'))) AS open_lines
+  FROM cut LEFT JOIN repeated USING (r)
+), based AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 10 * word_chars BETWEEN 20 * n_words AND 150 * n_words AND 100 * n_symbols <= 10 * n_words
+       AND 100 * letter_words >= 60 * n_words AND 1000 * stop_words >= 20 * n_words AND 100 * bullets <= 90 * n_lines
+       AND 100 * open_lines <= 30 * n_lines AND 100 * n_dup_lines <= 50 * n_lines AS kept
+FROM based
+"""
