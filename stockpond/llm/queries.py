@@ -13,6 +13,7 @@ from stockpond.llm import (
     lang_id,
     line_dedup,
     order_minhash,
+    periodic_runs,
     piece_codec,
     piece_counts,
     pivot_search,
@@ -137,6 +138,20 @@ FROM marked GROUP BY doc_id
 """
 
 
+@_query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The periodic runs of words of every document, some of which are made periodic first."""
+    docs = table(spark, folder, "documents")
+    found = periodic_runs.runs_of(docs.select("doc_id", "text"), alter=F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    top = F.when(F.size("runs") > 0, periodic_runs.longest_run(F.col("runs")))
+    listed = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(F.lit(""))
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.sha2(listed, 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"), top.alias("top")).select(
+        "doc_id", "n_runs", "top.start", "top.length", "top.period",
+        F.expr("top.length * 1000 div top.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 @_query
 def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """The measures of every document, and whether it passes the base and all rules."""
