@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stockpond.llm import (
     decontaminate,
+    hard_negatives,
     hidden_markov,
     lang_id,
     line_dedup,
@@ -152,6 +153,38 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.expr("top.length * 1000 div top.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
+@_query
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives for the positives of every fiftieth vector."""
+    moved = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return hard_negatives.mine(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, moved)
+
+
+SQL["op12_hard_negatives"] = """
+WITH whole AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.r, a.vec_id AS anchor_id, x.vec_id, a.label = x.label AS same,
+         CAST(list_dot_product(a.v, x.v) AS BIGINT) AS score
+  FROM whole a JOIN whole x ON a.vec_id <> x.vec_id WHERE a.vec_id % 50 = 0
+), positive AS (
+  SELECT r, anchor_id, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS place
+  FROM scored WHERE same QUALIFY place <= 5
+), negative AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.r, p.place ORDER BY s.score DESC, s.vec_id) AS place
+  FROM positive p JOIN scored s ON p.r = s.r
+  WHERE NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM negative WHERE place <= 3
+"""
+
+
 @_query
 def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """The measures of every document, and whether it passes the base and all rules."""
