@@ -108,12 +108,17 @@ class QualityLimits:
 
 @dataclass(frozen=True)
 class LakeConfig:
-    """Where the layers live and how a run behaves."""
+    """Where the layers live and how a run behaves.
+
+    Silver tables lie in ``silver_buckets`` buckets of their key; merging a day
+    rewrites the buckets that it touches, so large tables want many.
+    """
 
     root: str
     limits: QualityLimits = field(default_factory=QualityLimits)
     calendar_start_year: int = 2020
     calendar_end_year: int = 2030
+    silver_buckets: int = 16
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"

@@ -1,7 +1,8 @@
 """The whole run over one lake root: bronze, silver with quality gate, gold, post-load check.
 
 Each step reads what earlier steps wrote, so a run can be repeated from any
-layer. A table is never overwritten while it is being read.
+layer. Tables of silver, quality and gold are versioned: a step that fails leaves
+the version before, and readers are never cut off.
 """
 
 from __future__ import annotations
@@ -18,13 +19,17 @@ from stockpond.plans.silver import build_silver, merge_silver
 from stockpond.quality.engine import enforce
 from stockpond.quality.suites import check_customers, check_order_items, check_orders, check_products
 from stockpond.operators.history import merge_history
-from stockpond.session import scratch_scope, stage
+from stockpond.session import scratch_scope
 from stockpond.sources.catalog import register_table
 from stockpond.sources.files import is_empty_source, path_exists, read_layer
-from stockpond.sources.sinks import WriteReport, write_table
+from stockpond.sources.sinks import WriteReport
+from stockpond.sources.versions import current_version, merge_buckets, remove_old_versions, replace_buckets, replace_table
 
 log = logging.getLogger(__name__)
 
+#: Silver tables with columns that move on from day to day in every row (ages).
+DAILY_CHANGING = ("customers",)
+
 
 def run_bronze(
     spark: SparkSession,
@@ -51,7 +56,9 @@ def run_silver(
     """Build silver tables from bronze.
 
     With a ``processing_date`` only that ingestion day is read and merged into
-    the existing silver table; otherwise the table is rebuilt.
+    the existing silver table; otherwise the table is rebuilt. The merge
+    rewrites only the buckets of the keys that arrived, except for tables whose
+    rows depend on the day of the run.
     """
     return {table: _silver_table(spark, lake, table, as_of, processing_date) for table in tables}
 
@@ -66,11 +73,15 @@ def _silver_table(spark, lake, table, as_of, processing_date) -> WriteReport | N
     if is_empty_source(bronze):
         log.warning("%s: no bronze records, skipped", table)
         return None
-    silver = build_silver(table, bronze, as_of)
+    silver, key = build_silver(table, bronze, as_of), source_table(table).key
+    if not processing_date or not path_exists(spark, target):
+        return replace_buckets(silver, target, key, lake.silver_buckets)
+    version = current_version(spark, target)
+    if version is None or not version.buckets or table in DAILY_CHANGING:
+        merged = merge_silver(table, read_layer(spark, target), silver, as_of)
+        return replace_buckets(merged, target, key, lake.silver_buckets)
     with scratch_scope(spark):
-        if processing_date and path_exists(spark, target):
-            silver = stage(merge_silver(table, read_layer(spark, target), silver, as_of), f"silver-{table}")
-        return write_table(silver, target)
+        return merge_buckets(target, silver, lambda existing, arrivals: merge_silver(table, existing, arrivals, as_of))
 
 
 def run_quality(spark: SparkSession, lake: LakeConfig, as_of: str | None = None) -> DataFrame:
@@ -84,7 +95,7 @@ def run_quality(spark: SparkSession, lake: LakeConfig, as_of: str | None = None)
         .unionByName(check_order_items(silver["order_items"], silver["orders"], silver["products"], limits, as_of))
     )
     path = lake.path("quality", "silver_checks")
-    write_table(results, path)
+    replace_table(results, path)
     written = read_layer(spark, path)
     if limits.fail_on_error:
         enforce(written)
@@ -101,7 +112,7 @@ def run_gold(spark: SparkSession, lake: LakeConfig, as_of: str | None = None) ->
 
     def save(name: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = ()) -> DataFrame:
         with scratch_scope(spark):
-            reports[name] = write_table(build(), lake.path("gold", name), partition_by=partition_by)
+            reports[name] = replace_table(build(), lake.path("gold", name), partition_by=partition_by)
         return read_layer(spark, lake.path("gold", name))
 
     days = dimensions.calendar(spark, lake.calendar_start_year, lake.calendar_end_year)
@@ -130,14 +141,20 @@ def run_history(spark: SparkSession, lake: LakeConfig, effective: str) -> dict[s
         latest, target = read_layer(spark, lake.path("gold", name)), lake.path("gold", f"{name}_history")
         with scratch_scope(spark):
             if path_exists(spark, target):
-                merged = merge_history(read_layer(spark, target), latest, natural, key, tracked, effective)
-                history = stage(merged, f"{name}-history")
+                history = merge_history(read_layer(spark, target), latest, natural, key, tracked, effective)
             else:
                 history = dimensions.start_history(latest, key, natural, tracked)
-            reports[name] = write_table(history, target)
+            reports[name] = replace_table(history, target)
     return reports
 
 
+def run_cleanup(spark: SparkSession, lake: LakeConfig, keep: int = 2) -> int:
+    """Remove all but the last ``keep`` versions of every table; returns how many folders went."""
+    tables = [("silver", t) for t in SILVER_TABLES] + [("gold", t) for t in GOLD_PARTITIONS]
+    tables += [("gold", f"{name}_history") for name in dimensions.TRACKED_ATTRIBUTES] + [("quality", "silver_checks")]
+    return sum(remove_old_versions(spark, lake.path(layer, table), keep) for layer, table in tables)
+
+
 def check_load(spark: SparkSession, lake: LakeConfig) -> tuple[DataFrame, DataFrame]:
     """After a load: null and orphan keys per dimension, and the business totals."""
     gold = {name: read_layer(spark, lake.path("gold", name)) for name in ("fact_sales", "dim_customer", "dim_product")}

@@ -8,6 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from stockpond.contracts import source_table
 from stockpond.session import hadoop_path
+from stockpond.sources.versions import current_version, locate, read_version
 
 CORRUPT_COLUMN = "_corrupt_record"
 
@@ -60,14 +61,22 @@ def read_files(
 
 
 def read_layer(spark: SparkSession, path: str, ingestion_date: str | None = None, merge_schema: bool = False) -> DataFrame:
-    """Parquet table of a layer; with a date, only the files of that ingestion partition are read.
+    """Table of a layer: the newest version, or plain Parquet files; with a date, only one ingestion partition.
 
-    All partitions are listed. An empty date means the whole table.
+    The folder of that partition is read by its name, so a table of many days
+    is not listed. A day without a folder has no rows. An empty date means the
+    whole table.
     """
-    df = spark.read.option("mergeSchema", merge_schema).parquet(path)
-    if ingestion_date:
-        df = df.where(F.col("_ingestion_date") == F.lit(ingestion_date).cast("date"))
-    return df
+    reader = spark.read.option("mergeSchema", merge_schema)
+    if not ingestion_date:
+        return reader.parquet(path) if current_version(spark, path) is None else read_version(spark, path)
+    wanted = F.col("_ingestion_date") == F.lit(ingestion_date).cast("date")
+    if current_version(spark, path) is not None:
+        return read_version(spark, path).where(wanted)
+    day = f"{path.rstrip('/')}/_ingestion_date={ingestion_date}"
+    if not path_exists(spark, day):
+        return reader.parquet(path).where(wanted)
+    return reader.option("basePath", path).parquet(day).where(wanted)
 
 
 def spread_rows(df: DataFrame, from_bytes: int = 2 << 20) -> DataFrame:
@@ -86,8 +95,9 @@ def spread_rows(df: DataFrame, from_bytes: int = 2 << 20) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at a path; paths inside a versioned table mean its newest version."""
     jpath, fs = hadoop_path(spark, path)
-    return fs.exists(jpath)
+    return fs.exists(jpath) or fs.exists(hadoop_path(spark, locate(spark, path))[0])
 
 
 def is_empty_source(df: DataFrame) -> bool:

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from stockpond.operators import merge_history
 from stockpond.operators.numbering import number_rows
-from stockpond.plans import dimensions, facts, marts
+from stockpond.contracts import LakeConfig
+from stockpond.plans import dimensions, facts, lake, marts
+from stockpond.session import scratch_path
+from stockpond.sources import read_layer, replace_table, write_table
 from testbed import sql as S
 from testbed import tables as T
 from testbed.registry import query
@@ -277,7 +280,7 @@ def fact_orphan_keys(spark, sf_dir):
     )
 
 
-@query("scd2_merge", """
+PARTNER_HISTORY = """
     WITH partners AS (
       SELECT c_custkey, 'CUST-' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS partner_id, c_name AS name,
         c_nationkey AS nation, c_acctbal < 0 AS moved FROM customer),
@@ -295,9 +298,29 @@ def fact_orphan_keys(spark, sf_dir):
       CASE WHEN moved THEN TIMESTAMP '2001-08-02' END AS effective_to, NOT moved AS is_current FROM existing
     UNION ALL
     SELECT (SELECT count(*) FROM existing) + row_number() OVER (ORDER BY partner_id), partner_id, name, place,
-      TIMESTAMP '2001-08-02', NULL, true FROM opened""")
+      TIMESTAMP '2001-08-02', NULL, true FROM opened"""
+
+
+@query("scd2_merge", PARTNER_HISTORY)
 def scd2_merge(spark, sf_dir):
     """Customers as first loaded; a delivery moves those in debt and brings the suppliers as new partners."""
+    first_load, delivery = partners(spark, sf_dir)
+    return T.comparable(merge_history(first_load, delivery, "partner_id", "partner_key", ["name", "place"], T.AS_OF))
+
+
+@query("history_second_load", PARTNER_HISTORY)
+def history_second_load(spark, sf_dir):
+    """The same history as a table that is replaced by its next state, read back from there."""
+    path = scratch_path(spark, "partner-history")
+    first_load, delivery = partners(spark, sf_dir)
+    replace_table(first_load, path)
+    replace_table(
+        merge_history(read_layer(spark, path), delivery, "partner_id", "partner_key", ["name", "place"], T.AS_OF), path)
+    return T.comparable(read_layer(spark, path))
+
+
+def partners(spark, sf_dir):
+    """(first load with its keys, delivery): customers and suppliers as partners with a place."""
     nation = F.concat(F.lit("nation "), F.col("c_nationkey").cast("string"))
     customers = T.load(spark, sf_dir, "customer").select(
         T.customer_id("c_custkey").alias("partner_id"), F.col("c_name").alias("name"), nation.alias("place"),
@@ -313,6 +336,32 @@ def scd2_merge(spark, sf_dir):
         "is_current": F.lit(True),
     })
     delivery = customers.withColumn("place", F.when(F.col("moved"), "moved").otherwise(F.col("place"))).drop("moved")
-    return T.comparable(merge_history(
-        first_load, delivery.unionByName(suppliers), "partner_id", "partner_key", ["name", "place"], T.AS_OF
-    ))
+    return first_load, delivery.unionByName(suppliers)
+
+
+def lake_with_bronze(spark, sf_dir, tables):
+    """A lake whose bronze tables hold the deliveries of the given tables by day."""
+    config = LakeConfig(scratch_path(spark, "lake"))
+    for table in tables:
+        raw = T.RAW[table](spark, sf_dir)
+        day = F.greatest(F.col("_ingested_at").cast("date"), F.lit("2001-08-01").cast("date"))  # two folders, not one a day
+        write_table(raw.withColumn("_ingestion_date", day), config.path("bronze", table), partition_by=["_ingestion_date"])
+    return config
+
+
+@query("silver_bucket_merge", S.with_tables(*SILVER_SQL["silver_orders"]))
+def silver_bucket_merge(spark, sf_dir):
+    """Two ingestion days, the second merged into the buckets that it touches, equal a rebuild."""
+    config = lake_with_bronze(spark, sf_dir, ["orders"])
+    for day in ("2001-08-01", "2001-08-02"):
+        lake.run_silver(spark, config, ["orders"], T.AS_OF, processing_date=day)
+    return T.comparable(read_layer(spark, config.path("silver", "orders")))
+
+
+@query("lake_run", sales_sql("date_key"))
+def lake_run(spark, sf_dir):
+    """Silver and gold as tables of a lake, each read from what the step before wrote; daily sales at the end."""
+    config = lake_with_bronze(spark, sf_dir, T.RAW)
+    lake.run_silver(spark, config, as_of=T.AS_OF)
+    lake.run_gold(spark, config, as_of=T.AS_OF)
+    return T.comparable(read_layer(spark, config.path("gold", "agg_daily_sales")))
