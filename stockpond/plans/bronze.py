@@ -26,17 +26,18 @@ def ingest_table(
     bronze_path: str,
     file_format: str = "csv",
     replace_day: bool = False,
+    match_pattern: bool = False,
 ) -> WriteReport | None:
     """Copy the raw files of a table into its ingestion-date partition.
 
     Appends by default; ``replace_day`` overwrites just today's partition, so
-    a repeated run does not duplicate rows. A missing or empty source is
-    skipped with a warning.
+    a repeated run does not duplicate rows. ``match_pattern`` reads only files
+    named like the table. A missing or empty source is skipped with a warning.
     """
     if not path_exists(spark, raw_path):
         log.warning("%s: no raw files at %s, skipped", table, raw_path)
         return None
-    raw = read_raw(spark, table, raw_path, file_format)
+    raw = read_raw(spark, table, raw_path, file_format, match_pattern=match_pattern)
     if is_empty_source(raw):
         log.warning("%s: raw files at %s hold no records, skipped", table, raw_path)
         return None

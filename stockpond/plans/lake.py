@@ -23,6 +23,7 @@ from stockpond.session import scratch_scope
 from stockpond.sources.catalog import register_table
 from stockpond.sources.files import is_empty_source, path_exists, read_layer
 from stockpond.sources.sinks import WriteReport
+from stockpond.streaming.incremental import ingest_new_files
 from stockpond.sources.versions import current_version, merge_buckets, remove_old_versions, replace_buckets, replace_table
 
 log = logging.getLogger(__name__)
@@ -37,13 +38,30 @@ def run_bronze(
     tables: Sequence[str] = SILVER_TABLES,
     file_format: str = "csv",
     replace_day: bool = False,
+    incremental: bool = False,
+    match_pattern: bool = False,
 ) -> dict[str, WriteReport | None]:
-    """Ingest the raw folders of the given tables."""
-    return {
-        table: ingest_table(spark, source_table(table).name, lake.path("raw", table),
-                            lake.path("bronze", table), file_format, replace_day)
-        for table in tables
-    }
+    """Ingest the raw folders of the given tables.
+
+    ``incremental`` takes in only the files that no incremental run took in
+    before; it may follow plain runs, whose files it does not know.
+    ``match_pattern`` reads only files named like their table.
+    """
+    if incremental and replace_day:
+        raise ValueError("an incremental run adds to its day and cannot replace it")
+
+    def ingest(table: str) -> WriteReport | None:
+        name, raw, bronze = source_table(table).name, lake.path("raw", table), lake.path("bronze", table)
+        if not incremental:
+            return ingest_table(spark, name, raw, bronze, file_format, replace_day, match_pattern)
+        if not path_exists(spark, raw):
+            log.warning("%s: no raw files at %s, skipped", table, raw)
+            return None
+        rows = ingest_new_files(spark, name, raw, bronze, lake.path("checkpoints", table), file_format,
+                                match_pattern=match_pattern)
+        return WriteReport(bronze, rows, {})
+
+    return {table: ingest(table) for table in tables}
 
 
 def run_silver(
@@ -175,9 +193,11 @@ def register_layers(spark: SparkSession, lake: LakeConfig, database: str) -> lis
     return [f"{database}.{table}" for _, table, _ in layers]
 
 
-def run_all(spark: SparkSession, lake: LakeConfig, as_of: str | None = None, file_format: str = "csv") -> dict:
+def run_all(
+    spark: SparkSession, lake: LakeConfig, as_of: str | None = None, file_format: str = "csv", incremental: bool = False
+) -> dict:
     """All layers in order."""
-    bronze = run_bronze(spark, lake, file_format=file_format)
+    bronze = run_bronze(spark, lake, file_format=file_format, incremental=incremental)
     silver = run_silver(spark, lake, as_of=as_of)
     run_quality(spark, lake, as_of)
     return {"bronze": bronze, "silver": silver, "gold": run_gold(spark, lake, as_of)}

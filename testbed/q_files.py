@@ -208,6 +208,26 @@ def bronze_incremental(spark, sf_dir):
     return spark.read.parquet(bronze).groupBy("order_id").agg(F.count(F.lit(1)).alias("deliveries"))
 
 
+@query("bronze_mixed_ingest", S.with_tables(S.SILVER_ORDERS, """
+    SELECT order_id, count(*) AS deliveries FROM (
+      SELECT order_id FROM silver_orders
+      UNION ALL SELECT 'ORD-' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') FROM orders WHERE o_orderstatus = 'O')
+    GROUP BY order_id"""))
+def bronze_mixed_ingest(spark, sf_dir):
+    """The first delivery by a plain run, the second by a stream into the same table: all rows are there."""
+    bronze, checkpoint = scratch_path(spark, "bronze-orders"), scratch_path(spark, "ingest-state")
+    orders = T.raw_orders(spark, sf_dir)
+    for day in (1, 2):
+        raw = scratch_path(spark, f"arrivals-{day}")
+        delivery = orders.where(F.col("_ingested_at") == T.delivered(day)).drop("_ingested_at", "_source_file")
+        delivery.write.option("header", True).option("escape", '"').csv(raw)
+        if day == 1:
+            ingest_table(spark, "orders", raw, bronze)
+        else:
+            ingest_new_files(spark, "orders", raw, bronze, checkpoint, timeout_seconds=300)
+    return read_layer(spark, bronze).groupBy("order_id").agg(F.count(F.lit(1)).alias("deliveries"))
+
+
 @query("silver_incremental_merge", S.with_tables(S.SILVER_ORDERS, """
     SELECT order_id, customer_id, status, total_amount FROM silver_orders"""))
 def silver_incremental_merge(spark, sf_dir):
