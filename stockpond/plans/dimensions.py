@@ -63,8 +63,9 @@ def with_holidays(dates: DataFrame, holidays: DataFrame) -> DataFrame:
     })
 
 
-def dim_product(products: DataFrame) -> DataFrame:
-    described = products.select(
+def product_profiles(products: DataFrame) -> DataFrame:
+    """Product attributes with bands; the dimension without its surrogate key."""
+    return products.select(
         "product_id",
         "sku",
         "name",
@@ -85,7 +86,19 @@ def dim_product(products: DataFrame) -> DataFrame:
         F.lit(True).alias("is_current"),
         F.current_timestamp().alias("_created_at"),
     )
-    return number_rows(described, "product_key", ["product_id"])
+
+
+def dim_product(products: DataFrame) -> DataFrame:
+    return number_rows(product_profiles(products), "product_key", ["product_id"])
+
+
+def with_stable_keys(profiles: DataFrame, history: DataFrame, key: str, natural_key: str) -> DataFrame:
+    """The dimension with the surrogate keys and start dates that its members' current versions have in the history."""
+    current = history.where("is_current").select(
+        F.col(natural_key).alias("_member"), key, F.col("effective_from").alias("_since"))
+    found = profiles.join(current, F.col(natural_key).eqNullSafe(F.col("_member")))
+    rest = [F.col("_since").alias(c) if c == "effective_from" else F.col(c) for c in profiles.columns]
+    return found.select(key, *rest)
 
 
 def start_history(dimension: DataFrame, key: str, natural_key: str, tracked: Sequence[str]) -> DataFrame:

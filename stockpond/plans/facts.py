@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stockpond.functions.money import money, percent_of, sum_cents, sum_exact
 from stockpond.functions.temporal import date_key
 from stockpond.operators.numbering import number_rows
+from stockpond.operators.validity import valid_version
 
 # Order pricing rules.
 REDUCED_RATE, FULL_RATE, FULL_RATE_COUNTRIES = 0.19, 0.21, ("NL", "BE")
@@ -21,24 +22,35 @@ def _current(dimension: DataFrame) -> DataFrame:
     return dimension.where("is_current") if "is_current" in dimension.columns else dimension
 
 
-def sales_lines(items: DataFrame, orders: DataFrame, customer_dim: DataFrame, product_dim: DataFrame) -> DataFrame:
+def sales_lines(
+    items: DataFrame, orders: DataFrame, customer_dim: DataFrame, product_dim: DataFrame, at_order_date: bool = False
+) -> DataFrame:
     """One row per order item with dimension keys and measures, not numbered yet.
 
     Each lookup is joined to the table that carries its key, so customers meet
     the smaller orders table and only narrow rows reach the join on order_id.
-    Lines of unknown orders, customers or products drop out.
+    Lines of unknown orders, customers or products drop out. With
+    ``at_order_date`` the dimensions are Type 2 histories, and keys and cost are
+    those of the versions valid when the order was placed.
     """
     headers = orders.select(
         "order_id", "customer_id", "order_date", "status", "payment_method", "shipping_country",
         "subtotal", "tax_amount", "shipping_amount",
-    ).join(_current(customer_dim).select("customer_id", "customer_key"), "customer_id")
+    )
     lines = items.select(
         "order_item_id", "order_id", "product_id", "quantity", "unit_price",
         "discount_percent", "discount_amount", "line_total",
-    ).join(_current(product_dim).select("product_id", "product_key", "cost"), "product_id")
+    )
+    if at_order_date:
+        headers = valid_version(headers, customer_dim, "customer_id", "order_date", ["customer_key"])
+        joined = valid_version(lines.join(headers, "order_id"), product_dim, "product_id", "order_date", ["product_key", "cost"])
+    else:
+        headers = headers.join(_current(customer_dim).select("customer_id", "customer_key"), "customer_id")
+        lines = lines.join(_current(product_dim).select("product_id", "product_key", "cost"), "product_id")
+        joined = lines.join(headers, "order_id")
 
     share = F.try_divide(F.col("line_total"), F.col("subtotal"))
-    measured = lines.join(headers, "order_id").withColumns({
+    measured = joined.withColumns({
         "gross_revenue": money(F.col("quantity") * F.col("unit_price")),
         "net_revenue": money("line_total"),
         "cost_of_goods": money(F.col("quantity") * F.col("cost")),
@@ -70,9 +82,12 @@ def sales_lines(items: DataFrame, orders: DataFrame, customer_dim: DataFrame, pr
     )
 
 
-def fact_sales(items: DataFrame, orders: DataFrame, customer_dim: DataFrame, product_dim: DataFrame) -> DataFrame:
+def fact_sales(
+    items: DataFrame, orders: DataFrame, customer_dim: DataFrame, product_dim: DataFrame, at_order_date: bool = False
+) -> DataFrame:
     """Numbered sales fact; the dimensions supply the keys, so fact and dimensions always agree."""
-    return number_rows(sales_lines(items, orders, customer_dim, product_dim), "sale_key", ["order_item_id"])
+    lines = sales_lines(items, orders, customer_dim, product_dim, at_order_date)
+    return number_rows(lines, "sale_key", ["order_item_id"])
 
 
 def allocation_residuals(fact: DataFrame, orders: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from stockpond.plans.silver import build_silver, merge_silver
 from stockpond.quality.engine import enforce
 from stockpond.quality.suites import check_customers, check_order_items, check_orders, check_products
 from stockpond.operators.history import merge_history
+from stockpond.operators.numbering import number_rows
 from stockpond.session import scratch_scope
 from stockpond.sources.catalog import register_table
 from stockpond.sources.files import is_empty_source, path_exists, read_layer
@@ -120,8 +121,17 @@ def run_quality(spark: SparkSession, lake: LakeConfig, as_of: str | None = None)
     return written
 
 
-def run_gold(spark: SparkSession, lake: LakeConfig, as_of: str | None = None) -> dict[str, WriteReport]:
-    """Build dimensions, then facts from the written dimensions, then the aggregates."""
+def run_gold(
+    spark: SparkSession, lake: LakeConfig, as_of: str | None = None, effective: str | None = None
+) -> dict[str, WriteReport]:
+    """Build dimensions, then facts from the written dimensions, then the aggregates.
+
+    With ``effective`` the changes of that day go into the Type 2 histories
+    first. Dimensions then keep the keys of the histories from run to run, and
+    the fact takes the versions that were valid when an order was placed.
+    Otherwise keys follow the order of the natural keys and the fact takes the
+    current state.
+    """
     missing = [t for t in SILVER_TABLES if not path_exists(spark, lake.path("silver", t))]
     if missing:
         raise FileNotFoundError(f"silver tables missing: {', '.join(missing)}")
@@ -133,13 +143,25 @@ def run_gold(spark: SparkSession, lake: LakeConfig, as_of: str | None = None) ->
             reports[name] = replace_table(build(), lake.path("gold", name), partition_by=partition_by)
         return read_layer(spark, lake.path("gold", name))
 
+    def versioned(name: str, profiles: DataFrame) -> DataFrame:
+        natural, key = dimensions.NATURAL_KEYS[name], dimensions.SURROGATE_KEYS[name]
+        history = save(f"{name}_history", lambda: _next_history(spark, lake, name, profiles, effective))
+        save(name, lambda: dimensions.with_stable_keys(profiles, history, key, natural))
+        return history
+
     days = dimensions.calendar(spark, lake.calendar_start_year, lake.calendar_end_year)
     save("dim_date", lambda: dimensions.dim_date(days))
-    products = save("dim_product", lambda: dimensions.dim_product(silver["products"]))
-    customers = save("dim_customer", lambda: dimensions.dim_customer(silver["customers"], silver["orders"], as_of))
+    if effective:
+        products = versioned("dim_product", dimensions.product_profiles(silver["products"]))
+        customers = versioned(
+            "dim_customer", dimensions.customer_profiles(silver["customers"], silver["orders"], as_of))
+    else:
+        products = save("dim_product", lambda: dimensions.dim_product(silver["products"]))
+        customers = save(
+            "dim_customer", lambda: dimensions.dim_customer(silver["customers"], silver["orders"], as_of))
     fact = save(
         "fact_sales",
-        lambda: facts.fact_sales(silver["order_items"], silver["orders"], customers, products),
+        lambda: facts.fact_sales(silver["order_items"], silver["orders"], customers, products, bool(effective)),
         partition_by=GOLD_PARTITIONS["fact_sales"],
     )
     save("agg_daily_sales", lambda: marts.daily_sales(fact))
@@ -147,6 +169,16 @@ def run_gold(spark: SparkSession, lake: LakeConfig, as_of: str | None = None) ->
     return reports
 
 
+def _next_history(spark, lake, name, profiles, effective) -> DataFrame:
+    """The history after today's profiles; the first one has an open version of every member."""
+    natural, key, tracked = dimensions.NATURAL_KEYS[name], dimensions.SURROGATE_KEYS[name], dimensions.TRACKED_ATTRIBUTES[name]
+    target = lake.path("gold", f"{name}_history")
+    if path_exists(spark, target):
+        return merge_history(read_layer(spark, target), profiles, natural, key, tracked, effective)
+    keyed = profiles if key in profiles.columns else number_rows(profiles, key, [natural])
+    return dimensions.start_history(keyed, key, natural, tracked)
+
+
 def run_history(spark: SparkSession, lake: LakeConfig, effective: str) -> dict[str, WriteReport]:
     """Carry the changes of the gold dimensions into their Type 2 histories.
 
@@ -154,15 +186,11 @@ def run_history(spark: SparkSession, lake: LakeConfig, effective: str) -> dict[s
     versions that changed by ``effective`` and open new ones.
     """
     reports = {}
-    for name, tracked in dimensions.TRACKED_ATTRIBUTES.items():
-        natural, key = dimensions.NATURAL_KEYS[name], dimensions.SURROGATE_KEYS[name]
-        latest, target = read_layer(spark, lake.path("gold", name)), lake.path("gold", f"{name}_history")
+    for name in dimensions.TRACKED_ATTRIBUTES:
+        latest = read_layer(spark, lake.path("gold", name))
         with scratch_scope(spark):
-            if path_exists(spark, target):
-                history = merge_history(read_layer(spark, target), latest, natural, key, tracked, effective)
-            else:
-                history = dimensions.start_history(latest, key, natural, tracked)
-            reports[name] = replace_table(history, target)
+            history = _next_history(spark, lake, name, latest, effective)
+            reports[name] = replace_table(history, lake.path("gold", f"{name}_history"))
     return reports
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stockpond.functions.money import money
 from stockpond.operators import merge_history
 from stockpond.operators.numbering import number_rows
 from stockpond.contracts import LakeConfig
@@ -365,3 +366,55 @@ def lake_run(spark, sf_dir):
     lake.run_silver(spark, config, as_of=T.AS_OF)
     lake.run_gold(spark, config, as_of=T.AS_OF)
     return T.comparable(read_layer(spark, config.path("gold", "agg_daily_sales")))
+
+
+CHANGED_ON = "1998-07-01"
+VERSIONED_FACT = S.FACT + f""",
+products_marked AS (SELECT *, CAST(substr(product_id, 6) AS BIGINT) % 3 = 0 AS changed FROM dim_product),
+customers_marked AS (
+  SELECT *, coalesce(CAST(substr(customer_id, 6) AS BIGINT) % 4 = 0 AND effective_from < TIMESTAMP '{CHANGED_ON}', false)
+    AS changed FROM dim_customer),
+product_versions AS (
+  SELECT product_id, product_key, cost, TIMESTAMP '0001-01-01' AS since,
+    CASE WHEN changed THEN TIMESTAMP '{CHANGED_ON}' ELSE TIMESTAMP '9999-12-31' END AS until FROM products_marked
+  UNION ALL
+  SELECT product_id, (SELECT count(*) FROM dim_product) + row_number() OVER (ORDER BY product_id),
+    {S.cents('cost + 1')}, TIMESTAMP '{CHANGED_ON}', TIMESTAMP '9999-12-31' FROM products_marked WHERE changed),
+customer_versions AS (
+  SELECT customer_id, customer_key, TIMESTAMP '0001-01-01' AS since,
+    CASE WHEN changed THEN TIMESTAMP '{CHANGED_ON}' ELSE TIMESTAMP '9999-12-31' END AS until FROM customers_marked
+  UNION ALL
+  SELECT customer_id, (SELECT count(*) FROM dim_customer) + row_number() OVER (ORDER BY customer_id),
+    TIMESTAMP '{CHANGED_ON}', TIMESTAMP '9999-12-31' FROM customers_marked WHERE changed)"""
+
+
+@query("fact_valid_versions", S.with_tables(VERSIONED_FACT, f"""
+    SELECT *, {S.cents('net_revenue - cost_of_goods')} AS profit
+    FROM (
+      SELECT order_item_id, order_date, c.customer_key, p.product_key, {S.cents('line_total')} AS net_revenue,
+        {S.cents('l.quantity * p.cost')} AS cost_of_goods
+      FROM (SELECT i.*, o.customer_id, o.order_date, coalesce(order_date, TIMESTAMP '9999-12-30') AS placed
+            FROM silver_items i JOIN silver_orders o ON i.order_id = o.order_id) l
+        JOIN customer_versions c ON l.customer_id = c.customer_id AND placed >= c.since AND placed < c.until
+        JOIN product_versions p ON l.product_id = p.product_id AND placed >= p.since AND placed < p.until)"""))
+def fact_valid_versions(spark, sf_dir):
+    """Sales lines with the product and customer versions of their order dates; a third of the products changed once."""
+    number = {c: F.substring(f"{c}_id", 6, 9).cast("bigint") for c in ("product", "customer")}
+    histories = {}
+    for name, dim, part, change in (
+        ("dim_product", T.product_dim(spark, sf_dir), number["product"] % 3 == 0,
+         {"brand": F.lit("Changed"), "cost": money(F.col("cost") + 1)}),
+        ("dim_customer", T.customer_dim(spark, sf_dir),
+         (number["customer"] % 4 == 0) & (F.col("effective_from") < CHANGED_ON), {"city": F.lit("Moved")}),
+    ):
+        key, natural, tracked = dimensions.SURROGATE_KEYS[name], dimensions.NATURAL_KEYS[name], dimensions.TRACKED_ATTRIBUTES[name]
+        path = scratch_path(spark, f"{name}-history")
+        replace_table(dimensions.start_history(dim, key, natural, tracked), path)
+        delivery = dim.where(part).withColumns(change)
+        replace_table(merge_history(read_layer(spark, path), delivery, natural, key, tracked, CHANGED_ON), path)
+        histories[name] = read_layer(spark, path)
+    lines = facts.sales_lines(
+        T.silver_table(spark, sf_dir, "order_items"), T.silver_table(spark, sf_dir, "orders"),
+        histories["dim_customer"], histories["dim_product"], at_order_date=True)
+    return T.comparable(lines).select(
+        "order_item_id", "order_date", "customer_key", "product_key", "net_revenue", "cost_of_goods", "profit")
