@@ -6,6 +6,7 @@ from stockpond.functions.bands import (
     value_tier,
 )
 from stockpond.functions.money import (
+    add_amounts,
     differ_by,
     from_micros,
     mean_exact,
@@ -20,7 +21,7 @@ from stockpond.functions.temporal import calendar_columns, date_key, parse_times
 from stockpond.functions.text import clean_code, email_domain, is_valid_email, parse_flag, person_name
 
 __all__ = [
-    "calendar_columns", "clean_code", "customer_segment", "customer_status", "date_key",
+    "add_amounts", "calendar_columns", "clean_code", "customer_segment", "customer_status", "date_key",
     "differ_by", "email_domain", "from_micros", "is_valid_email", "mean_exact", "micros", "money", "parse_flag",
     "parse_timestamp", "percent_of", "person_name", "price_tier", "stock_status",
     "sum_cents", "sum_exact", "value_tier", "within_cent",

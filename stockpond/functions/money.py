@@ -1,19 +1,31 @@
 """Money arithmetic.
 
 Amounts are stored as doubles, but every rounding and comparison goes through
-whole millionths and every sum through whole cents or decimals, so results
+whole parts of a unit and every sum through whole cents or decimals, so results
 depend neither on binary noise (0.335 * 3) nor on the order in which
 partitions are added up. Whole numbers stay in generated code, where a
 decimal per value would allocate objects.
+
+Rounding keeps as many places as a double of that size holds without noise:
+twelve below a thousand and nine below a million, so that the digits of a ratio
+are not rounded twice to another cent, six up to nine trillion. Beyond, a double holds no more than two
+or three places, and amounts take the decimal path. Sums are kept in two whole
+limbs. No amount below 9e27 is lost; NaN, infinities and what is larger count
+as no number.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PER_UNIT = 1_000_000  # millionths in one currency unit
 PER_CENT = 10_000  # millionths in one cent
+_FINEST_BELOW, _FINE_BELOW, _WHOLE_BELOW, _LIMBS_BELOW = 1e3, 1e6, 9e12, 9e27
+_BILLION = 1e9
 
 
 def _col(value: Column | str) -> Column:
@@ -30,11 +42,32 @@ def from_micros(value: Column) -> Column:
 
 
 def money(value: Column | str) -> Column:
-    """The amount rounded to cents, half a cent away from zero.
+    """The amount rounded to cents, half a cent away from zero."""
+    value = _col(value)
+    size = F.abs(value)
+
+    def to_cents(places: int) -> Column:
+        parts = F.round(F.rint(value * 10**places).try_cast("bigint"), 2 - places)
+        return F.call_function("div", parts, F.lit(10 ** (places - 2))) / F.lit(100.0)
+
+    return (
+        F.when(size < _FINEST_BELOW, to_cents(12))
+        .when(size < _FINE_BELOW, to_cents(9))
+        .when(size < _WHOLE_BELOW, to_cents(6))
+        .when(size < _LIMBS_BELOW, F.round(value, 2))
+    )
 
-    Mentions ``value`` once, so nested amounts do not multiply in the plan.
-    """
-    return from_micros(F.round(micros(value), -4))
+
+def add_amounts(plus: Sequence[Column | str], minus: Sequence[Column | str] = ()) -> Column:
+    """The exact sum of amounts with up to six places; null if one of them is null."""
+    plus, minus = [_col(c) for c in plus], [_col(c) for c in minus]
+
+    def total(of: Callable[[Column], Column]) -> Column:
+        return reduce(Column.__sub__, map(of, minus), reduce(Column.__add__, map(of, plus)))
+
+    whole = reduce(Column.__and__, [F.abs(c) < _WHOLE_BELOW / (len(plus) + len(minus)) for c in (*plus, *minus)])
+    wide = total(lambda c: c.try_cast("decimal(37,5)")).cast("double")
+    return F.when(whole, from_micros(total(micros))).otherwise(wide)
 
 
 def percent_of(part: Column | str, whole: Column | str) -> Column:
@@ -45,7 +78,9 @@ def percent_of(part: Column | str, whole: Column | str) -> Column:
 
 def differ_by(left: Column, right: Column) -> Column:
     """Distance of two amounts in millionths."""
-    return F.abs(micros(left) - micros(right))
+    whole = (F.abs(left) < _WHOLE_BELOW) & (F.abs(right) < _WHOLE_BELOW)
+    wide = F.abs(left.try_cast("decimal(37,5)") - right.try_cast("decimal(37,5)")).cast("double") * PER_UNIT
+    return F.when(whole, F.abs(micros(left) - micros(right))).otherwise(wide)
 
 
 def within_cent(left: Column | str, right: Column | str) -> Column:
@@ -53,9 +88,19 @@ def within_cent(left: Column | str, right: Column | str) -> Column:
     return differ_by(_col(left), _col(right)) < PER_CENT
 
 
+def _sum(value: Column, low: Callable[[Column], Column], per_unit: int) -> Column:
+    """The sum of amounts in two limbs: whole billions, and the rest in small whole parts."""
+    held = F.abs(value) < _LIMBS_BELOW
+    rest = value % _BILLION
+    billions = F.sum(F.when(held, ((value - rest) / F.lit(_BILLION)).cast("bigint")))
+    parts = F.sum(F.when(held, low(rest)))
+    both = billions.cast("decimal(27,0)") * F.lit(10**9) + parts.cast("decimal(38,0)") / F.lit(per_unit)
+    return F.when(billions == 0, parts.cast("double") / F.lit(float(per_unit))).otherwise(both.cast("double"))
+
+
 def sum_exact(value: Column | str) -> Column:
     """Order-independent sum of amounts with up to six places."""
-    return from_micros(F.sum(micros(value).cast("decimal(19,0)")).cast("double"))
+    return _sum(_col(value), lambda rest: micros(rest).cast("decimal(19,0)"), PER_UNIT)
 
 
 def mean_exact(value: Column | str) -> Column:
@@ -69,4 +114,4 @@ def sum_cents(value: Column | str) -> Column:
     Adds whole cents as bigint, which is cheaper than a decimal buffer. Use it
     only on columns made by ``money``.
     """
-    return F.sum(F.rint(_col(value) * 100).cast("bigint")) / F.lit(100.0)
+    return _sum(_col(value), lambda rest: F.rint(rest * 100).cast("bigint"), 100)

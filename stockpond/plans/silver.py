@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stockpond.contracts import source_table
 from stockpond.functions.bands import customer_segment
-from stockpond.functions.money import from_micros, micros, money, percent_of, within_cent
+from stockpond.functions.money import add_amounts, money, percent_of, within_cent
 from stockpond.functions.temporal import as_of_date, parse_timestamp
 from stockpond.functions.text import clean_code, email_domain, is_valid_email, parse_flag, person_name
 from stockpond.operators.dedup import latest_per_key
@@ -87,8 +87,7 @@ def silver_orders(bronze: DataFrame) -> DataFrame:
         "order_date": parse_timestamp("order_date"),
         **{name: _number(name) for name in amounts},
     })
-    parts = micros("subtotal") + micros("tax_amount") + micros("shipping_amount") - micros("discount_amount")
-    expected = from_micros(parts)
+    expected = add_amounts(["subtotal", "tax_amount", "shipping_amount"], ["discount_amount"])
     return typed.select(
         "order_id",
         "customer_id",

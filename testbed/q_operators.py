@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stockpond.functions import parse_flag
+from stockpond.functions import add_amounts, money, parse_flag, percent_of, sum_cents, sum_exact, within_cent
 from stockpond.operators import (
     cast_columns,
     drop_incomplete,
@@ -195,3 +195,48 @@ def rank_within_group(spark, sf_dir):
     order = [F.col("l_extendedprice").desc(), F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"),
              F.col("l_suppkey")]
     return T.comparable(rank_within(lines, ["l_returnflag"], order, "price_rank", ties=True))
+
+
+@query("ratio_rounding", """
+    WITH shares AS (
+      SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+        CAST(round(l_extendedprice * 100) AS HUGEINT) AS part, CAST(round(o_totalprice * 100) AS HUGEINT) AS whole
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+      CASE WHEN whole > 0 THEN CAST((20000 * part + whole) // (2 * whole) AS DOUBLE) / 100 ELSE 0.0::DOUBLE END AS share
+    FROM shares""")
+def ratio_rounding(spark, sf_dir):
+    """Shares of lines in their orders to two places; the twin divides whole cents exactly."""
+    lines, orders = T.load(spark, sf_dir, "lineitem"), T.load(spark, sf_dir, "orders")
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", percent_of("l_extendedprice", "o_totalprice").alias("share"))
+
+
+@query("money_extremes", """
+    WITH amounts AS (
+      SELECT l_returnflag, l_linenumber % 2 = 0 AS even, CAST(round(l_extendedprice * 100) AS HUGEINT) * 10000000 AS whole
+      FROM lineitem),
+    big AS (
+      SELECT *, CAST(whole AS DECIMAL(38, 2)) + CASE WHEN even THEN 0.37 ELSE -0.12 END AS exact FROM amounts)
+    SELECT l_returnflag, count(*) AS rows, CAST(sum(whole) AS DOUBLE) AS total,
+      count(*) FILTER (WHERE whole >= 9200000000000) AS beyond,
+      max(CAST(exact AS DOUBLE)) AS highest, min(CAST(exact AS DOUBLE)) AS lowest,
+      CAST(0 AS BIGINT) AS lost, CAST(sum(whole * 10) AS DOUBLE) AS added,
+      count(*) FILTER (WHERE even) AS apart
+    FROM big GROUP BY l_returnflag""")
+def money_extremes(spark, sf_dir):
+    """Amounts from billions to trillions of millions: none gets lost in rounding, sums and comparisons."""
+    price = F.round(F.col("l_extendedprice") * 100, 0).cast("decimal(20,0)") * 10_000_000
+    even = F.col("l_linenumber") % 2 == 0
+    cents = F.when(even, F.lit(0.37).cast("decimal(3,2)")).otherwise(F.lit(-0.12).cast("decimal(3,2)"))
+    big = T.load(spark, sf_dir, "lineitem").select(
+        "l_returnflag", even.alias("even"), price.cast("double").alias("whole"), (price + cents).cast("double").alias("exact"))
+    near = F.when(F.col("even"), F.col("whole") + 1).otherwise(F.col("whole"))
+    return big.select(
+        "*", money("exact").alias("rounded"), within_cent("whole", near).alias("same"),
+        add_amounts(["whole"] * 11, ["whole"]).alias("ten")).groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("rows"), sum_cents("whole").alias("total"),
+        F.count_if(F.col("whole") >= 9_200_000_000_000).alias("beyond"),
+        F.max("rounded").alias("highest"), F.min("rounded").alias("lowest"),
+        F.count_if(F.col("rounded").isNull() | F.col("ten").isNull()).alias("lost"), sum_exact("ten").alias("added"),
+        F.count_if(~F.col("same")).alias("apart"))

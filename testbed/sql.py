@@ -8,8 +8,8 @@ from __future__ import annotations
 
 
 def cents(expr: str) -> str:
-    """Half-up rounding to cents through a decimal."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(18,6)), 2) AS DOUBLE)"
+    """Half-up rounding to cents through a decimal of nine places, which removes binary noise from amounts below a million."""
+    return f"CAST(round(CAST({expr} AS DECIMAL(28,9)), 2) AS DOUBLE)"
 
 
 def dec(expr: str) -> str:

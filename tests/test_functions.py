@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockpond.functions import (
+    add_amounts,
     clean_code,
     customer_segment,
     customer_status,
@@ -107,3 +108,20 @@ def test_customer_status_and_behavior(spark):
             ("prospect", "bronze", "established")]
     got = values(spark, rows, "a string, b string, c string", behavior_segment(F.col("a"), F.col("b"), F.col("c")))
     assert got == ["inactive", "vip", "new", "regular"]
+
+
+def test_money_beyond_nine_trillion(spark):
+    rows = [(9.3e12 + 0.37,), (-9.3e12 - 0.37,), (1.5e15,), (123456789.125,), (1e26,), (1e31,)]
+    assert values(spark, rows, "x double", money("x")) == [
+        9300000000000.37, -9300000000000.37, 1.5e15, 123456789.13, 1e26, None]
+    df = spark.createDataFrame([(9.3e12,), (2e20,), (0.25,), (-1e9,), (float("nan"),), (None,)], "x double")
+    assert df.agg(sum_exact("x"), sum_cents("x")).first()[:] == (2e20 + 9.299e12, 2e20 + 9.299e12)
+    assert values(spark, [(1e13, 1e13), (1e13, 1e13 + 1), (1e13, 5.0)], "a double, b double", within_cent("a", "b")) == [
+        True, False, False]
+    assert values(spark, [(1e13, 0.25), (0.1, 0.2), (1.0, None)], "a double, b double", add_amounts(["a", "b"], ["a"])) == [
+        0.25, 0.2, None]
+
+
+def test_ratios_are_rounded_once(spark):
+    rows = [(0.0049999996,), (0.0149999999,), (33.3349999997,), (0.005,), (-0.0149999999,)]
+    assert values(spark, rows, "x double", money("x")) == [0.0, 0.01, 33.33, 0.01, -0.01]
