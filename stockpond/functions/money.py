@@ -6,12 +6,11 @@ depend neither on binary noise (0.335 * 3) nor on the order in which
 partitions are added up. Whole numbers stay in generated code, where a
 decimal per value would allocate objects.
 
-Rounding keeps as many places as a double of that size holds without noise:
-twelve below a thousand and nine below a million, so that the digits of a ratio
-are not rounded twice to another cent, six up to nine trillion. Beyond, a double holds no more than two
-or three places, and amounts take the decimal path. Sums are kept in two whole
-limbs. No amount below 9e27 is lost; NaN, infinities and what is larger count
-as no number.
+An amount is rounded once: what is within the noise of a few operations of half
+a cent counts as half a cent, and no other digit moves it to another cent. From
+a billion on a double leaves little room for noise, and decimals do the
+rounding. Sums are kept in two whole limbs. No amount below 9e27 is lost; NaN,
+infinities and what is larger count as no number.
 """
 
 from __future__ import annotations
@@ -24,8 +23,8 @@ from pyspark.sql import functions as F
 
 PER_UNIT = 1_000_000  # millionths in one currency unit
 PER_CENT = 10_000  # millionths in one cent
-_FINEST_BELOW, _FINE_BELOW, _WHOLE_BELOW, _LIMBS_BELOW = 1e3, 1e6, 9e12, 9e27
-_BILLION = 1e9
+_BILLION, _WHOLE_BELOW, _LIMBS_BELOW = 1e9, 9e12, 9e27
+_AWAY = 1 + 4e-15  # eighteen times the relative step of a double
 
 
 def _col(value: Column | str) -> Column:
@@ -44,18 +43,9 @@ def from_micros(value: Column) -> Column:
 def money(value: Column | str) -> Column:
     """The amount rounded to cents, half a cent away from zero."""
     value = _col(value)
-    size = F.abs(value)
-
-    def to_cents(places: int) -> Column:
-        parts = F.round(F.rint(value * 10**places).try_cast("bigint"), 2 - places)
-        return F.call_function("div", parts, F.lit(10 ** (places - 2))) / F.lit(100.0)
-
-    return (
-        F.when(size < _FINEST_BELOW, to_cents(12))
-        .when(size < _FINE_BELOW, to_cents(9))
-        .when(size < _WHOLE_BELOW, to_cents(6))
-        .when(size < _LIMBS_BELOW, F.round(value, 2))
-    )
+    # One rounding to an even cent; the factor takes halves, and what noise made of halves, away from zero first.
+    near = (F.rint(value * F.lit(100 * _AWAY)) + F.lit(0.0)) / F.lit(100.0)  # + 0.0: no negative zero
+    return F.when(F.abs(value) < _BILLION, near).when(F.abs(value) < _LIMBS_BELOW, F.round(value, 2))
 
 
 def add_amounts(plus: Sequence[Column | str], minus: Sequence[Column | str] = ()) -> Column:
@@ -90,12 +80,12 @@ def within_cent(left: Column | str, right: Column | str) -> Column:
 
 def _sum(value: Column, low: Callable[[Column], Column], per_unit: int) -> Column:
     """The sum of amounts in two limbs: whole billions, and the rest in small whole parts."""
-    held = F.abs(value) < _LIMBS_BELOW
-    rest = value % _BILLION
-    billions = F.sum(F.when(held, ((value - rest) / F.lit(_BILLION)).cast("bigint")))
-    parts = F.sum(F.when(held, low(rest)))
+    size, rest = F.abs(value), value % _BILLION
+    large = (size >= _BILLION) & (size < _LIMBS_BELOW)
+    billions = F.sum(F.when(large, ((value - rest) / F.lit(_BILLION)).cast("bigint")))
+    parts = F.sum(F.when(size < _BILLION, low(value)).when(large, low(rest)))
     both = billions.cast("decimal(27,0)") * F.lit(10**9) + parts.cast("decimal(38,0)") / F.lit(per_unit)
-    return F.when(billions == 0, parts.cast("double") / F.lit(float(per_unit))).otherwise(both.cast("double"))
+    return F.when(billions.isNull(), parts.cast("double") / F.lit(float(per_unit))).otherwise(both.cast("double"))
 
 
 def sum_exact(value: Column | str) -> Column:

@@ -11,6 +11,12 @@ def parse_timestamp(value: Column | str) -> Column:
     return F.try_to_timestamp(value)
 
 
+def month_of_key(key: Column | str) -> Column:
+    """``yyyy-MM`` of a date key."""
+    key = F.col(key) if isinstance(key, str) else key
+    return F.concat(F.substring(key.cast("string"), 1, 4), F.lit("-"), F.substring(key.cast("string"), 5, 2))
+
+
 def date_key(value: Column | str) -> Column:
     """Integer yyyymmdd."""
     return (F.year(value) * 10000 + F.month(value) * 100 + F.dayofmonth(value)).cast("int")

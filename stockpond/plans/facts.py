@@ -109,11 +109,12 @@ def order_totals(
     """Order amounts by the pricing rules, rolled up from the lines.
 
     ``orders`` carries order_id, customer_id and a shipping quote that applies
-    to small orders. Lines are added up before any join.
+    to small orders. Lines are added up before any join. Orders of unknown
+    customers have no country and the rate of most countries.
     """
     subtotals = items.groupBy("order_id").agg(sum_exact("line_total").alias("subtotal"))
     placed = orders.select("order_id", "customer_id", F.col(shipping_quote).alias("_quote")).join(
-        customers.select("customer_id", "country"), "customer_id"
+        customers.select("customer_id", "country"), "customer_id", "left"
     )
     rate = F.when(F.col("country").isin(*FULL_RATE_COUNTRIES), FULL_RATE).otherwise(REDUCED_RATE)
     subtotal = F.col("subtotal")

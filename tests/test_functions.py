@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,3 +126,7 @@ def test_money_beyond_nine_trillion(spark):
 def test_ratios_are_rounded_once(spark):
     rows = [(0.0049999996,), (0.0149999999,), (33.3349999997,), (0.005,), (-0.0149999999,)]
     assert values(spark, rows, "x double", money("x")) == [0.0, 0.01, 33.33, 0.01, -0.01]
+    assert list(map(repr, values(spark, [(-0.001,), (-0.0,)], "x double", money("x")))) == ["0.0", "0.0"]
+    halves = [(k + 0.005 * s,) for k in (0, 7, 1234, 99_999, 8_765_432) for s in (1, -1)]
+    exact = [float((Decimal(str(x)) * 100).quantize(0, ROUND_HALF_UP)) / 100 for x, in halves]
+    assert values(spark, halves, "x double", money("x")) == exact

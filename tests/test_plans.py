@@ -86,6 +86,11 @@ def test_aggregates_combine_before_the_shuffle(fact, plan_of):
         assert "partial_" in plan_of(df)
 
 
+def test_distinct_counts_do_not_copy_lines(fact, plan_of):
+    for df in (marts.daily_sales(fact), marts.sales_by_period(fact, "month"), marts.orders_per_customer(fact)):
+        assert "Expand" not in plan_of(df)
+
+
 def test_top_k_is_limited_early(fact, silver, plan_of):
     products = dimensions.dim_product(silver["products"])
     assert "TakeOrderedAndProject" in plan_of(marts.best_sellers(fact, products))
