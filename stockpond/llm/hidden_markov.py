@@ -16,9 +16,10 @@ task sums the expected counts of its pieces and the sums are added by Spark.
 Scoring runs the forward recursion over whole texts of any length, rescaled at
 each step; texts of a slice advance together.
 
-Counts are joined to texts through a shuffle. Tokens that make up more than
-``1 / hot`` of the training tokens (at most ``hot`` of them) are looked up in a
-table that all executors get instead, so no token gathers many rows in a task.
+The ``hot`` most frequent tokens are looked up in a table of that size,
+which all executors get. The other words of a text are joined to their counts
+through a shuffle; none of them has more than ``1 / hot`` of the training
+tokens, so no token gathers many rows in a task.
 
 Null and empty texts are just the end token. Without training texts all counts
 are 0, N and V too.
@@ -26,11 +27,12 @@ are 0, N and V too.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,7 @@ from stockpond.llm.common import BLANKS, map_rows
 from stockpond.session import stage
 
 END = " "  # no word holds a blank
+_COUNTED_AT_ONCE = 500_000
 _UPPER = {c: c + 32 for c in range(65, 91)}
 _CUT = str.maketrans(dict.fromkeys(BLANKS, " "))
 
@@ -47,41 +50,48 @@ def tokens(text: str | None) -> list[str]:
     return [w for w in (text or "").translate(_UPPER | _CUT).split(" ") if w] + [END]
 
 
-def _counted(docs: DataFrame) -> DataFrame:
-    """(doc_id, word, n) with training rows marked; the number of each token in each text."""
+def _vocabulary(texts: DataFrame) -> DataFrame:
+    """(word, c): how often each token occurs; each task adds up its own texts before anything is shuffled."""
 
-    def make():
-        def step(rows: dict[str, list]) -> dict[str, list]:
-            out: dict[str, list] = {"row": [], "train": [], "word": [], "n": []}
-            for row, train, text in zip(rows["row"], rows["train"], rows["text"], strict=True):
-                counts = Counter(tokens(text))
-                out["row"] += [row] * len(counts)
-                out["train"] += [train] * len(counts)
-                out["word"] += counts
-                out["n"] += counts.values()
+    def count(batches):
+        counts: Counter = Counter()
+
+        def rows():
+            out = pa.RecordBatch.from_pydict({"word": pa.array(list(counts), pa.string()),
+                                              "n": pa.array(list(counts.values()), pa.int64())})
+            counts.clear()
             return out
 
-        return step
+        for batch in batches:
+            for text in batch.column(0):
+                counts.update(tokens(text.as_py()))
+                if len(counts) > _COUNTED_AT_ONCE:
+                    yield rows()
+        if counts:
+            yield rows()
 
-    return map_rows(docs.select("row", "train", "text"), make, "row bigint, train boolean, word string, n int", rows=128)
+    return texts.select("text").mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("c"))
 
 
 def _tail(word: str, tails: int) -> int:
     return zlib.crc32(word[-3:].encode("utf-8", "surrogatepass")) % tails
 
 
-class _Symbols:
-    def __init__(self, head: list[str], tails: int):
-        self.own = {word: number for number, word in enumerate(head)}
+class _Coder:
+    """Symbols of tokens, and base sums of the tokens in a table of frequent ones; other words are handed back."""
+
+    def __init__(self, frequent: list[tuple[str, int]], head: int, tails: int, norm: float):
+        self.own = {word: number for number, (word, _) in enumerate(frequent[:head])}
+        self.logs = {word: (math.log10((c + 0.5) / norm), c > 0) for word, c in frequent}
         self.tails = tails
-        self.size = len(head) + tails
+        self.size = len(self.own) + tails
         self.seen: dict[str, int] = {}
 
-    def of(self, text: str | None) -> list[int]:
+    def symbols(self, words: list[str]) -> list[int]:
         if len(self.seen) > 300_000:
             self.seen.clear()
         out, seen = [], self.seen
-        for word in tokens(text):
+        for word in words:
             if (symbol := seen.get(word)) is None:
                 symbol = self.own.get(word)
                 if symbol is None:
@@ -90,6 +100,18 @@ class _Symbols:
             out.append(symbol)
         return out
 
+    def base(self, words: list[str]) -> tuple[int, float, list[str], list[int]]:
+        """(known tokens, their log10 probability, rare words, how often each)"""
+        known, total, rare, often = 0, 0.0, [], []
+        for word, n in Counter(words).items():
+            if (log := self.logs.get(word)) is None:
+                rare.append(word)
+                often.append(n)
+            else:
+                known += n
+                total += n * log[0]
+        return known, total, rare, often
+
 
 def expected_counts(chunks: np.ndarray, start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> tuple:
     """Expected starts, moves and emissions of symbol sequences of one length (a row each)."""
@@ -178,8 +200,6 @@ def train(symbols: DataFrame, size: int, states: int, iterations: int, chunk: in
                             use(len(piece))
             for length in list(waiting):
                 use(length)
-            import pyarrow as pa
-
             flat = np.concatenate([total[0], total[1].ravel(), total[2].ravel()])
             yield pa.RecordBatch.from_pydict({"at": np.arange(len(flat), dtype=np.int32), "v": flat})
 
@@ -196,39 +216,21 @@ def train(symbols: DataFrame, size: int, states: int, iterations: int, chunk: in
 
 def score(
     docs: DataFrame, training, states: int = 6, head: int = 2000, tails: int = 64, iterations: int = 4,
-    chunk: int = 64, hot: int = 2000,
+    chunk: int = 64, hot: int = 65536,
 ) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row; ``training`` is a condition on ``docs``."""
-    kind = dict(docs.dtypes)["doc_id"]
+    spark, kind = docs.sparkSession, dict(docs.dtypes)["doc_id"]
     given = docs.select("doc_id", F.coalesce(training, F.lit(False)).alias("train"), "text")
-    # Rows get a number of their own, so that repeated ids stay apart.
-    rows = stage(given.select(F.monotonically_increasing_id().alias("row"), "doc_id", "train"), "rows")
-    numbered = given.withColumn("row", F.monotonically_increasing_id())
-    if rows.agg(F.count(F.lit(1))).first()[0] == 0:
-        return given.select("doc_id", *[F.lit(0).cast("bigint").alias(c) for c in ("n_tokens", "n_known", "train_tokens")],
-                            F.lit(0.0).alias("base_score"), F.lit(0.0).alias("score"))
-    words = stage(_counted(numbered), "word-counts")
-    counts = stage(words.where("train").groupBy("word").agg(F.sum("n").alias("c")), "vocabulary")
+    counts = stage(_vocabulary(given.where("train")), "vocabulary")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     norm = n + 0.5 * (v + 1)
 
-    # 1. Base scores. Frequent tokens: at most ``hot`` can have more than this share.
-    frequent = {r["word"]: r["c"] for r in counts.where(F.col("c") > max(1.0, n / hot)).collect()}
-    held = F.broadcast(docs.sparkSession.createDataFrame(list(frequent.items()), "word string, c bigint"))
-    log = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(norm))
-    known = F.when(F.col("c") > 0, F.col("n")).otherwise(0)
-    sums = [F.sum("n").alias("n_tokens"), F.sum(known).alias("n_known"), F.sum(F.col("n") * log).alias("base_score")]
-    common = words.join(held, "word").groupBy("row").agg(*sums)
-    rare = words.join(held.select("word"), "word", "left_anti").join(
-        counts.where(F.col("c") <= max(1.0, n / hot)), "word", "left").groupBy("row").agg(*sums)
-    base = common.unionByName(rare).groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score")])
-
-    # 2. Symbols and their unigram probabilities; what is left over belongs to unseen tokens.
-    first = counts.orderBy(F.desc("c"), "word").limit(head).collect()
-    symbols = _Symbols([r["word"] for r in first], tails)
-    own = np.array([r["c"] for r in first], float)
+    # 1. Symbols and their unigram probabilities; what is left over belongs to unseen tokens.
+    first = [(r["word"], r["c"]) for r in counts.orderBy(F.desc("c"), "word").limit(max(head, hot)).collect()]
+    coder = _Coder(first, head, tails, norm)
+    own = np.array([c for _, c in first[:head]], float)
     tail_of = F.pmod(F.crc32(F.expr("right(word, 3)").cast("binary")), F.lit(tails)).cast("int")
-    top = docs.sparkSession.createDataFrame([(r["word"],) for r in first], "word string")
+    top = spark.createDataFrame([(word,) for word, _ in first[:head]], "word string")
     shared = counts.join(F.broadcast(top), "word", "left_anti").groupBy(tail_of.alias("tail")).agg(
         F.sum("c").alias("c"), F.count(F.lit(1)).alias("types")).collect()
     tail = np.full(tails, 0.5 / tails)
@@ -237,17 +239,39 @@ def score(
     unigram = np.concatenate([own + 0.5, tail]) / norm
     logs = np.log10(unigram)
 
-    # 3. The model, and its score of whole texts.
-    box = docs.sparkSession.sparkContext.broadcast(symbols)
+    # 2. Each text once more: its symbols, the base sums of its frequent words, and its other words.
+    box = spark.sparkContext.broadcast(coder)
 
-    def to_symbols():
+    def code():
         made = box.value
-        return lambda rows: {"row": rows["row"], "train": rows["train"], "s": [made.of(t) for t in rows["text"]]}
 
-    coded = stage(map_rows(numbered.select("row", "train", "text"), to_symbols, "row bigint, train boolean, s array<int>"),
-                  "symbols")
-    model = train(coded.where("train").select("s"), symbols.size, states, iterations, chunk, unigram)
-    sent = docs.sparkSession.sparkContext.broadcast((*model, logs))
+        def step(rows: dict[str, list]) -> dict[str, list]:
+            out: dict[str, list] = {"doc_id": rows["doc_id"], "train": rows["train"]}
+            cut = [tokens(text) for text in rows["text"]]
+            out["s"] = [made.symbols(words) for words in cut]
+            out["n"] = list(map(len, cut))
+            sums = [made.base(words) for words in cut]
+            for name, values in zip(("known", "base", "rare", "often"), zip(*sums, strict=True), strict=True):
+                out[name] = list(values)
+            return out
+
+        return step
+
+    rows = map_rows(given, code, f"doc_id {kind}, train boolean, s array<int>, n int, known int, base double, "
+                    "rare array<string>, often array<int>", rows=128)
+    # The number that keeps rows of one doc_id apart is drawn once, and written with its text's symbols.
+    coded = stage(rows.withColumn("row", F.monotonically_increasing_id()), "symbols")
+
+    # 3. Counts of the other words come by a join; none of them has a large share of the training tokens.
+    rest = coded.select("row", F.inline(F.arrays_zip("rare", "often")))
+    log = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(norm))
+    added = rest.join(counts.withColumnRenamed("word", "rare"), "rare", "left").groupBy("row").agg(
+        F.sum(F.when(F.col("c") > 0, F.col("often")).otherwise(0)).alias("rare_known"),
+        F.sum(F.col("often") * log).alias("rare_base"))
+
+    # 4. The model, and its score of whole texts.
+    model = train(coded.where("train").select("s"), coder.size, states, iterations, chunk, unigram)
+    sent = spark.sparkContext.broadcast((*model, logs))
 
     def lifted(batches):
         start, move, emit, logs = sent.value
@@ -256,9 +280,12 @@ def score(
                 part = pdf.iloc[first: first + 1024]
                 texts = [np.asarray(s) for s in part["s"]]
                 gain = forward_logs(texts, start, move, emit) - np.array([logs[s].sum() for s in texts])
-                yield pd.DataFrame({"row": part["row"].to_numpy(), "gain": gain})
-
-    gains = coded.select("row", "s").mapInPandas(lifted, "row bigint, gain double")
-    return rows.join(base, "row").join(gains, "row").select(
-        F.col("doc_id").cast(kind).alias("doc_id"), "n_tokens", "n_known", F.lit(int(n)).cast("bigint").alias("train_tokens"),
-        "base_score", (F.col("base_score") + F.col("gain")).alias("score"))
+                yield part.drop(columns="s").assign(gain=gain)
+
+    gains = coded.select("row", "doc_id", "n", "known", "base", "s").mapInPandas(
+        lifted, f"row bigint, doc_id {kind}, n int, known int, base double, gain double")
+    base = F.col("base") + F.coalesce("rare_base", F.lit(0.0))
+    return gains.join(added, "row", "left").select(
+        "doc_id", F.col("n").cast("bigint").alias("n_tokens"),
+        (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("bigint").alias("n_known"),
+        F.lit(int(n)).cast("bigint").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"))

@@ -289,6 +289,42 @@ def test_scores(spark, odd, documents):
     assert hidden_markov.score(docs.limit(0), training).count() == 0
 
 
+def test_shuffled_rows_keep_their_scores(spark, tmp_path):
+    texts = [" ".join(words(k, 3 + k % 17)) for k in range(3000)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8KB")
+    try:
+        shuffled = docs.repartition("doc_id")
+        scored = hidden_markov.score(shuffled, F.col("doc_id") % 5 != 1, states=2, head=20, tails=4, iterations=1, hot=50)
+        found = {r["doc_id"]: r["n_tokens"] for r in scored.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert found == {k: 4 + k % 17 for k in range(3000)}
+
+
+def test_expected_counts_against_all_paths():
+    draw = np.random.default_rng(9)
+    start, move, emit = draw.dirichlet([1] * 2), draw.dirichlet([1] * 2, 2), draw.dirichlet([1] * 3, 2)
+    texts = np.array([[0, 2, 1, 1], [2, 2, 0, 1], [1, 1, 1, 1]])
+    starts, moves, emissions = np.zeros(2), np.zeros((2, 2)), np.zeros((2, 3))
+    for text in texts:
+        chances = {}
+        for path in np.ndindex(2, 2, 2, 2):
+            p = start[path[0]] * emit[path[0], text[0]]
+            for t in range(1, 4):
+                p *= move[path[t - 1], path[t]] * emit[path[t], text[t]]
+            chances[path] = p
+        whole = sum(chances.values())
+        for path, p in chances.items():
+            starts[path[0]] += p / whole
+            for t in range(4):
+                emissions[path[t], text[t]] += p / whole
+                if t:
+                    moves[path[t - 1], path[t]] += p / whole
+    for got, want in zip(hidden_markov.expected_counts(texts, start, move, emit), (starts, moves, emissions), strict=True):
+        assert np.allclose(got, want)
+
+
 # 6. Languages
 
 
