@@ -41,13 +41,14 @@ from stockpond.session import stage
 
 END = " "  # no word holds a blank
 _COUNTED_AT_ONCE = 500_000
-_UPPER = {c: c + 32 for c in range(65, 91)}
-_CUT = str.maketrans(dict.fromkeys(BLANKS, " "))
+_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + BLANKS.encode(), b"abcdefghijklmnopqrstuvwxyz" + b" " * len(BLANKS))
 
 
 def tokens(text: str | None) -> list[str]:
     """Words between ASCII blanks, A-Z lower-cased, and the end."""
-    return [w for w in (text or "").translate(_UPPER | _CUT).split(" ") if w] + [END]
+    # In UTF-8 these bytes stand for nothing else.
+    plain = (text or "").encode("utf-8", "surrogatepass").translate(_PLAIN).decode("utf-8", "surrogatepass")
+    return [w for w in plain.split(" ") if w] + [END]
 
 
 def _vocabulary(texts: DataFrame) -> DataFrame:
@@ -77,6 +78,24 @@ def _tail(word: str, tails: int) -> int:
     return zlib.crc32(word[-3:].encode("utf-8", "surrogatepass")) % tails
 
 
+class _Symbols(dict):
+    """The symbol of each token asked for so far."""
+
+    def __init__(self, own: dict[str, int], tails: int):
+        super().__init__()
+        self.own, self.tails = own, tails
+
+    def __reduce__(self):  # sent without its entries
+        return _Symbols, (self.own, self.tails)
+
+    def __missing__(self, word: str) -> int:
+        symbol = self.own.get(word)
+        if symbol is None:
+            symbol = len(self.own) + _tail(word, self.tails)
+        self[word] = symbol
+        return symbol
+
+
 class _Coder:
     """Symbols of tokens, and base sums of the tokens in a table of frequent ones; other words are handed back."""
 
@@ -85,20 +104,12 @@ class _Coder:
         self.logs = {word: (math.log10((c + 0.5) / norm), c > 0) for word, c in frequent}
         self.tails = tails
         self.size = len(self.own) + tails
-        self.seen: dict[str, int] = {}
+        self.seen = _Symbols(self.own, tails)
 
     def symbols(self, words: list[str]) -> list[int]:
         if len(self.seen) > 300_000:
             self.seen.clear()
-        out, seen = [], self.seen
-        for word in words:
-            if (symbol := seen.get(word)) is None:
-                symbol = self.own.get(word)
-                if symbol is None:
-                    symbol = len(self.own) + _tail(word, self.tails)
-                seen[word] = symbol
-            out.append(symbol)
-        return out
+        return list(map(self.seen.__getitem__, words))
 
     def base(self, words: list[str]) -> tuple[int, float, list[str], list[int]]:
         """(known tokens, their log10 probability, rare words, how often each)"""
