@@ -26,9 +26,9 @@ k-mer Jaccard similarity of 0.67.
    Leaders and rounds go on in the new buckets until none is left. Pairs whose
    sizes alone are too far apart for a link are refused without a look at them.
 4. A pair is verified by an alignment in a band that doubles until it holds
-   the distance or passes the limit. A member whose distance to the leader may
-   still allow a link to a member that was verified is compared with those too,
-   unless they are in one class already.
+   the distance or passes the limit. A member that the leader refused may still
+   be near to one that it accepted: unless they are in one class already, the two
+   meet by the k-mers that they share and the leader lacks, as they must have some.
 5. Classes are the connected components of the verified pairs.
 
 Null texts, and texts without words, are classes of their own. Repeated
@@ -385,33 +385,104 @@ def near_pairs(given: DataFrame, sketched: DataFrame, members: DataFrame, simila
     if tested is None:
         return star.select(F.col("leader").alias("a"), F.col("id").alias("b"))
     links = tested.where("linked").select("a", "b")
-    return links.unionByName(_across(rounds, stage(components(links), "first-classes"), texts, similarity)).distinct()
+    return links.unionByName(_across(rounds, links, texts, similarity)).distinct()
 
 
-def _across(rounds: list[DataFrame], roots: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+def _novel(met: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, m, linked, size, common, novel): the labelled k-mers that ``m`` has and its leader ``a`` has not.
+
+    ``common`` is the number of those that both have.
+    """
+    one = texts.select(F.col("rep").alias("a"), F.col("kmers").alias("x"))
+    two = texts.select(F.col("rep").alias("m"), F.col("kmers").alias("y"))
+
+    def make():
+        def step(rows: dict[str, list]) -> dict[str, list]:
+            out: dict[str, list] = {"a": rows["a"], "m": rows["m"], "linked": rows["linked"], "size": rows["size"],
+                                    "common": [], "novel": []}
+            for x, y in zip(rows["x"], rows["y"], strict=True):
+                own = labelled(y.view(np.uint64))
+                novel = own[~np.isin(own, labelled(x.view(np.uint64)))].view(np.int64)
+                out["common"].append(len(own) - len(novel))
+                out["novel"].append(novel)
+            return out
+
+        return step
+
+    kind = dict(met.dtypes)["a"]
+    return map_rows(met.join(one, "a").join(two, "m").select("a", "m", "linked", "size", "x", "y"), make,
+                    f"a {kind}, m {kind}, linked boolean, size int, common int, novel array<bigint>", rows=128)
+
+
+def _across(rounds: list[DataFrame], links: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Links between members that a leader accepted and members that it refused, where there may be some.
 
     By the triangle inequality a member far from its leader cannot be near to
-    one close to it; and members of one class need no further link.
+    one close to it; and members of one class need no further link. What is
+    left is first joined by bridges: of each class that a leader refused, the
+    member whose size is outside those accepted, by the least, meets the largest
+    or the smallest of them. Texts of one repeated word are such a chain of sizes.
+    Then a refused member x and an accepted member y of the
+    leader a have to share k-mers that a has not: near duplicates have
+    ``least`` = max(|x|, |y|) - limit in common, of which at most
+    min(|x & a|, |y & a|) are of a. So they meet by these k-mers, of which x may
+    leave out the most frequent ``least`` - |x & a| - 1. Only texts that are so much
+    shorter than their leader, or in another order, that nothing new need be shared meet without.
     """
     every = rounds[0]
     for more in rounds[1:]:
         every = every.unionByName(more)
     # The same leader may head many buckets, so members meet once for it, not once for each bucket.
-    met = stage(every.select("a", "b", "size", "distance", "linked").distinct(), "met")
-    near = met.where("linked").groupBy("a").agg(F.max("distance").alias("reach"))
+    met = stage(every.select("a", F.col("b").alias("m"), "size", "distance", "linked").distinct(), "met")
+    accepted = met.where("linked")
+    near = stage(accepted.groupBy("a").agg(
+        F.max("distance").alias("reach"), F.min("size").alias("low"), F.max("size").alias("high"),
+        F.min_by("m", F.struct("size", "m")).alias("smallest"), F.max_by("m", F.struct("size", "m")).alias("largest")), "near")
+    limit = lambda size: F.floor((1 - similarity) * size + 1e-9)
     slack = F.floor((1 - similarity) / similarity * F.col("size") + 1e-9)  # the largest limit of a pair with this size
-    doubtful = met.where(~F.col("linked")).join(near, "a").where(F.col("distance") - F.col("reach") <= slack).select(
-        "a", F.col("b").alias("x"), F.col("size").alias("size_x"), F.col("distance").alias("far"))
-    left, right = (roots.select(F.col("id").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "x"))
-    apart = doubtful.join(left, "a", "left").join(right, "x", "left").where(
-        F.coalesce("root_a", "a") != F.coalesce("root_x", "x")).select("a", "x", "size_x", "far")
-    accepted = met.where("linked").select("a", F.col("b").alias("y"), F.col("size").alias("size_y"), F.col("distance").alias("close"))
-    limit = F.floor((1 - similarity) * F.greatest("size_x", "size_y") + 1e-9)
-    found = accepted.join(apart, "a").where(
-        (F.col("far") - F.col("close") <= limit) & (F.abs(F.col("size_x") - F.col("size_y")) <= limit)).select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    return stage(_verified(found.distinct(), texts, similarity), "across").where("linked").select("a", "b")
+    above, below = F.col("size") - F.col("high"), F.col("low") - F.col("size")
+    doubtful = stage(met.where(~F.col("linked")).join(near, "a").where(
+        (F.col("distance") - F.col("reach") <= slack) & (F.greatest(above, below) <= limit(F.greatest("size", "low")))
+    ).select("a", "m", "size", F.greatest(above, below).alias("outside"),
+             F.when(above > 0, F.col("largest")).otherwise(F.col("smallest")).alias("end")), "doubtful")
+
+    def apart(roots: DataFrame) -> DataFrame:
+        left, right = (roots.select(F.col("id").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "m"))
+        return doubtful.join(left, "a", "left").join(right, "m", "left").withColumn(
+            "root", F.coalesce("root_m", "m")).where(F.coalesce("root_a", "a") != F.col("root")).select(
+            "a", "m", "size", "outside", "end", "root")
+
+    tried = apart(stage(components(links), "first-classes")).where("outside > 0").groupBy("a", "root", F.col("end").alias("y")).agg(
+        F.min_by("m", F.struct("outside", "m")).alias("x"))
+    pair = F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
+    bridges = stage(_verified(tried.select(*pair).distinct(), texts, similarity), "bridges").where("linked").select("a", "b")
+    joined = links.unionByName(bridges)
+    refused = stage(apart(stage(components(joined), "bridged-classes")).select(
+        "a", "m", "size", F.lit(False).alias("linked")), "refused")
+    if refused.isEmpty():
+        return bridges
+    wanted = accepted.select("a", "m", "size", "linked").join(refused.select("a").distinct(), "a", "left_semi")
+    novel = stage(_novel(refused.unionByName(wanted), texts), "novel")
+
+    ours = novel.where(~F.col("linked")).select(
+        "a", F.col("m").alias("x"), F.col("size").alias("size_x"), F.col("common").alias("common_x"), "novel",
+        (F.col("size") - limit(F.col("size")) - F.col("common")).alias("need"))
+    theirs = novel.where("linked").select(
+        "a", F.col("m").alias("y"), F.col("size").alias("size_y"), F.col("common").alias("common_y"), "novel")
+    offered = stage(theirs.select("a", "y", "size_y", F.explode("novel").alias("kmer")), "offered")
+    held = offered.groupBy("a", "kmer").agg(F.count(F.lit(1)).alias("n"))
+    # K-mers that no accepted member has come first in the order, so only the others are numbered, from the back.
+    back = Window.partitionBy("a", "x").orderBy(F.desc("n"), "kmer")
+    asked = ours.select("a", "x", "size_x", "need", F.explode("novel").alias("kmer")).join(held, ["a", "kmer"]).withColumn(
+        "place", F.row_number().over(back)).where(F.col("place") >= F.col("need")).select("a", "kmer", "x", "size_x")
+    longer = F.greatest("size_x", "size_y")
+    fits = F.abs(F.col("size_x") - F.col("size_y")) <= limit(longer)
+    sharing = asked.join(offered, ["a", "kmer"]).where(fits).select(*pair)
+    without = ours.where("need <= 0").drop("novel").join(theirs.drop("novel"), "a").where(
+        fits & (longer - limit(longer) <= F.least("common_x", "common_y"))).select(*pair)
+    found = stage(sharing.unionByName(without).distinct(), "met-across")
+    more = stage(_verified(found, texts, similarity), "across").where("linked").select("a", "b")
+    return bridges.unionByName(more)
 
 
 def components(pairs: DataFrame) -> DataFrame:

@@ -139,6 +139,68 @@ def test_short_near_texts_are_linked(documents):
     assert {tuple(r) for r in alone} == {(1, 1, 1), (2, 1, 1)}
 
 
+def test_members_refused_by_a_leader_meet_those_it_accepted(documents):
+    """Variants around one text beyond the limit of each other, texts of one word, and texts that only lost words."""
+    draw = random.Random(23)
+    base, texts = words(3000, 120), []
+    texts.append(list(base))
+    for _ in range(60):
+        copy = list(draw.choice(texts))
+        for _ in range(draw.randint(1, 4)):
+            copy[draw.randrange(len(copy))] = f"new{draw.randrange(10**6)}"
+        texts.append(copy)
+    texts += [["same"] * n for n in range(60, 130, 3)]
+    for _ in range(25):
+        first = draw.randrange(80)
+        texts.append(base[:first] + base[first + draw.randint(10, 30):])
+    kmers = [order_minhash.kmer_hashes(t) for t in texts]
+    root, refused = list(range(len(texts))), 0
+    for a in range(len(texts)):
+        for b in range(a):
+            limit = int(0.2 * max(len(kmers[a]), len(kmers[b])) + 1e-9)
+            if order_minhash.banded_distance(kmers[a], kmers[b], limit) <= limit:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+            else:
+                refused += 1
+    assert refused > 1000 and len(set(root)) < 80
+    found = {r["doc_id"]: r["class_id"] for r in order_minhash.classes(documents(*enumerate(map(" ".join, texts)))).collect()}
+    assert [found[k] for k in range(len(texts))] == root
+
+
+def test_links_across_are_those_of_all_pairs(spark):
+    """``_across`` alone, against all pairs of accepted and refused members of one leader."""
+    draw = random.Random(29)
+    base, texts = words(4000, 200), []
+    texts.append(list(base))
+    for k in range(40):
+        copy = list(draw.choice(texts)) if k % 2 else list(base)
+        for _ in range(draw.randint(1, 6)):
+            copy[draw.randrange(len(copy))] = f"other{draw.randrange(10**6)}"
+        if k % 3 == 0:
+            first = draw.randrange(len(copy) - 20)
+            copy = copy[:first] + copy[first + draw.randint(1, 16):]
+        texts.append(copy)
+    kmers = [order_minhash.kmer_hashes(t) for t in texts]
+
+    def distance(a: int, b: int) -> tuple[int, bool]:
+        limit = int(0.2 * max(len(kmers[a]), len(kmers[b])) + 1e-9)
+        found = order_minhash.banded_distance(kmers[a], kmers[b], limit)
+        return found, found <= limit
+
+    star = [(0, k, len(kmers[k]), *distance(0, k)) for k in range(1, len(texts))]
+    near, far = [r[1] for r in star if r[4]], [r[1] for r in star if not r[4]]
+    wanted = {x for x in far if any(distance(x, y)[1] for y in near)}
+    assert len(near) > 5 and 3 < len(wanted) < len(far)
+    rounds = [spark.createDataFrame(star, "a bigint, b bigint, size int, distance int, linked boolean")]
+    held = spark.createDataFrame([(k, len(v), v.view("int64").tolist()) for k, v in enumerate(kmers)],
+                                 "rep bigint, size int, kmers array<bigint>")
+    links = rounds[0].where("linked").select("a", "b")
+    across = {(r.a, r.b) for r in order_minhash._across(rounds, links, held, 0.8).collect()}
+    assert all(distance(a, b)[1] for a, b in across)
+    assert {x for x in far if any(x in p for p in across)} >= wanted
+
+
 def test_near_texts_share_a_rare_bucket(spark):
     draw = random.Random(11)
     passage, texts = words(7, 50), []
