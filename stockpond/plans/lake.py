@@ -23,6 +23,7 @@ from stockpond.operators.numbering import number_rows
 from stockpond.session import scratch_scope
 from stockpond.sources.catalog import register_table
 from stockpond.sources.files import is_empty_source, path_exists, read_layer
+from stockpond.sources.quarantine import FailureBudget, ingest_with_quarantine
 from stockpond.sources.sinks import WriteReport
 from stockpond.streaming.incremental import ingest_new_files
 from stockpond.sources.versions import current_version, merge_buckets, remove_old_versions, replace_buckets, replace_table
@@ -41,18 +42,28 @@ def run_bronze(
     replace_day: bool = False,
     incremental: bool = False,
     match_pattern: bool = False,
+    budget: FailureBudget | None = None,
+    run_id: str | None = None,
 ) -> dict[str, WriteReport | None]:
     """Ingest the raw folders of the given tables.
 
     ``incremental`` takes in only the files that no incremental run took in
     before; it may follow plain runs, whose files it does not know.
-    ``match_pattern`` reads only files named like their table.
+    ``match_pattern`` reads only files named like their table. With a ``budget``
+    malformed records go to the quarantine layer, and a delivery with more of
+    them than it allows is refused; ``run_id`` names such a run, so that it adds its rows once.
     """
+    if budget is not None and (incremental or replace_day or not run_id):
+        raise ValueError("a run with a budget needs a run_id, and is neither incremental nor replaces a day")
     if incremental and replace_day:
         raise ValueError("an incremental run adds to its day and cannot replace it")
 
     def ingest(table: str) -> WriteReport | None:
         name, raw, bronze = source_table(table).name, lake.path("raw", table), lake.path("bronze", table)
+        if budget is not None:
+            kept = ingest_with_quarantine(spark, name, raw, bronze, lake.path("quarantine", table), run_id, budget,
+                                          file_format, match_pattern=match_pattern)
+            return kept and WriteReport(bronze, kept.accepted, {"quarantined": kept.quarantined})
         if not incremental:
             return ingest_table(spark, name, raw, bronze, file_format, replace_day, match_pattern)
         if not path_exists(spark, raw):

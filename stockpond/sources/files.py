@@ -21,6 +21,7 @@ def read_raw(
     multi_line: bool = False,
     keep_corrupt: bool = False,
     match_pattern: bool = False,
+    header: bool = True,
 ) -> DataFrame:
     """Raw files of a source table with its all-string contract.
 
@@ -29,12 +30,13 @@ def read_raw(
     but stops Spark from splitting files. ``keep_corrupt`` adds the text of
     malformed records, and leaves the header unchecked because no header names
     that column; ``match_pattern`` reads only files named like the table.
+    Without ``header`` the first line of a CSV file is a record like the others.
     """
     contract = source_table(table)
     schema = contract.schema
     reader = spark.read.format(file_format)
     if file_format == "csv":
-        reader = reader.option("header", True).option("enforceSchema", False).option("escape", '"')
+        reader = reader.option("header", header).option("enforceSchema", False).option("escape", '"')
     if file_format in ("csv", "json") and multi_line:
         reader = reader.option("multiLine", True)
     if keep_corrupt:

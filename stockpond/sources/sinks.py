@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from stockpond.session import hadoop_path
+
 
 @dataclass(frozen=True)
 class WriteReport:
@@ -48,3 +50,21 @@ def write_table(
     writer.parquet(path)
     found = dict(observed.get)
     return WriteReport(path, found.pop("rows"), found)
+
+
+def move_days(spark: SparkSession, folder: str, path: str) -> None:
+    """Move the files of a partitioned folder into the same partitions of the table at ``path``, one rename each.
+
+    Files that an earlier call moved are not there to be moved again, so a call
+    that was cut short may be repeated. Both have to be on one file system.
+    """
+    source, fs = hadoop_path(spark, folder)
+    for day in fs.listStatus(source):
+        if not day.isDirectory():
+            continue
+        target, _ = hadoop_path(spark, f"{path.rstrip('/')}/{day.getPath().getName()}")
+        fs.mkdirs(target)
+        for part in fs.listStatus(day.getPath()):
+            name = part.getPath().getName()
+            if not name.startswith((".", "_")) and not fs.rename(part.getPath(), hadoop_path(spark, f"{target.toString()}/{name}")[0]):
+                raise OSError(f"{name} could not be moved to {target}")

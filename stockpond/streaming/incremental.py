@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stockpond.contracts import source_table
 from stockpond.operators.columns import stamp_lineage
 from stockpond.session import hadoop_path
-from stockpond.sources.sinks import write_table
+from stockpond.sources.sinks import move_days, write_table
 
 
 def ingest_new_files(
@@ -77,15 +77,7 @@ def publish_epoch(batch: DataFrame, epoch: int, bronze_path: str, ledger: str) -
     if not fs.exists(complete):
         fs.delete(work, True)
         rows = write_table(batch, work.toString(), partition_by=["_ingestion_date"], gather=False).rows
-    for day in fs.listStatus(work):
-        if not day.isDirectory():
-            continue
-        target, _ = hadoop_path(spark, f"{bronze_path.rstrip('/')}/{day.getPath().getName()}")
-        fs.mkdirs(target)
-        for part in fs.listStatus(day.getPath()):
-            name = part.getPath().getName()
-            if not name.startswith((".", "_")) and not fs.rename(part.getPath(), hadoop_path(spark, f"{target.toString()}/{name}")[0]):
-                raise OSError(f"{name} of epoch {epoch} could not be moved to {target}")
+    move_days(spark, work.toString(), bronze_path)
     fs.create(done, True).close()
     fs.delete(work, True)
     return rows

@@ -8,7 +8,7 @@ from stockpond.operators import stamp_lineage
 from stockpond.plans.bronze import ingest_table, with_file_lineage
 from stockpond.plans.silver import build_silver, merge_silver
 from stockpond.session import hadoop_path, scratch_path
-from stockpond.sources import read_files, read_layer, read_raw, register_table, write_table
+from stockpond.sources import FailureBudget, ingest_with_quarantine, read_files, read_layer, read_raw, register_table, write_table
 from stockpond.streaming import ingest_new_files
 from testbed import sql as S
 from testbed import tables as T
@@ -228,6 +228,32 @@ def bronze_mixed_ingest(spark, sf_dir):
     return read_layer(spark, bronze).groupBy("order_id").agg(F.count(F.lit(1)).alias("deliveries"))
 
 
+@query("bronze_quarantine", """
+    SELECT 'PROD-' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS product_id, p_brand AS brand,
+      CASE WHEN p_partkey % 7 = 0 THEN 'quarantine' ELSE 'bronze' END AS layer,
+      CASE WHEN p_partkey % 7 = 0 THEN length(p_brand) + 15 END AS bad_length
+    FROM part""")
+def bronze_quarantine(spark, sf_dir):
+    """Every seventh record is cut off after two columns: good and quarantined rows together are all rows."""
+    raw, bronze, apart = (scratch_path(spark, label) for label in ("damaged", "bronze-products", "quarantine-products"))
+    products = T.raw_products(spark, sf_dir).drop("_ingested_at", "_source_file")
+    whole = F.to_csv(F.struct(*products.columns), {"escape": '"'})
+    brand = F.trim("brand")
+    lines = products.withColumn("cut", F.substring("product_id", 6, 9).cast("bigint") % 7 == 0).select(
+        F.when(F.col("cut"), F.concat_ws(",", "product_id", brand)).otherwise(whole).alias("line"),
+        (F.xxhash64("product_id") % 4).alias("part"), F.lit(1).alias("place"))
+    titles = spark.range(-3, 4).select(F.lit(",".join(products.columns)), F.col("id"), F.lit(0))
+    lines.union(titles).repartition(4, "part").sortWithinPartitions("part", "place").select("line").write.text(raw)
+    ingest_with_quarantine(spark, "products", raw, bronze, apart, "first", FailureBudget(0.5))
+    ingest_with_quarantine(spark, "products", raw, bronze, apart, "first", FailureBudget(0.5))  # changes nothing
+    text = F.col("_corrupt_record")
+    kept = read_layer(spark, bronze).select("product_id", F.trim("brand").alias("brand"), F.lit("bronze").alias("layer"),
+                                            F.lit(None).cast("bigint").alias("bad_length"))
+    return kept.unionByName(read_layer(spark, apart).select(
+        F.substring_index(text, ",", 1).alias("product_id"), F.substring_index(text, ",", -1).alias("brand"),
+        F.lit("quarantine").alias("layer"), F.length(text).cast("bigint").alias("bad_length")))
+
+
 @query("silver_incremental_merge", S.with_tables(S.SILVER_ORDERS, """
     SELECT order_id, customer_id, status, total_amount FROM silver_orders"""))
 def silver_incremental_merge(spark, sf_dir):
