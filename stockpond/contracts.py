@@ -111,7 +111,9 @@ class LakeConfig:
     """Where the layers live and how a run behaves.
 
     Silver tables lie in ``silver_buckets`` buckets of their key; merging a day
-    rewrites the buckets that it touches, so large tables want many.
+    rewrites the buckets that it touches, so large tables want many. With
+    ``gate_keys`` a whole run stops before silver where bronze has too many
+    missing or repeated keys.
     """
 
     root: str
@@ -119,6 +121,7 @@ class LakeConfig:
     calendar_start_year: int = 2020
     calendar_end_year: int = 2030
     silver_buckets: int = 16
+    gate_keys: bool = False
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"

@@ -17,6 +17,7 @@ from stockpond.plans import dimensions, facts, marts
 from stockpond.plans.bronze import ingest_table
 from stockpond.plans.silver import build_silver, merge_silver
 from stockpond.quality.engine import enforce
+from stockpond.quality.keys import check_keys, key_counters
 from stockpond.quality.suites import check_customers, check_order_items, check_orders, check_products
 from stockpond.operators.history import merge_history
 from stockpond.operators.numbering import number_rows
@@ -24,7 +25,7 @@ from stockpond.session import scratch_scope
 from stockpond.sources.catalog import register_table
 from stockpond.sources.files import is_empty_source, path_exists, read_layer
 from stockpond.sources.quarantine import FailureBudget, ingest_with_quarantine
-from stockpond.sources.sinks import WriteReport
+from stockpond.sources.sinks import WriteReport, write_table
 from stockpond.streaming.incremental import ingest_new_files
 from stockpond.sources.versions import current_version, merge_buckets, remove_old_versions, replace_buckets, replace_table
 
@@ -114,6 +115,36 @@ def _silver_table(spark, lake, table, as_of, processing_date) -> WriteReport | N
         return merge_buckets(target, silver, lambda existing, arrivals: merge_silver(table, existing, arrivals, as_of))
 
 
+def run_key_gate(
+    spark: SparkSession, lake: LakeConfig, tables: Sequence[str] = SILVER_TABLES, processing_date: str | None = None
+) -> DataFrame:
+    """Count the keys of bronze, one day or all, keep the counters per day, and stop the run if the gate is closed.
+
+    Silver keeps one row per key and none without, so its own key checks
+    cannot fail; this one sees what was delivered. With a day, only that day is counted and judged.
+    """
+    results = None
+    for table in tables:
+        source, path = lake.path("bronze", table), lake.path("quality", f"bronze_keys_{table}")
+        if not path_exists(spark, source):
+            log.warning("%s: no bronze table, skipped", table)
+            continue
+        counters = key_counters(read_layer(spark, source, processing_date), table, source_table(table).key)
+        write_table(counters, path, partition_by=["_ingestion_date"], replace_only_written=bool(processing_date), gather=False)
+        # A day without rows leaves no counters, so the schema may not be read from files.
+        written = spark.read.schema(counters.schema).parquet(path)
+        found = check_keys(written, lake.limits, [processing_date] if processing_date else None)
+        results = found if results is None else results.unionByName(found)
+    if results is None:
+        raise FileNotFoundError("no bronze table to check")
+    path = lake.path("quality", "bronze_checks")
+    replace_table(results, path)
+    checked = read_layer(spark, path)
+    if lake.limits.fail_on_error:
+        enforce(checked)
+    return checked
+
+
 def run_quality(spark: SparkSession, lake: LakeConfig, as_of: str | None = None) -> DataFrame:
     """Check the silver tables (their age as of the given moment or now), keep the results as a table and stop the run if the gate is closed."""
     silver = {table: read_layer(spark, lake.path("silver", table)) for table in SILVER_TABLES}
@@ -237,6 +268,8 @@ def run_all(
 ) -> dict:
     """All layers in order."""
     bronze = run_bronze(spark, lake, file_format=file_format, incremental=incremental)
+    if lake.gate_keys:
+        run_key_gate(spark, lake)
     silver = run_silver(spark, lake, as_of=as_of)
     run_quality(spark, lake, as_of)
     return {"bronze": bronze, "silver": silver, "gold": run_gold(spark, lake, as_of)}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stockpond.contracts import ORDER_STATUSES
+from stockpond.contracts import ORDER_STATUSES, QualityLimits
 from stockpond.quality import (
     Fresh,
     InRange,
@@ -14,12 +14,14 @@ from stockpond.quality import (
     Severity,
     Unique,
     check_customers,
+    check_keys,
     check_order_items,
     check_orders,
     check_products,
     count_violations,
     evaluate,
     gate,
+    key_counters,
     not_null,
     report,
     summarize,
@@ -241,6 +243,36 @@ TWO_SUITES = (S.SILVER_CUSTOMERS + "," + S.SILVER_PRODUCTS
               + f", results AS ({CUSTOMERS_SUITE} UNION ALL {PRODUCTS_SUITE})")
 
 
+@query("dq_bronze_keys", S.with_tables(S.RAW_ITEMS + """,
+delivered AS (
+  SELECT CASE WHEN quantity_text = 'many' THEN NULL WHEN quantity_text = '0' THEN ' ' ELSE order_item_id END AS k,
+    _ingested_at AS day FROM raw_items),
+keyed AS (SELECT nullif(trim(k), '') AS k, day FROM delivered),
+seen AS (SELECT day, k, count(*) AS n FROM keyed GROUP BY day, k),
+counted AS (
+  SELECT 'order_items' AS table_name, 'order_item_id' AS key, sum(n) AS total,
+    sum(CASE WHEN k IS NULL THEN n ELSE 0 END) AS missing, sum(CASE WHEN k IS NULL THEN 0 ELSE n - 1 END) AS repeated
+  FROM seen
+  UNION ALL SELECT 'orders', 'order_id', count(*) + count(*) FILTER (WHERE o_orderstatus = 'O'), 0, 0 FROM orders)""", """
+    SELECT table_name, 'bronze_not_null_' || key AS check_name, 'error' AS severity,
+      CAST(missing AS DOUBLE) / CAST(total AS DOUBLE) * 100 <= 1.0 AS passed, CAST(missing AS BIGINT) AS failed_count,
+      CAST(total AS BIGINT) AS total_count, CAST(missing AS DOUBLE) / CAST(total AS DOUBLE) * 100 AS failed_percentage
+    FROM counted
+    UNION ALL
+    SELECT table_name, 'bronze_unique_' || key, 'error',
+      CAST(repeated AS DOUBLE) / CAST(total AS DOUBLE) * 100 <= 0.1, CAST(repeated AS BIGINT),
+      CAST(total AS BIGINT), CAST(repeated AS DOUBLE) / CAST(total AS DOUBLE) * 100
+    FROM counted"""))
+def dq_bronze_keys(spark, sf_dir):
+    """Keys as delivered: blank or missing ones, and those that came twice on a day, before silver drops them."""
+    day = F.col("_ingested_at").cast("date")
+    key = F.when(F.col("quantity") == "many", None).when(F.col("quantity") == "0", " ").otherwise(F.col("order_item_id"))
+    items = T.raw_order_items(spark, sf_dir).withColumns({"order_item_id": key, "_ingestion_date": day})
+    orders = T.raw_orders(spark, sf_dir).withColumn("_ingestion_date", day)
+    counters = key_counters(items, "order_items", "order_item_id").unionByName(key_counters(orders, "orders", "order_id"))
+    return verdicts(check_keys(counters, QualityLimits()))
+
+
 @query("dq_gate", S.with_tables(TWO_SUITES, """
     SELECT table_name, bool_and(passed OR severity <> 'error') AS passed,
       count(*) FILTER (WHERE NOT passed AND severity = 'error') AS blocking_checks

@@ -239,6 +239,23 @@ def test_gate_stops_a_run(spark, lake):
     assert late.count() == 4 and late.where("check_name = 'freshness__ingested_at'").count() == 4
 
 
+def test_the_key_gate_sees_what_silver_hides(spark, lake):
+    runs.run_bronze(spark, lake)  # one of four order items came twice
+    with pytest.raises(DataQualityError, match="order_items.bronze_unique_order_item_id"):
+        runs.run_key_gate(spark, lake)
+    checks = read_layer(spark, lake.path("quality", "bronze_checks"))
+    assert checks.count() == 8 and checks.where("not passed").first()["failed_count"] == 1
+    day = str(read_layer(spark, lake.path("bronze", "orders")).first()["_ingestion_date"])
+    relaxed = LakeConfig(lake.root, QualityLimits(max_duplicate_percentage=25.0))
+    assert runs.run_key_gate(spark, relaxed, processing_date=day).where("passed").count() == 8
+    assert runs.run_key_gate(spark, relaxed, ["orders"], processing_date="1999-01-01").count() == 0
+    with pytest.raises(DataQualityError, match="bronze_unique"):
+        runs.run_all(spark, LakeConfig(lake.root, gate_keys=True), as_of="2024-03-01")
+    assert not path_exists(spark, lake.path("silver", "orders"))
+    with pytest.raises(FileNotFoundError, match="no bronze"):
+        runs.run_key_gate(spark, lake, [])
+
+
 def test_gold_needs_every_silver_table(spark, lake):
     with pytest.raises(FileNotFoundError, match="customers"):
         runs.run_gold(spark, lake)

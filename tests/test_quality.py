@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from stockpond.contracts import QualityLimits
 from stockpond.plans.silver import build_silver
@@ -16,6 +17,7 @@ from stockpond.quality import (
     Severity,
     Unique,
     check_customers,
+    check_keys,
     check_order_items,
     check_orders,
     check_products,
@@ -23,6 +25,7 @@ from stockpond.quality import (
     enforce,
     evaluate,
     gate,
+    key_counters,
     not_null,
     report,
     summarize,
@@ -163,3 +166,20 @@ def test_record_contracts(bronze):
          "total_amount": total} for i, total in enumerate(["10", "10.01", "10.02"])]))
     counted = {r.rule: r.violations for r in count_violations(orders, "orders").collect()}
     assert counted["total_matches_parts"] == 1 and counted["status_present"] == 3 and counted["status_known"] == 0
+
+
+def test_key_counters_per_day(spark):
+    rows = [("2024-01-01", "A"), ("2024-01-01", " A "), ("2024-01-01", "B"), ("2024-01-01", None), ("2024-01-01", " "),
+            ("2024-01-02", "A"), ("2024-01-02", "A"), ("2024-01-02", "A")]
+    bronze = spark.createDataFrame(rows, "d string, id string").select(F.col("d").cast("date").alias("_ingestion_date"), "id")
+    counters = key_counters(bronze, "things", "id")
+    found = {str(r["_ingestion_date"]): (r["rows"], r["null_keys"], r["repeated"]) for r in counters.collect()}
+    assert found == {"2024-01-01": (5, 2, 1), "2024-01-02": (3, 0, 2)}
+    every = {r["check_name"]: r for r in check_keys(counters, QualityLimits(25.0, 37.0)).collect()}
+    assert every["bronze_not_null_id"]["passed"] and not every["bronze_unique_id"]["passed"]
+    assert every["bronze_unique_id"]["failed_count"] == 3 and every["bronze_unique_id"]["total_count"] == 8
+    day = {r["check_name"]: r["failed_count"] for r in check_keys(counters, QualityLimits(), ["2024-01-02"]).collect()}
+    assert day == {"bronze_not_null_id": 0, "bronze_unique_id": 2}
+    assert check_keys(key_counters(bronze.limit(0), "things", "id"), QualityLimits()).count() == 0
+    # the columns are those of every other check
+    assert check_keys(counters, QualityLimits()).columns == evaluate(bronze, "things", not_null("id")).columns
