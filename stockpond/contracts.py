@@ -82,6 +82,11 @@ GOLD_PARTITIONS = {
     "agg_daily_sales": (),
     "agg_product_performance": (),
 }
+#: Figures that ``run_marts`` builds from the written gold tables.
+MART_TABLES = (
+    "agg_weekly_sales", "agg_monthly_sales", "agg_category_performance", "agg_daily_revenue",
+    "agg_orders_per_customer", "agg_customer_lifetime_value", "top_products", "best_sellers",
+)
 
 
 def source_table(name: str) -> SourceTable:
@@ -113,7 +118,8 @@ class LakeConfig:
     Silver tables lie in ``silver_buckets`` buckets of their key; merging a day
     rewrites the buckets that it touches, so large tables want many. With
     ``gate_keys`` a whole run stops before silver where bronze has too many
-    missing or repeated keys.
+    missing or repeated keys. Orders with ``hot_order_share`` or more of all
+    lines stay out of the shuffle when the fact is built; ``None`` looks for none.
     """
 
     root: str
@@ -122,6 +128,7 @@ class LakeConfig:
     calendar_end_year: int = 2030
     silver_buckets: int = 16
     gate_keys: bool = False
+    hot_order_share: float | None = 0.01
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stockpond.functions.money import money, percent_of, sum_cents, sum_exact
 from stockpond.functions.temporal import date_key
+from stockpond.operators.joins import hot_keys, skew_join
 from stockpond.operators.numbering import number_rows
 from stockpond.operators.validity import valid_version
 
@@ -23,7 +24,12 @@ def _current(dimension: DataFrame) -> DataFrame:
 
 
 def sales_lines(
-    items: DataFrame, orders: DataFrame, customer_dim: DataFrame, product_dim: DataFrame, at_order_date: bool = False
+    items: DataFrame,
+    orders: DataFrame,
+    customer_dim: DataFrame,
+    product_dim: DataFrame,
+    at_order_date: bool = False,
+    hot_share: float | None = None,
 ) -> DataFrame:
     """One row per order item with dimension keys and measures, not numbered yet.
 
@@ -31,7 +37,10 @@ def sales_lines(
     the smaller orders table and only narrow rows reach the join on order_id.
     Lines of unknown orders, customers or products drop out. With
     ``at_order_date`` the dimensions are Type 2 histories, and keys and cost are
-    those of the versions valid when the order was placed.
+    those of the versions valid when the order was placed. With a ``hot_share``
+    the items should be a stored table: a first pass over their order ids finds
+    orders with that share of the lines or more, whose lines then stay out of
+    the shuffle.
     """
     headers = orders.select(
         "order_id", "customer_id", "order_date", "status", "payment_method", "shipping_country",
@@ -41,13 +50,18 @@ def sales_lines(
         "order_item_id", "order_id", "product_id", "quantity", "unit_price",
         "discount_percent", "discount_amount", "line_total",
     )
+    hot = hot_keys(items, "order_id", hot_share) if hot_share else None
+
+    def with_headers(lines: DataFrame) -> DataFrame:
+        return lines.join(headers, "order_id") if hot is None else skew_join(lines, headers, "order_id", hot=hot)
+
     if at_order_date:
         headers = valid_version(headers, customer_dim, "customer_id", "order_date", ["customer_key"])
-        joined = valid_version(lines.join(headers, "order_id"), product_dim, "product_id", "order_date", ["product_key", "cost"])
+        joined = valid_version(with_headers(lines), product_dim, "product_id", "order_date", ["product_key", "cost"])
     else:
         headers = headers.join(_current(customer_dim).select("customer_id", "customer_key"), "customer_id")
         lines = lines.join(_current(product_dim).select("product_id", "product_key", "cost"), "product_id")
-        joined = lines.join(headers, "order_id")
+        joined = with_headers(lines)
 
     share = F.try_divide(F.col("line_total"), F.col("subtotal"))
     measured = joined.withColumns({
@@ -83,10 +97,15 @@ def sales_lines(
 
 
 def fact_sales(
-    items: DataFrame, orders: DataFrame, customer_dim: DataFrame, product_dim: DataFrame, at_order_date: bool = False
+    items: DataFrame,
+    orders: DataFrame,
+    customer_dim: DataFrame,
+    product_dim: DataFrame,
+    at_order_date: bool = False,
+    hot_share: float | None = None,
 ) -> DataFrame:
     """Numbered sales fact; the dimensions supply the keys, so fact and dimensions always agree."""
-    lines = sales_lines(items, orders, customer_dim, product_dim, at_order_date)
+    lines = sales_lines(items, orders, customer_dim, product_dim, at_order_date, hot_share)
     return number_rows(lines, "sale_key", ["order_item_id"])
 
 

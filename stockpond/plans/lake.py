@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockpond.contracts import GOLD_PARTITIONS, SILVER_TABLES, LakeConfig, source_table
+from stockpond.contracts import GOLD_PARTITIONS, MART_TABLES, SILVER_TABLES, LakeConfig, source_table
 from stockpond.plans import dimensions, facts, marts
 from stockpond.plans.bronze import ingest_table
 from stockpond.plans.silver import build_silver, merge_silver
@@ -21,7 +21,7 @@ from stockpond.quality.keys import check_keys, key_counters
 from stockpond.quality.suites import check_customers, check_order_items, check_orders, check_products
 from stockpond.operators.history import merge_history
 from stockpond.operators.numbering import number_rows
-from stockpond.session import scratch_scope
+from stockpond.session import scratch_scope, shuffle_sizing
 from stockpond.sources.catalog import register_table
 from stockpond.sources.files import is_empty_source, path_exists, read_layer
 from stockpond.sources.quarantine import FailureBudget, ingest_with_quarantine
@@ -89,7 +89,8 @@ def run_silver(
     With a ``processing_date`` only that ingestion day is read and merged into
     the existing silver table; otherwise the table is rebuilt. The merge
     rewrites only the buckets of the keys that arrived, except for tables whose
-    rows depend on the day of the run.
+    rows depend on the day of the run. Shuffles are sized by the bronze files
+    that are read.
     """
     return {table: _silver_table(spark, lake, table, as_of, processing_date) for table in tables}
 
@@ -106,12 +107,13 @@ def _silver_table(spark, lake, table, as_of, processing_date) -> WriteReport | N
         return None
     silver, key = build_silver(table, bronze, as_of), source_table(table).key
     if not processing_date or not path_exists(spark, target):
-        return replace_buckets(silver, target, key, lake.silver_buckets)
-    version = current_version(spark, target)
+        with shuffle_sizing(spark, [bronze]):
+            return replace_buckets(silver, target, key, lake.silver_buckets)
+    version, existing = current_version(spark, target), read_layer(spark, target)
     if version is None or not version.buckets or table in DAILY_CHANGING:
-        merged = merge_silver(table, read_layer(spark, target), silver, as_of)
-        return replace_buckets(merged, target, key, lake.silver_buckets)
-    with scratch_scope(spark):
+        with shuffle_sizing(spark, [bronze, existing]):
+            return replace_buckets(merge_silver(table, existing, silver, as_of), target, key, lake.silver_buckets)
+    with scratch_scope(spark), shuffle_sizing(spark, [bronze, existing]):
         return merge_buckets(target, silver, lambda existing, arrivals: merge_silver(table, existing, arrivals, as_of))
 
 
@@ -172,12 +174,17 @@ def run_gold(
     first. Dimensions then keep the keys of the histories from run to run, and
     the fact takes the versions that were valid when an order was placed.
     Otherwise keys follow the order of the natural keys and the fact takes the
-    current state.
+    current state. Shuffles are sized by the silver files.
     """
     missing = [t for t in SILVER_TABLES if not path_exists(spark, lake.path("silver", t))]
     if missing:
         raise FileNotFoundError(f"silver tables missing: {', '.join(missing)}")
     silver = {table: read_layer(spark, lake.path("silver", table)) for table in SILVER_TABLES}
+    with shuffle_sizing(spark, list(silver.values())):
+        return _gold_tables(spark, lake, silver, as_of, effective)
+
+
+def _gold_tables(spark, lake, silver, as_of, effective) -> dict[str, WriteReport]:
     reports = {}
 
     def save(name: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = ()) -> DataFrame:
@@ -203,7 +210,8 @@ def run_gold(
             "dim_customer", lambda: dimensions.dim_customer(silver["customers"], silver["orders"], as_of))
     fact = save(
         "fact_sales",
-        lambda: facts.fact_sales(silver["order_items"], silver["orders"], customers, products, bool(effective)),
+        lambda: facts.fact_sales(silver["order_items"], silver["orders"], customers, products, bool(effective),
+                                 lake.hot_order_share),
         partition_by=GOLD_PARTITIONS["fact_sales"],
     )
     save("agg_daily_sales", lambda: marts.daily_sales(fact))
@@ -211,6 +219,33 @@ def run_gold(
     return reports
 
 
+def run_marts(spark: SparkSession, lake: LakeConfig, k: int = 10) -> dict[str, WriteReport]:
+    """Weekly, monthly, category, customer and best-seller figures as gold tables, from the written fact and dimensions."""
+    needed = ("fact_sales", "dim_product", "dim_date")
+    missing = [name for name in needed if not path_exists(spark, lake.path("gold", name))]
+    if not path_exists(spark, lake.path("silver", "orders")):
+        missing.append("silver orders")
+    if missing:
+        raise FileNotFoundError(f"tables missing: {', '.join(missing)}")
+    fact, products, days = (read_layer(spark, lake.path("gold", name)) for name in needed)
+    builders = {
+        "agg_weekly_sales": lambda: marts.sales_by_period(fact, "week"),
+        "agg_monthly_sales": lambda: marts.sales_by_period(fact, "month"),
+        "agg_category_performance": lambda: marts.category_performance(fact, products, days),
+        "agg_daily_revenue": lambda: marts.daily_revenue(fact),
+        "agg_orders_per_customer": lambda: marts.orders_per_customer(fact),
+        "agg_customer_lifetime_value": lambda: marts.customer_lifetime_value(read_layer(spark, lake.path("silver", "orders"))),
+        "top_products": lambda: marts.top_products(fact, products, k),
+        "best_sellers": lambda: marts.best_sellers(fact, products, k),
+    }
+    reports = {}
+    with shuffle_sizing(spark, [fact]):
+        for name in MART_TABLES:
+            with scratch_scope(spark):
+                reports[name] = replace_table(builders[name](), lake.path("gold", name))
+    return reports
+
+
 def _next_history(spark, lake, name, profiles, effective) -> DataFrame:
     """The history after today's profiles; the first one has an open version of every member."""
     natural, key, tracked = dimensions.NATURAL_KEYS[name], dimensions.SURROGATE_KEYS[name], dimensions.TRACKED_ATTRIBUTES[name]
@@ -239,6 +274,7 @@ def run_history(spark: SparkSession, lake: LakeConfig, effective: str) -> dict[s
 def run_cleanup(spark: SparkSession, lake: LakeConfig, keep: int = 2) -> int:
     """Remove all but the last ``keep`` versions of every table; returns how many folders went."""
     tables = [("silver", t) for t in SILVER_TABLES] + [("gold", t) for t in GOLD_PARTITIONS]
+    tables += [("gold", t) for t in MART_TABLES]
     tables += [("gold", f"{name}_history") for name in dimensions.TRACKED_ATTRIBUTES] + [("quality", "silver_checks")]
     return sum(remove_old_versions(spark, lake.path(layer, table), keep) for layer, table in tables)
 
@@ -254,22 +290,29 @@ def check_load(spark: SparkSession, lake: LakeConfig) -> tuple[DataFrame, DataFr
 
 
 def register_layers(spark: SparkSession, lake: LakeConfig, database: str) -> list[str]:
-    """Make the silver and gold tables known to the catalog; returns their names."""
+    """Make the silver and gold tables, and the marts that were built, known to the catalog; returns their names."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     layers = [("silver", table, ()) for table in SILVER_TABLES]
     layers += [("gold", table, partition_by) for table, partition_by in GOLD_PARTITIONS.items()]
+    layers += [("gold", table, ()) for table in MART_TABLES if path_exists(spark, lake.path("gold", table))]
     for layer, table, partition_by in layers:
         register_table(spark, f"{database}.{table}", lake.path(layer, table), partition_by)
     return [f"{database}.{table}" for _, table, _ in layers]
 
 
 def run_all(
-    spark: SparkSession, lake: LakeConfig, as_of: str | None = None, file_format: str = "csv", incremental: bool = False
+    spark: SparkSession,
+    lake: LakeConfig,
+    as_of: str | None = None,
+    file_format: str = "csv",
+    incremental: bool = False,
+    with_marts: bool = False,
 ) -> dict:
-    """All layers in order."""
+    """All layers in order; the figures of ``run_marts`` on demand."""
     bronze = run_bronze(spark, lake, file_format=file_format, incremental=incremental)
     if lake.gate_keys:
         run_key_gate(spark, lake)
     silver = run_silver(spark, lake, as_of=as_of)
     run_quality(spark, lake, as_of)
-    return {"bronze": bronze, "silver": silver, "gold": run_gold(spark, lake, as_of)}
+    done = {"bronze": bronze, "silver": silver, "gold": run_gold(spark, lake, as_of)}
+    return {**done, "marts": run_marts(spark, lake)} if with_marts else done

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,6 +84,35 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             fs.delete(path, True)
 
 
+def input_bytes(spark: SparkSession, tables: Sequence[DataFrame]) -> int:
+    """Bytes of the files that the given scans read, after pruning; what has no known size counts as nothing."""
+    unknown = spark._jsparkSession.sessionState().conf().defaultSizeInBytes()
+    sizes = [int(str(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for t in tables]
+    return sum(size for size in sizes if size < unknown)
+
+
+@contextmanager
+def shuffle_sizing(
+    spark: SparkSession, tables: Sequence[DataFrame], growth: int = 4, task_bytes: int = 128 << 20
+) -> Iterator[int]:
+    """Shuffle partitions to fit the stored tables that a step reads, for the jobs it starts; yields their number.
+
+    Stored files grow about ``growth`` times when they are decoded, and a task
+    should take ``task_bytes`` of that, so a step over 1 TB gets about 32,000
+    partitions instead of a fixed number. The number set for the session is the
+    least, and adaptive execution joins partitions that turn out small. Jobs that
+    other threads of this session plan meanwhile get the same number.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    number = max(int(before), -(-input_bytes(spark, tables) * growth // task_bytes))
+    spark.conf.set(name, number)
+    try:
+        yield number
+    finally:
+        spark.conf.set(name, before)
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """The Hadoop ``Path`` and its ``FileSystem`` for a location on any storage."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -9,7 +9,7 @@ from stockpond.operators import merge_history
 from stockpond.operators.numbering import number_rows
 from stockpond.contracts import LakeConfig
 from stockpond.plans import dimensions, facts, lake, marts
-from stockpond.session import scratch_path
+from stockpond.session import scratch_path, stage
 from stockpond.sources import read_layer, replace_table, write_table
 from testbed import sql as S
 from testbed import tables as T
@@ -431,3 +431,21 @@ def fact_valid_versions(spark, sf_dir):
         histories["dim_customer"], histories["dim_product"], at_order_date=True)
     return T.comparable(lines).select(
         "order_item_id", "order_date", "customer_key", "product_key", "net_revenue", "cost_of_goods", "profit")
+
+
+HOT_FACT = S.FACT.replace("lines AS (", """hot_items AS (
+  SELECT * REPLACE (CASE WHEN TRY_CAST(substr(product_id, 6) AS BIGINT) % 10 < 3
+    THEN (SELECT min(order_id) FROM silver_orders JOIN dim_customer USING (customer_id)) ELSE order_id END AS order_id)
+  FROM silver_items),
+lines AS (""", 1).replace("FROM silver_items i JOIN", "FROM hot_items i JOIN", 1)
+
+
+@query("fact_hot_order", S.with_tables(HOT_FACT, "SELECT * EXCLUDE (sale_key) FROM fact"))
+def fact_hot_order(spark, sf_dir):
+    """Sales lines of which about a third belong to one order, as with a placeholder for unknown orders."""
+    orders, customers = T.silver_table(spark, sf_dir, "orders"), T.customer_dim(spark, sf_dir)
+    hot = orders.join(customers, "customer_id").agg(F.min("order_id")).first()[0]
+    moved = F.substring("product_id", 6, 9).try_cast("bigint") % 10 < 3
+    items = T.silver_table(spark, sf_dir, "order_items").withColumn("order_id", F.when(moved, F.lit(hot)).otherwise(F.col("order_id")))
+    return T.comparable(facts.sales_lines(
+        stage(items, "hot-items"), orders, customers, T.product_dim(spark, sf_dir), hot_share=0.05))

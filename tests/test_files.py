@@ -12,7 +12,7 @@ from stockpond.contracts import LakeConfig, QualityLimits, source_table
 from stockpond.plans import lake as runs
 from stockpond.plans.bronze import ingest_table
 from stockpond.quality import DataQualityError
-from stockpond.session import hadoop_path, scratch_path, shared_folder
+from stockpond.session import hadoop_path, input_bytes, scratch_path, shared_folder, shuffle_sizing
 from stockpond.sources import is_empty_source, path_exists, read_files, read_layer, read_raw, refresh_partitions, register_table, write_table
 from stockpond.streaming import ingest_new_files
 
@@ -262,3 +262,39 @@ def test_gold_needs_every_silver_table(spark, lake):
     assert runs.run_silver(spark, lake) == dict.fromkeys(["customers", "products", "orders", "order_items"])
     with pytest.raises(ValueError, match="unknown table"):
         runs.run_bronze(spark, lake, ["returns"])
+
+
+def test_marts_of_a_run(spark, lake, by_key):
+    with pytest.raises(FileNotFoundError):
+        runs.run_marts(spark, lake)
+    reports = runs.run_all(spark, lake, as_of="2024-03-01", with_marts=True)
+    assert {name: r.rows for name, r in reports["marts"].items()} == {
+        "agg_weekly_sales": 2, "agg_monthly_sales": 2, "agg_category_performance": 2, "agg_daily_revenue": 2,
+        "agg_orders_per_customer": 1, "agg_customer_lifetime_value": 2, "top_products": 2, "best_sellers": 2}
+    gold = {name: read_layer(spark, lake.path("gold", name)) for name in reports["marts"]}
+    weeks = by_key(gold["agg_weekly_sales"], "shipping_country")
+    assert {c: (str(r["period_start"]), r["net_revenue"]) for c, r in weeks.items()} == {
+        "DE": ("2024-01-29", 30.0), "NL": ("2024-01-29", 20.0)}
+    spend = by_key(gold["agg_customer_lifetime_value"], "customer_id")
+    assert spend["C1"]["customer_lifetime_value"] == 35.7
+    assert [r.product_id for r in gold["best_sellers"].orderBy(F.desc("total_revenue")).collect()] == ["P2", "P1"]
+    assert len(runs.register_layers(spark, lake, "shop_with_marts")) == 18
+    spark.sql("DROP DATABASE shop_with_marts CASCADE")
+
+
+def test_shuffles_fit_the_input(spark, tmp_path):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.range(100_000).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    size = input_bytes(spark, [table])
+    assert size == sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    with shuffle_sizing(spark, [table]) as least:
+        assert least == int(before)
+    for tasks in (50, 500):
+        with shuffle_sizing(spark, [table], growth=1, task_bytes=-(-size // tasks)) as number:
+            assert tasks - 1 <= number <= tasks and spark.conf.get(name) == str(number)
+            plan = table.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning(id#" in plan and f", {number})" in plan
+        assert spark.conf.get(name) == before
+    assert input_bytes(spark, [spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int")]) == 0

@@ -19,6 +19,7 @@ from stockpond.operators import (
     number_rows_sparse,
     rank_within,
     salted_join,
+    skew_join,
     stamp_lineage,
     top_per_group,
     trim_columns,
@@ -150,6 +151,37 @@ def test_salted_join_repeats_several_matches(spark):
         salted_join(left, right, "k", "full")
 
 
+@pytest.mark.parametrize("limit", [10_000, 0])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_skew_join_equals_the_plain_join(skewed, spark, how, limit):
+    lookup = table(spark, [("hot", 1), ("hot", 2), (None, 3), *[(f"k{i}", i) for i in range(0, 200, 2)]], "k string, w int")
+    met, plain = skew_join(skewed, lookup, "k", how, share=0.05, broadcast_rows=limit, salts=8), skewed.join(lookup, "k", how)
+    assert met.columns == plain.columns
+    assert sorted(met.collect(), key=str) == sorted(plain.collect(), key=str)
+    assert skew_join(skewed.limit(0), lookup, "k", how).isEmpty()
+    with pytest.raises(ValueError):
+        skew_join(skewed, lookup, "k", "full")
+
+
+@pytest.mark.parametrize("limit", [10_000, 0])
+def test_skew_join_spreads_equal_rows(spark, tmp_path, limit):
+    """Three of ten lines on one order, all equal: no task gets more than twice the mean."""
+    rows = spark.range(0, 200_000, 1, 8).select(F.when(F.col("id") % 10 < 3, 1).otherwise(F.col("id")).alias("k"), F.lit(7).alias("v"))
+    rows.write.parquet(str(tmp_path / "lines"))
+    lines, orders = spark.read.parquet(str(tmp_path / "lines")), spark.range(200_000).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        met = skew_join(lines, orders, "k", share=0.05, broadcast_rows=limit)
+        sizes = [r["count"] for r in met.groupBy(F.spark_partition_id()).count().collect()]
+        plain = [r["count"] for r in lines.join(orders, "k").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == sum(plain) == 200_000
+    assert max(sizes) < 2 * sum(sizes) / len(sizes) and max(sizes) < max(plain) / 1.5
+
+
 def test_missing_keys_count_null_once(spark):
     left = table(spark, [("a",), ("x",), ("x",), (None,), (None,)], "fk string")
     right = table(spark, [("a",), ("a",), (None,)], "pk string")
