@@ -53,6 +53,13 @@ def map_rows(
     return df.mapInArrow(run, ddl)
 
 
+def free_name(columns: Sequence[str], stem: str) -> str:
+    """``stem``, or ``stem`` with underscores after it, whichever no given column has in any case."""
+    taken = {c.lower() for c in columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
 
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, every other character kept."""

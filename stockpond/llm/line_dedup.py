@@ -19,7 +19,8 @@ count, however many they are, and all lose the same lines.
 
 Null and empty texts are one empty line; an empty key is never common unless
 ``min_chars`` is 0. Rows with one ``doc_id`` are one document, rows without
-``doc_id`` are together one more. Other columns are kept as they are.
+``doc_id`` are together one more. Other columns are kept as they are, whatever
+their names (but for dots); ``n_lines`` and ``n_dropped`` are replaced.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockpond.llm.common import BLANKS, lower_ascii, map_rows, mix64, ranges
+from stockpond.llm.common import BLANKS, free_name, lower_ascii, map_rows, mix64, ranges
 from stockpond.session import stage
 
 _SEED = 42  # of xxhash64 in Spark
@@ -241,15 +242,17 @@ def drop_common_lines(index: LineIndex, docs: DataFrame, group_rows: int = 1 <<
     is the number of probed lines that one group of a task is made for.
     """
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    keys = _common_lines(index, docs, group_rows).withColumnRenamed("doc_id", "_id")
-    joined = docs.select(*columns).join(keys, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
-    ddl = joined.select(*columns).schema.toDDL() + ", n_lines bigint, n_dropped bigint"
+    given = docs.select(*columns)
+    ddl = given.schema.toDDL() + ", n_lines bigint, n_dropped bigint"
+    held_keys, other = free_name(columns, "_keys"), free_name(columns, "_id")
+    keys = _common_lines(index, docs, group_rows).select(F.col("doc_id").alias(other), F.col("_keys").alias(held_keys))
+    joined = given.join(keys, F.col("doc_id").eqNullSafe(F.col(other)), "left").drop(other)
 
     def make():
         def step(rows: dict[str, list]) -> dict[str, list]:
             out = {c: rows[c] for c in columns} | {"n_lines": [], "n_dropped": []}
             texts = []
-            for text, held in zip(rows["text"], rows["_keys"], strict=True):
+            for text, held in zip(rows["text"], rows[held_keys], strict=True):
                 lines = (text or "").split("\n")
                 kept = lines
                 if held:
