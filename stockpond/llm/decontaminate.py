@@ -79,13 +79,16 @@ def _blocks() -> Column:
 
 def leaks(
     docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, block_radius: int = 4,
-    broadcast_shingles: int = 2_000_000,
+    broadcast_shingles: int = 2_000_000, broadcast_windows: int = 1_000_000,
 ) -> DataFrame:
     """(doc_id, item_id, similarity): the best window of each document for each item it contains.
 
     ``broadcast_shingles``: up to so many different shingles (16 bytes each)
     the benchmark's index is sent to all executors; a larger one is joined by
-    a shuffle of the documents' shingles.
+    a shuffle of the documents' shingles. ``broadcast_windows``: up to so many
+    windows (16 bytes each) and documents with windows the list of windows is
+    sent to all executors; a longer one meets the texts by a shuffle. The texts
+    themselves are never broadcast, however small their files are.
     """
     radius = BLOCKS * block_radius + BLOCKS - 1
 
@@ -109,8 +112,10 @@ def leaks(
     windows = found.select("doc_id", "length", start.alias("start")).distinct()
     # Only documents with windows are cut again, and only the shingles inside windows are kept. Rows are dealt by
     # window, so one document full of windows does not stay in one task.
-    per_doc = windows.groupBy("doc_id").agg(F.collect_set(F.struct("length", "start")).alias("places"))
-    cut = texts.join(per_doc, "doc_id").select("doc_id", "places", shingles(F.col("text")).alias("s"))
+    per_doc = stage(windows.groupBy("doc_id").agg(F.collect_set(F.struct("length", "start")).alias("places")), "places")
+    listed = per_doc.agg(F.coalesce(F.sum(F.size("places")), F.lit(0))).first()[0]
+    side = F.broadcast(per_doc) if listed <= broadcast_windows else per_doc.hint("shuffle_hash")
+    cut = texts.join(side, "doc_id").select("doc_id", "places", shingles(F.col("text")).alias("s"))
     held = cut.select("doc_id", F.explode("places").alias("p"), "s").select(
         "doc_id", F.col("p.length").alias("length"), F.col("p.start").alias("start"),
         F.slice("s", F.col("p.start") + 1, F.col("p.length")).alias("s"))

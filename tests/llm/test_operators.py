@@ -482,6 +482,11 @@ def test_lines_against_brute_force_and_back(documents, odd):
     gone = line_dedup.remove_documents(index, docs)
     assert gone.counts.count() == 0
     assert line_dedup.dedup_lines(odd).count() == len(ODD) + 1
+    clashing = docs.withColumns({c: F.lit(c) for c in ("_keys", "_ID", "hi", "lo", "shard", "same")})
+    named = line_dedup.dedup_lines(clashing)
+    assert named.columns == [*clashing.columns, "n_lines", "n_dropped"]
+    assert {r["doc_id"]: r["text"] or "" for r in named.collect()} == kept
+    assert {(r["_keys"], r["_ID"], r["hi"]) for r in named.collect()} == {("_keys", "_ID", "hi")}
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
@@ -512,10 +517,30 @@ def test_leaks_against_brute_force(spark, documents, odd):
     assert sorted(r["doc_id"] for r in left.collect()) == [1, 3, 5, 6, 7]
     wide = decontaminate.leaks(documents(*enumerate(texts)), benchmark, broadcast_shingles=0)
     assert {(r["doc_id"], r["item_id"]) for r in wide.collect()} == found
+    dealt = decontaminate.leaks(documents(*enumerate(texts)), benchmark, broadcast_windows=0)
+    assert {(r["doc_id"], r["item_id"]) for r in dealt.collect()} == found
     assert decontaminate.leaks(odd, benchmark.limit(0)).count() == 0
     assert decontaminate.leaks(odd.limit(0), benchmark).count() == 0
 
 
+def test_leaks_in_odd_texts(spark, documents):
+    passage, noise = " ".join(words(3900, 40)), words(3901, 20_000)
+    long = " ".join([*noise[:12_000], passage, *noise[12_000:]])
+    rows = [*[(k, t) for k, t in enumerate(ODD)], (100, passage), (100, passage), (101, long), (None, passage), (102, None)]
+    docs = documents(*rows).withColumns({c: F.lit("mine") for c in ("s", "places", "window", "item", "h", "w", "length")})
+    benchmark = spark.createDataFrame(
+        [(1, passage, "a"), (1, passage, "b"), (2, None, "c"), (3, "", "d"), (None, passage, "e"), (4, "word " * 60, "f")],
+        "item_id bigint, text string, doc_id string")
+    # The text of 3,000 equal words holds the item of 60 of them.
+    repeated = ODD.index("word " * 3000)
+    assert sorted(decontaminate.leaks(docs, benchmark).select("doc_id", "item_id").collect(), key=str) == sorted(
+        [(100, 1), (100, None), (101, 1), (101, None), (repeated, 4)], key=str)
+    kept = decontaminate.clean_documents(docs, benchmark)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted(
+        [*[k for k in range(len(ODD)) if k != repeated], 102, None], key=str)
+
+
 def test_templated_leaks_against_brute_force(spark, documents):
     stem = words(3000, 100)
     items = [(k, " ".join([*stem, *words(3100 + k, 5)])) for k in range(120)]
