@@ -23,6 +23,8 @@ def valid_version(
     that it covers, between the first and the last year of the rows. So a row
     meets only the versions of its year, however long the history of a key is,
     and the rows of a hot key spread over the years.
+    Versions repeated per year are many times what the planner takes from the
+    size of the stored history, so they are never broadcast.
     """
     at, year = F.col(moment).cast("timestamp"), F.year(moment)
     bounds = rows.agg(F.min(year).alias("first"), F.max(year).alias("last"))
@@ -47,5 +49,5 @@ def valid_version(
     dated = rows.withColumns({"_at": at, "_row_year": F.coalesce(year, undated)})
     valid = F.when(F.col("_at").isNull(), F.col("_open")).otherwise(
         (F.col("_from").isNull() | (F.col("_at") >= F.col("_from"))) & (F.col("_open") | (F.col("_at") < F.col("_to"))))
-    found = dated.join(yearly, (F.col(key) == F.col("_key")) & (F.col("_row_year") == F.col("_year")) & valid)
+    found = dated.join(yearly.hint("merge"), (F.col(key) == F.col("_key")) & (F.col("_row_year") == F.col("_year")) & valid)
     return found.select(*[F.col(f"`{c}`") for c in rows.columns], *[F.col("_version")[c].alias(c) for c in columns])

@@ -7,6 +7,7 @@ import random
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from stockpond.operators import merge_history, valid_version
 from stockpond.plans import lake as runs
@@ -94,3 +95,16 @@ def test_keys_stay_and_sales_keep_their_versions(spark, lake):  # noqa: F811
     assert (fact["I4"].product_key, fact["I4"].cost_of_goods) == (dims["P1"], 6.0)
     keys = {r.customer_id: r.customer_key for r in read_layer(spark, lake.path("gold", "dim_customer")).collect()}
     assert keys == {"C1": 1, "C2": 2}
+
+
+def test_versions_are_not_broadcast_however_small_their_files(spark, plan_of, tmp_path):
+    """Repeated per year they are many times the size of the stored history, on the driver as well."""
+    spark.createDataFrame([("a", DAY, None, True, 1)], "k string, effective_from timestamp, effective_to timestamp, is_current boolean, id int").write.parquet(str(tmp_path / "h"))
+    history = spark.read.parquet(str(tmp_path / "h"))
+    spark.createDataFrame([("a", DAY, "x")], "k string, at timestamp, v string").write.parquet(str(tmp_path / "r"))
+    rows = spark.read.parquet(str(tmp_path / "r"))
+    plan = plan_of(valid_version(rows, history, "k", "at", ["id"]))
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    merged = merge_history(history.withColumn("v", F.lit("w")), rows, "k", "id", ["v"], "2021-01-01")
+    assert plan_of(merged).count("SortMergeJoin") >= 2
+    assert sorted((r.k, r.v, r.is_current) for r in merged.collect()) == [("a", "w", False), ("a", "x", True)]
