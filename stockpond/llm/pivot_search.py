@@ -6,7 +6,8 @@ vector x, each pivot p bounds their distance from below by
 ``|d(q, p) - d(x, p)|``; the largest of these bounds, L, gives
 ``q.x <= (|q|^2 + |x|^2 - L^2) / 2``. Candidates are evaluated in the order of
 this bound until it is below the k-th best score known, so nothing that could
-belong to the result is left out. A slack covers rounding of the distances;
+belong to the result is left out. Where the bounds leave much of a block, its
+scores come from one matrix product instead of vectors picked out one by one. A slack covers rounding of the distances;
 scores themselves are exact integers.
 
 Pivots are chosen farthest-first among ``sample`` vectors (the smallest hashes
@@ -97,25 +98,67 @@ class _Best:
         self.vec[rows] = np.take_along_axis(vec, order, axis=1)
 
 
-def search_block(best: _Best, q: np.ndarray, q_pivots: np.ndarray, ids: np.ndarray, x: np.ndarray,
-                 x_pivots: np.ndarray, step: int = 64) -> int:
-    """Bring the queries up to date with a block of vectors; returns how many scores were computed."""
-    lower = np.zeros((len(q), len(x)), np.float32)
-    for p in range(q_pivots.shape[1]):
-        gap = np.abs(q_pivots[:, p, None].astype(np.float32) - x_pivots[None, :, p].astype(np.float32))
+def _bounds(q: np.ndarray, q_pivots: np.ndarray, x: np.ndarray, x_pivots: np.ndarray) -> np.ndarray:
+    """What the pivots leave as the highest possible score of each query with each vector, rounded up."""
+    lower, gap = np.zeros((2, len(q), len(x)), np.float32)
+    q_far, x_far = q_pivots.astype(np.float32), x_pivots.astype(np.float32)
+    for p in range(q_far.shape[1]):
+        np.subtract(q_far[:, p, None], x_far[None, :, p], out=gap)
+        np.abs(gap, out=gap)
         np.maximum(lower, gap, out=lower)
-    norms = (q * q).sum(axis=1)[:, None] + (x * x).sum(axis=1)[None, :]
-    bound = ((norms - lower.astype(np.float64) ** 2) / 2 + norms * _SLACK + 1).astype(np.float32)
-    np.nextafter(bound, np.float32(np.inf), out=bound)
+    bound = (q * q).sum(axis=1)[:, None] + (x * x).sum(axis=1)[None, :]
+    bound *= 0.5 + _SLACK
+    bound += 1
+    np.multiply(lower, lower, out=gap)
+    bound -= 0.5 * gap.astype(np.float64)
+    bound = bound.astype(np.float32)
+    return np.nextafter(bound, np.float32(np.inf), out=bound)
+
+
+def _score_all(best: _Best, rows: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, bound: np.ndarray) -> int:
+    """Bring the query ``rows`` up to date by one product with the whole block, less what the bound rules out."""
+    score = q[rows] @ x.T
+    limit = best.limit()[rows]
+    score[(bound[rows] < limit[:, None]) | (bound[rows] == -np.inf)] = -np.inf
+    if score.shape[1] > 4 * best.k:
+        # Below the k-th of the block nothing counts; what equals it stays, as ties go by the ids.
+        many = np.flatnonzero((score >= limit[:, None]).sum(axis=1) > 4 * best.k)
+        limit[many] = np.maximum(limit[many], np.partition(score[many], -best.k, axis=1)[:, -best.k])
+    hits = (score >= limit[:, None]) & (score > -np.inf)
+    count = hits.sum(axis=1)
+    some = np.flatnonzero(count)
+    if len(some):
+        row, column = np.nonzero(hits[some])
+        count = count[some]
+        place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        value = np.full((len(some), count.max()), -np.inf)
+        vec = np.full(value.shape, np.iinfo(np.int64).max)
+        value[row, place], vec[row, place] = score[some][row, column], ids[column]
+        best.add(rows[some], value, vec)
+    return score.size
+
+
+def search_block(best: _Best, q: np.ndarray, q_pivots: np.ndarray, ids: np.ndarray, x: np.ndarray,
+                 x_pivots: np.ndarray, step: int = 64, dense: float = 0.0625) -> int:
+    """Bring the queries up to date with a block of vectors; returns how many scores were computed.
+
+    A query whose bounds leave more than the share ``dense`` of the block gets
+    its scores by one product, which costs less than to pick the vectors out.
+    The others meet vectors in the order of their bound until the exact stop.
+    """
+    bound = _bounds(q, q_pivots, x, x_pivots)
     bound[best.ids[:, None] == ids[None, :]] = -np.inf  # a query is not its own candidate
-    order = np.argsort(-bound, axis=1)
-    computed, live, at = 0, np.arange(len(q)), 0
+    left = ((bound >= best.limit()[:, None]) & (bound > -np.inf)).sum(axis=1)
+    full, live = np.flatnonzero(left > dense * len(x)), np.flatnonzero((left > 0) & (left <= dense * len(x)))
+    computed, at = _score_all(best, full, q, ids, x, bound) if len(full) else 0, 0
+    order = np.argsort(-bound[live], axis=1)
+    place = np.arange(len(live))
     while at < len(x) and len(live):
-        cut = order[live, at: at + step]
+        cut = order[place, at: at + step]
         # The bounds fall along a row: if the first of this step is below the k-th score, so are all that follow.
         first = bound[live, cut[:, 0]]
         going = (first >= best.limit()[live]) & (first > -np.inf)
-        live, cut = live[going], cut[going]
+        live, place, cut = live[going], place[going], cut[going]
         if not len(live):
             break
         score = np.einsum("rd,rcd->rc", q[live], x[cut])

@@ -250,6 +250,24 @@ def test_top_k_against_brute_force(spark):
     assert pivot_search.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_blocks_by_product_and_by_bound_agree():
+    """Ties at the last place, few vectors, equal vectors and clusters; a block that is left whole is one product."""
+    rng = np.random.default_rng(5)
+    for n, spread in ((700, 0), (700, 400), (15, 0), (1, 0)):
+        x = np.floor(rng.normal(size=(n, 8)) * 3) + spread * rng.integers(-1, 2, size=(n, 1))
+        x[: n // 3] = x[0]
+        ids = rng.permutation(n).astype(np.int64)
+        q, own = x[::5], ids[::5]
+        far = [pivot_search._distances(v, x[:4]) for v in (q, x)]
+        exact = [sorted((-int(a @ v), int(i)) for v, i in zip(x, ids) if i != o)[:20] for a, o in zip(q, own)]
+        for dense in (0.0, 0.0625, 1.0):
+            best = pivot_search._Best(own, 20)
+            for a in range(0, n, 150):
+                pivot_search.search_block(best, q, far[0], ids[a: a + 150], x[a: a + 150], far[1][a: a + 150], dense=dense)
+            got = [[(-int(s), int(v)) for s, v in zip(*row) if s > -np.inf] for row in zip(best.score, best.vec)]
+            assert got == exact
+
+
 # 4. Secrets
 
 
