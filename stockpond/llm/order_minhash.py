@@ -28,7 +28,7 @@ k-mer Jaccard similarity of 0.67.
 4. A pair is verified by an alignment in a band that doubles until it holds
    the distance or passes the limit. A member that the leader refused may still
    be near to one that it accepted: unless they are in one class already, the two
-   meet by the k-mers that they share and the leader lacks, as they must have some.
+   meet by their rarest k-mers, of which they must share one.
 5. Classes are the connected components of the verified pairs.
 
 Null texts, and texts without words, are classes of their own. Repeated
@@ -320,6 +320,14 @@ def _rare_buckets(texts: DataFrame, similarity: float) -> DataFrame:
     as long as it is the same for all texts. Rare ones first makes small buckets.
     """
 
+    held = stage(_labels(texts), "labelled")
+    counted = held.join(held.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "bucket")
+    return _rarest(counted, similarity).where("n > 1").select("bucket", "id", "size")
+
+
+def _labels(texts: DataFrame) -> DataFrame:
+    """(id, size, bucket): each labelled k-mer of each text (rep, size, kmers)."""
+
     def make():
         def step(rows: dict[str, list]) -> dict[str, list]:
             made = [labelled(k.view(np.uint64)).view(np.int64) for k in rows["kmers"]]
@@ -329,12 +337,14 @@ def _rare_buckets(texts: DataFrame, similarity: float) -> DataFrame:
 
     kind = dict(texts.dtypes)["rep"]
     made = map_rows(texts, make, f"id {kind}, size int, buckets array<bigint>", rows=256)
-    held = stage(made.select("id", "size", F.explode("buckets").alias("bucket")), "labelled")
-    counted = held.join(held.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "bucket")
+    return made.select("id", "size", F.explode("buckets").alias("bucket"))
+
+
+def _rarest(counted: DataFrame, similarity: float) -> DataFrame:
+    """Of labelled k-mers (id, size, bucket, n), those of each text with the smallest ``n`` that near duplicates must share."""
     rarest = Window.partitionBy("id").orderBy("n", "bucket")
     wanted = F.floor((1 - similarity) * F.col("size") + 1e-9) + 1
-    return counted.withColumn("place", F.row_number().over(rarest)).where(
-        (F.col("place") <= wanted) & (F.col("n") > 1)).select("bucket", "id", "size")
+    return counted.withColumn("place", F.row_number().over(rarest)).where(F.col("place") <= wanted).drop("place")
 
 
 def near_pairs(given: DataFrame, sketched: DataFrame, members: DataFrame, similarity: float, few: int) -> DataFrame:
@@ -388,32 +398,6 @@ def near_pairs(given: DataFrame, sketched: DataFrame, members: DataFrame, simila
     return links.unionByName(_across(rounds, links, texts, similarity)).distinct()
 
 
-def _novel(met: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, m, linked, size, common, novel): the labelled k-mers that ``m`` has and its leader ``a`` has not.
-
-    ``common`` is the number of those that both have.
-    """
-    one = texts.select(F.col("rep").alias("a"), F.col("kmers").alias("x"))
-    two = texts.select(F.col("rep").alias("m"), F.col("kmers").alias("y"))
-
-    def make():
-        def step(rows: dict[str, list]) -> dict[str, list]:
-            out: dict[str, list] = {"a": rows["a"], "m": rows["m"], "linked": rows["linked"], "size": rows["size"],
-                                    "common": [], "novel": []}
-            for x, y in zip(rows["x"], rows["y"], strict=True):
-                own = labelled(y.view(np.uint64))
-                novel = own[~np.isin(own, labelled(x.view(np.uint64)))].view(np.int64)
-                out["common"].append(len(own) - len(novel))
-                out["novel"].append(novel)
-            return out
-
-        return step
-
-    kind = dict(met.dtypes)["a"]
-    return map_rows(met.join(one, "a").join(two, "m").select("a", "m", "linked", "size", "x", "y"), make,
-                    f"a {kind}, m {kind}, linked boolean, size int, common int, novel array<bigint>", rows=128)
-
-
 def _across(rounds: list[DataFrame], links: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Links between members that a leader accepted and members that it refused, where there may be some.
 
@@ -422,12 +406,10 @@ def _across(rounds: list[DataFrame], links: DataFrame, texts: DataFrame, similar
     left is first joined by bridges: of each class that a leader refused, the
     member whose size is outside those accepted, by the least, meets the largest
     or the smallest of them. Texts of one repeated word are such a chain of sizes.
-    Then a refused member x and an accepted member y of the
-    leader a have to share k-mers that a has not: near duplicates have
-    ``least`` = max(|x|, |y|) - limit in common, of which at most
-    min(|x & a|, |y & a|) are of a. So they meet by these k-mers, of which x may
-    leave out the most frequent ``least`` - |x & a| - 1. Only texts that are so much
-    shorter than their leader, or in another order, that nothing new need be shared meet without.
+    Then the members still refused meet the accepted members of their leaders by
+    their rarest labelled k-mers, as in ``_rare_buckets``: near duplicates have
+    one of these in common, whatever the order. Rare is what few refused members
+    have. A text is cut into its k-mers once, however many leaders refused it.
     """
     every = rounds[0]
     for more in rounds[1:]:
@@ -452,53 +434,72 @@ def _across(rounds: list[DataFrame], links: DataFrame, texts: DataFrame, similar
             "root", F.coalesce("root_m", "m")).where(F.coalesce("root_a", "a") != F.col("root")).select(
             "a", "m", "size", "outside", "end", "root")
 
-    tried = apart(stage(components(links), "first-classes")).where("outside > 0").groupBy("a", "root", F.col("end").alias("y")).agg(
+    first = stage(components(links), "first-classes")
+    tried = apart(first).where("outside > 0").groupBy("a", "root", F.col("end").alias("y")).agg(
         F.min_by("m", F.struct("outside", "m")).alias("x"))
     pair = F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
     bridges = stage(_verified(tried.select(*pair).distinct(), texts, similarity), "bridges").where("linked").select("a", "b")
-    joined = links.unionByName(bridges)
-    refused = stage(apart(stage(components(joined), "bridged-classes")).select(
-        "a", "m", "size", F.lit(False).alias("linked")), "refused")
+    classes = stage(components(bridges, first), "bridged-classes")
+    refused = stage(apart(classes).select("a", F.col("m").alias("rep")).distinct(), "refused")
     if refused.isEmpty():
         return bridges
-    wanted = accepted.select("a", "m", "size", "linked").join(refused.select("a").distinct(), "a", "left_semi")
-    novel = stage(_novel(refused.unionByName(wanted), texts), "novel")
-
-    ours = novel.where(~F.col("linked")).select(
-        "a", F.col("m").alias("x"), F.col("size").alias("size_x"), F.col("common").alias("common_x"), "novel",
-        (F.col("size") - limit(F.col("size")) - F.col("common")).alias("need"))
-    theirs = novel.where("linked").select(
-        "a", F.col("m").alias("y"), F.col("size").alias("size_y"), F.col("common").alias("common_y"), "novel")
-    offered = stage(theirs.select("a", "y", "size_y", F.explode("novel").alias("kmer")), "offered")
-    held = offered.groupBy("a", "kmer").agg(F.count(F.lit(1)).alias("n"))
-    # K-mers that no accepted member has come first in the order, so only the others are numbered, from the back.
-    back = Window.partitionBy("a", "x").orderBy(F.desc("n"), "kmer")
-    asked = ours.select("a", "x", "size_x", "need", F.explode("novel").alias("kmer")).join(held, ["a", "kmer"]).withColumn(
-        "place", F.row_number().over(back)).where(F.col("place") >= F.col("need")).select("a", "kmer", "x", "size_x")
+    asking = refused.select("rep").distinct()
+    offering = accepted.join(refused.select("a").distinct(), "a", "left_semi").select(F.col("m").alias("rep")).distinct()
+    asked = stage(_labels(texts.join(asking, "rep", "left_semi")), "asked")
+    held = asked.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    asked = _rarest(asked.join(held, "bucket"), similarity)
+    # K-mers that no refused member has come first, and lead to no pair.
+    offered = _rarest(_labels(texts.join(offering, "rep", "left_semi")).join(held, "bucket", "left").withColumn(
+        "n", F.coalesce("n", F.lit(0))), similarity).where("n > 0")
+
+    def with_class(side: DataFrame, end: str) -> DataFrame:
+        return side.join(classes, "id", "left").select(
+            "bucket", F.col("id").alias(end), F.col("size").alias(f"size_{end}"), F.coalesce("root", "id").alias(f"root_{end}"))
+
     longer = F.greatest("size_x", "size_y")
-    fits = F.abs(F.col("size_x") - F.col("size_y")) <= limit(longer)
-    sharing = asked.join(offered, ["a", "kmer"]).where(fits).select(*pair)
-    without = ours.where("need <= 0").drop("novel").join(theirs.drop("novel"), "a").where(
-        fits & (longer - limit(longer) <= F.least("common_x", "common_y"))).select(*pair)
-    found = stage(sharing.unionByName(without).distinct(), "met-across")
+    fits = (F.col("root_x") != F.col("root_y")) & (F.abs(F.col("size_x") - F.col("size_y")) <= limit(longer))
+    found = stage(with_class(asked, "x").join(with_class(offered, "y"), "bucket").where(fits).select(*pair).distinct(),
+                  "met-across")
     more = stage(_verified(found, texts, similarity), "across").where("linked").select("a", "b")
     return bridges.unionByName(more)
 
 
-def components(pairs: DataFrame) -> DataFrame:
-    """(id, root): the smallest id that each id of the pairs is connected with."""
-    both = stage(pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
-                 "edges")
-    roots = stage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")).withColumnRenamed("a", "id"), "roots")
+def components(pairs: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(id, root): the smallest id that each id of the pairs is connected with.
+
+    ``known`` are the components of pairs that count as well; of ``pairs``, only
+    those between two of them are looked at again. Each round joins every id to
+    its smallest neighbour, follows these to their ends, and goes on with the
+    pairs that are left between different ends, so pairs are read few times.
+    """
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    if known is None:
+        roots, edges = ids.select("id", F.col("id").alias("root")), pairs.select("a", "b")
+    else:
+        roots = stage(ids.join(known, "id", "outer").select("id", F.coalesce("root", "id").alias("root")), "roots")
+        edges = _between(pairs, roots)
     while True:
-        across = both.join(roots.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("root").alias("other"))
-        lower = roots.join(across, roots.id == across.a).select("id", "root", F.least("root", "other").alias("next"))
-        jump = roots.select(F.col("id").alias("next"), F.col("root").alias("far"))
-        moved = stage(lower.join(jump, "next", "left").select(
-            "id", F.coalesce(F.least("next", "far"), "next").alias("root"), F.col("root").alias("was")), "roots")
-        if moved.where(F.col("root") != F.col("was")).isEmpty():
-            return moved.select("id", "root")
-        roots = moved.select("id", "root")
+        edges = stage(edges.where(F.col("a") != F.col("b")).select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+        if edges.isEmpty():
+            return roots
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        ends = stage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")).withColumnRenamed("a", "id"), "ends")
+        while True:
+            moved = stage(ends.join(ends.select(F.col("id").alias("root"), F.col("root").alias("far")), "root").select(
+                "id", F.col("far").alias("root"), F.col("root").alias("was")), "ends")
+            ends = moved.select("id", "root")
+            if moved.where(F.col("root") != F.col("was")).isEmpty():
+                break
+        roots = stage(roots.join(ends.select(F.col("id").alias("root"), F.col("root").alias("end")), "root", "left").select(
+            "id", F.coalesce("end", "root").alias("root")), "roots")
+        edges = _between(edges, ends)
+
+
+def _between(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs with the root of each id in its place."""
+    left, right = (roots.select(F.col("id").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b"))
+    return edges.join(left, "a").join(right, "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
 
 
 def classes(docs: DataFrame, similarity: float = 0.8, sketches: int = 40, picks: int = 6) -> DataFrame:

@@ -201,6 +201,72 @@ def test_links_across_are_those_of_all_pairs(spark):
     assert {x for x in far if any(x in p for p in across)} >= wanted
 
 
+def test_refused_texts_are_cut_once_however_many_leaders_refused_them(spark, monkeypatch):
+    draw = random.Random(31)
+    leaders = [words(5000, 100) for _ in range(6)]
+    for k, text in enumerate(leaders):
+        text[5 * k] = f"lead{k}"
+    accepted = [[*text[:90], *words(5100 + k, 8)] for k, text in enumerate(leaders)]
+    refused = []
+    for k in range(5):  # near to an accepted text, beyond the limit of every leader
+        copy = list(accepted[k])
+        for place in (35, 50):
+            copy[place] = f"other{draw.randrange(10**6)}"
+        refused.append(copy)
+    texts = leaders + accepted + refused
+    kmers = [order_minhash.kmer_hashes(t) for t in texts]
+
+    def distance(a: int, b: int) -> tuple[int, bool]:
+        limit = int(0.2 * max(len(kmers[a]), len(kmers[b])) + 1e-9)
+        found = order_minhash.banded_distance(kmers[a], kmers[b], limit)
+        return found, found <= limit
+
+    star = [(a, b, len(kmers[b]), *distance(a, b)) for a in range(6) for b in (6 + a, *range(12, 17))]
+    assert all(r[4] == (r[1] < 12) for r in star)
+    rounds = [spark.createDataFrame(star, "a bigint, b bigint, size int, distance int, linked boolean")]
+    held = spark.createDataFrame([(k, len(v), v.view("int64").tolist()) for k, v in enumerate(kmers)],
+                                 "rep bigint, size int, kmers array<bigint>")
+    rows, keep = {}, order_minhash.stage
+
+    def counted(df, label):
+        kept = keep(df, label)
+        rows[label] = kept.count()
+        return kept
+
+    monkeypatch.setattr(order_minhash, "stage", counted)
+    across = {(r.a, r.b) for r in order_minhash._across(rounds, rounds[0].where("linked").select("a", "b"), held, 0.8).collect()}
+    assert {(6 + k, 12 + k) for k in range(5)} <= across and all(distance(a, b)[1] for a, b in across)
+    assert rows["refused"] == 30 and rows["asked"] == sum(len(kmers[k]) for k in range(12, 17))
+
+
+def test_components_of_pairs_and_of_known_components(spark, monkeypatch):
+    draw = random.Random(37)
+    pairs = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 130)]
+    pairs += [(draw.randrange(200, 300), draw.randrange(200, 300)) for _ in range(60)]
+    later = [(40, 129), (7, 3), (250, 251), (400, 399), (301, 120)]
+    rows, keep = [], order_minhash.stage
+
+    def counted(df, label):
+        kept = keep(df, label)
+        rows.append((label, kept.count()))
+        return kept
+
+    def by_hand(pairs):
+        root = {k: k for p in pairs for k in p}
+        for a, b in pairs:
+            low, high = sorted((root[a], root[b]))
+            root = {k: low if r == high else r for k, r in root.items()}
+        return root
+
+    monkeypatch.setattr(order_minhash, "stage", counted)
+    known = order_minhash.components(spark.createDataFrame(pairs, "a bigint, b bigint"))
+    assert {r.id: r.root for r in known.collect()} == by_hand(pairs)
+    rows.clear()
+    found = order_minhash.components(spark.createDataFrame(later, "a bigint, b bigint"), known)
+    assert {r.id: r.root for r in found.collect()} == by_hand(pairs + later)
+    assert max(n for label, n in rows if label == "edges") <= len(later)
+
+
 def test_near_texts_share_a_rare_bucket(spark):
     draw = random.Random(11)
     passage, texts = words(7, 50), []
