@@ -363,7 +363,8 @@ def near_pairs(given: DataFrame, sketched: DataFrame, members: DataFrame, simila
     members = _ordered(own.select(F.col("rep").alias("id"), "size", F.explode("buckets").alias("bucket")))
     # What is near to a text of under ``few`` k-mers has no more than this.
     short = stage(own.where(F.col("size") <= few / similarity).select("rep"), "short")
-    wanted = members.select(F.col("id").alias("rep")).unionByName(short).distinct().join(chosen, "rep")
+    # As a written table its size is known, so that the texts need no shuffle where these ids are few.
+    wanted = stage(members.select(F.col("id").alias("rep")).unionByName(short).distinct().join(chosen, "rep"), "wanted")
     texts = given.join(wanted, F.col("doc_id") == F.col("rep")).select(
         "rep", "text", F.col("r1").alias("k1"), F.col("r2").alias("k2")).distinct()
     texts = stage(_kmers(texts), "kmers")

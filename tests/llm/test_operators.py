@@ -267,6 +267,21 @@ def test_components_of_pairs_and_of_known_components(spark, monkeypatch):
     assert max(n for label, n in rows if label == "edges") <= len(later)
 
 
+def test_texts_read_again_are_chosen_by_a_written_table(documents, monkeypatch):
+    base = words(6000, 60)
+    texts = [base, [*base[:-1], "last"], *(words(6100 + k, 60) for k in range(30))]
+    rows, keep = {}, order_minhash.stage
+
+    def counted(df, label):
+        kept = keep(df, label)
+        rows[label] = sorted(r[0] for r in kept.select("rep").collect()) if label == "wanted" else None
+        return kept
+
+    monkeypatch.setattr(order_minhash, "stage", counted)
+    found = {r["doc_id"]: r["class_id"] for r in order_minhash.classes(documents(*enumerate(map(" ".join, texts)))).collect()}
+    assert found == {k: 0 if k == 1 else k for k in range(32)} and rows["wanted"] == [0, 1]
+
+
 def test_near_texts_share_a_rare_bucket(spark):
     draw = random.Random(11)
     passage, texts = words(7, 50), []
