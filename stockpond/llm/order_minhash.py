@@ -254,6 +254,16 @@ def _kmers(texts: DataFrame) -> DataFrame:
     return map_rows(texts, make, f"rep {kind}, size int, kmers array<bigint>", rows=256)
 
 
+def _texts_of(given: DataFrame, wanted: DataFrame, broadcast_ids: int = 500_000) -> DataFrame:
+    """(rep, text, k1, k2): the texts of ``given`` (doc_id, text) for ``wanted`` (rep, r1, r2), a written table.
+
+    Up to ``broadcast_ids`` ids (32 bytes each) go to the texts, which are not shuffled then; more of them meet by a shuffle.
+    """
+    side = F.broadcast(wanted) if wanted.count() <= broadcast_ids else wanted
+    return given.join(side, F.col("doc_id") == F.col("rep")).select(
+        "rep", "text", F.col("r1").alias("k1"), F.col("r2").alias("k2")).distinct()
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """(a, b, distance, linked) of pairs (a, b); without a link, ``distance`` is a lower bound."""
     one = texts.select(F.col("rep").alias("a"), F.col("kmers").alias("x"))
@@ -363,11 +373,8 @@ def near_pairs(given: DataFrame, sketched: DataFrame, members: DataFrame, simila
     members = _ordered(own.select(F.col("rep").alias("id"), "size", F.explode("buckets").alias("bucket")))
     # What is near to a text of under ``few`` k-mers has no more than this.
     short = stage(own.where(F.col("size") <= few / similarity).select("rep"), "short")
-    # As a written table its size is known, so that the texts need no shuffle where these ids are few.
     wanted = stage(members.select(F.col("id").alias("rep")).unionByName(short).distinct().join(chosen, "rep"), "wanted")
-    texts = given.join(wanted, F.col("doc_id") == F.col("rep")).select(
-        "rep", "text", F.col("r1").alias("k1"), F.col("r2").alias("k2")).distinct()
-    texts = stage(_kmers(texts), "kmers")
+    texts = stage(_kmers(_texts_of(given, wanted)), "kmers")
     rounds: list[DataFrame] = []
     tested = None
     dealt = False

@@ -119,14 +119,31 @@ def hadoop_path(spark: SparkSession, path: str):
     return jpath, jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
+@contextmanager
+def shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
+    """Spark removes the shuffle files of the jobs started here as each ends, not when the driver happens to collect garbage.
+
+    For jobs whose result is written: a plan that is run again makes its shuffles anew.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 
     The result no longer depends on the plan that made it, so it stays the
     same however often it is read and whichever executors are lost, and its
-    file sizes give the planner true statistics.
+    file sizes give the planner true statistics. The shuffles that made it are
+    removed at once.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    with shuffle_cleanup(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from pathlib import Path
 
 import pytest
@@ -12,7 +13,7 @@ from stockpond.contracts import LakeConfig, QualityLimits, source_table
 from stockpond.plans import lake as runs
 from stockpond.plans.bronze import ingest_table
 from stockpond.quality import DataQualityError
-from stockpond.session import hadoop_path, input_bytes, scratch_path, shared_folder, shuffle_sizing
+from stockpond.session import hadoop_path, input_bytes, scratch_path, shared_folder, shuffle_sizing, stage
 from stockpond.sources import is_empty_source, path_exists, read_files, read_layer, read_raw, refresh_partitions, register_table, write_table
 from stockpond.streaming import ingest_new_files
 
@@ -298,3 +299,23 @@ def test_shuffles_fit_the_input(spark, tmp_path):
             assert "hashpartitioning(id#" in plan and f", {number})" in plan
         assert spark.conf.get(name) == before
     assert input_bytes(spark, [spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int")]) == 0
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles() -> set[int]:
+        files = blocks.getAllFiles()
+        names = [files.apply(k).getName() for k in range(files.size())]
+        return {int(n.split("_")[1]) for n in names if n.startswith("shuffle_")}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, last = spark.conf.get(name, None), max(shuffles(), default=-1)
+    grouped = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    for _ in range(2):  # the plan may be run again
+        assert {r["k"]: r["count"] for r in stage(grouped, "grouped").collect()} == {k: 143 if k < 6 else 142 for k in range(7)}
+    deadline = time.monotonic() + 20
+    while max(shuffles(), default=-1) > last and time.monotonic() < deadline:  # files are removed in the background
+        time.sleep(0.1)
+    assert max(shuffles(), default=-1) <= last
+    assert spark.conf.get(name, None) in (before, "false")
