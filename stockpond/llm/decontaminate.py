@@ -77,6 +77,26 @@ def _blocks() -> Column:
     return F.inline(F.array(*[F.struct(F.lit(k).alias("block"), F.col(f"f{k}").alias("value")) for k in range(BLOCKS)]))
 
 
+def _within_radius(window_prints: DataFrame, item_prints: DataFrame, block_radius: int, broadcast_prints: int = 20_000) -> DataFrame:
+    """Windows, a written table, with the items whose fingerprint is within the radius; a pair once for each block that finds it.
+
+    The index of items holds every value within ``block_radius`` bits of a
+    block: with 4 bits 10,068 rows an item, which the planner takes for one.
+    So it is never broadcast. Up to ``broadcast_prints`` windows (four rows of
+    72 bytes each) are sent to it, more of them meet it by sorted shuffles.
+    """
+    radius = BLOCKS * block_radius + BLOCKS - 1
+    flips = [str(m) for m in range(1 << BLOCK_BITS) if m.bit_count() <= block_radius]
+    masks = F.split(F.lit(",".join(flips)), ",").cast("array<int>")  # a constant of the plan
+    prints = [F.col(f"f{k}").alias(f"i{k}") for k in range(BLOCKS)]
+    index = item_prints.select("item", "length", *prints, _blocks()).withColumn("mask", F.explode(masks)).withColumn(
+        "value", F.col("value").bitwiseXOR(F.col("mask"))).drop("mask")
+    asked = window_prints.select("window", "length", *[f"f{k}" for k in range(BLOCKS)], _blocks())
+    away = sum((F.bit_count(F.col(f"i{k}").bitwiseXOR(F.col(f"f{k}"))) for k in range(BLOCKS)), F.lit(0))
+    side = F.broadcast(asked) if window_prints.count() <= broadcast_prints else asked.hint("merge")
+    return side.join(index, ["length", "block", "value"]).where(away <= radius)
+
+
 def leaks(
     docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, block_radius: int = 4,
     broadcast_shingles: int = 2_000_000, broadcast_windows: int = 1_000_000,
@@ -90,8 +110,6 @@ def leaks(
     sent to all executors; a longer one meets the texts by a shuffle. The texts
     themselves are never broadcast, however small their files are.
     """
-    radius = BLOCKS * block_radius + BLOCKS - 1
-
     items = benchmark.select("item_id", shingles(F.col("text")).alias("s")).where(F.size("s") > 0).select(
         F.xxhash64("s").alias("item"), "item_id", F.size("s").alias("length"), "s")
     distinct = items.select("item", "length", "s").dropDuplicates(["item"])  # repeated items are matched once
@@ -133,18 +151,12 @@ def leaks(
 
     # 2. Fingerprints.
     root = F.sqrt("mass").alias("root")
-    window_prints = window_rows.select("window", "length", "h", root).groupBy("window", "length").agg(*_fingerprint("h", "root"))
+    window_prints = stage(
+        window_rows.select("window", "length", "h", root).groupBy("window", "length").agg(*_fingerprint("h", "root")), "prints")
     item_prints = item_counts.select("item", "length", "h", root).groupBy("item", "length").agg(*_fingerprint("h", "root"))
 
-    # 3. The index of items holds every value within block_radius bits of a block.
-    flips = [str(m) for m in range(1 << BLOCK_BITS) if m.bit_count() <= block_radius]
-    masks = F.split(F.lit(",".join(flips)), ",").cast("array<int>")  # a constant of the plan
-    prints = [F.col(f"f{k}").alias(f"i{k}") for k in range(BLOCKS)]
-    index = item_prints.select("item", "length", *prints, _blocks()).withColumn("mask", F.explode(masks)).withColumn(
-        "value", F.col("value").bitwiseXOR(F.col("mask"))).drop("mask")
-    asked = window_prints.select("window", "length", *[f"f{k}" for k in range(BLOCKS)], _blocks())
-    away = sum((F.bit_count(F.col(f"i{k}").bitwiseXOR(F.col(f"f{k}"))) for k in range(BLOCKS)), F.lit(0))
-    near = asked.join(index, ["length", "block", "value"]).where(away <= radius).select("window", "item").distinct()
+    # 3. The index of items.
+    near = _within_radius(window_prints, item_prints, block_radius).select("window", "item").distinct()
 
     # 4. Exact weighted Jaccard similarity: the shared mass over the mass of both without it.
     near = stage(near, "near-windows")

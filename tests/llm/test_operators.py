@@ -282,6 +282,20 @@ def test_texts_read_again_are_chosen_by_a_written_table(documents, monkeypatch):
     assert found == {k: 0 if k == 1 else k for k in range(32)} and rows["wanted"] == [0, 1]
 
 
+def test_texts_meet_few_ids_without_a_shuffle_of_their_own(spark, documents):
+    given = documents(*((k, f"text {k}") for k in range(50)), (7, "other"), (7, "text 7")).select("doc_id", "text")
+    wanted = order_minhash.stage(spark.createDataFrame([(7, 1, 2), (9, 3, 4)], "rep bigint, r1 bigint, r2 bigint"), "wanted")
+    for few in (0, 500_000):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for ids of more than the threshold
+        try:
+            texts = order_minhash._texts_of(given, wanted, few)
+            plan = texts._jdf.queryExecution().executedPlan().toString()
+            assert sorted(tuple(r) for r in texts.collect()) == [(7, "other", 1, 2), (7, "text 7", 1, 2), (9, "text 9", 3, 4)]
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert ("BroadcastHashJoin" in plan) == bool(few)
+
+
 def test_near_texts_share_a_rare_bucket(spark):
     draw = random.Random(11)
     passage, texts = words(7, 50), []
@@ -622,6 +636,22 @@ def test_leaks_against_brute_force(spark, documents, odd):
     assert decontaminate.leaks(odd.limit(0), benchmark).count() == 0
 
 
+@pytest.mark.parametrize("few", [0, 20_000])
+def test_the_index_of_items_is_never_broadcast(spark, few):
+    """A few items are thousands of index rows, while the planner takes the side with the smaller files for the smaller one."""
+    draw = random.Random(5)
+    rows = [(k, 20, *(draw.randrange(1 << 16) for _ in range(4))) for k in range(2000)]
+    near = [(5000 + k, 20, *(f ^ 1 << k + 3 for f in rows[k][2:])) for k in range(5)]  # one bit of each block away
+    columns = "{0} bigint, length int, f0 int, f1 int, f2 int, f3 int"
+    windows = decontaminate.stage(spark.createDataFrame(rows + near, columns.format("window")), "prints")
+    items = decontaminate.stage(spark.createDataFrame(rows[:5], columns.format("item")), "items")
+    found = decontaminate._within_radius(windows, items, 1, few).select("window", "item").distinct()
+    assert {tuple(r) for r in found.collect()} == {(k, k) for k in range(5)} | {(5000 + k, k) for k in range(5)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join [" in line]
+    assert joins and all(("BroadcastHashJoin" in j and "BuildLeft" in j) if few else "SortMergeJoin" in j for j in joins)
+
+
 def test_leaks_in_odd_texts(spark, documents):
     passage, noise = " ".join(words(3900, 40)), words(3901, 20_000)
     long = " ".join([*noise[:12_000], passage, *noise[12_000:]])
