@@ -38,25 +38,26 @@ Null texts, and texts without words, are classes of their own. Repeated
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockpond.llm.common import BLANKS, map_rows, mix64
+from stockpond.llm.common import map_rows, mix64
 from stockpond.session import stage
 
 K = 5
 _BASE = 0x9E3779B97F4A7C15
-_CUT = str.maketrans(dict.fromkeys(BLANKS, " "))
 
 
-def kmer_hashes(words: list[str]) -> np.ndarray:
+def kmer_hashes(words: list[bytes] | list[str]) -> np.ndarray:
     """64-bit hashes of five words in a row, in order; of all words, if there are fewer."""
     import xxhash
 
     if not words:
         return np.zeros(0, np.uint64)
-    each = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
+    each = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     size = max(1, len(each) - K + 1)
     out = np.zeros(size, np.uint64)
     for j in range(min(K, len(each))):
@@ -66,6 +67,9 @@ def kmer_hashes(words: list[str]) -> np.ndarray:
 
 def occurrence_labels(kmers: np.ndarray) -> np.ndarray:
     """How many equal k-mers stand before each."""
+    ordered = np.sort(kmers)
+    if not (ordered[1:] == ordered[:-1]).any():
+        return np.zeros(len(kmers), np.int64)
     order = np.argsort(kmers, kind="stable")
     ordered = kmers[order]
     first = np.r_[True, ordered[1:] != ordered[:-1]]
@@ -80,23 +84,42 @@ def labelled(kmers: np.ndarray) -> np.ndarray:
     return mix64(kmers + occurrence_labels(kmers).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def sketch(kmers: np.ndarray, sketches: int, picks: int, cells: int = 1 << 21) -> np.ndarray:
+def _smallest(ranks: np.ndarray, keep: int) -> np.ndarray:
+    """The places of the ``keep`` smallest numbers of each row, in order."""
+    rows, width = ranks.shape
+    if width <= keep:
+        return np.tile(np.arange(width), (rows, 1))
+    last = np.partition(ranks, keep - 1, axis=1)[:, keep - 1:keep]
+    found = np.flatnonzero(ranks <= last)
+    if len(found) == rows * keep:
+        return found.reshape(rows, keep) - (np.arange(rows) * width)[:, None]
+    places = np.argpartition(ranks, keep - 1, axis=1)[:, :keep]  # numbers equal to the last one
+    places.sort(axis=1)
+    return places
+
+
+@functools.cache
+def _seeds(first: int, last: int) -> np.ndarray:
+    return mix64(np.arange(first, last, dtype=np.uint64))
+
+
+def sketch(kmers: np.ndarray, sketches: int, picks: int, cells: int = 1 << 16) -> np.ndarray:
     """One 64-bit number per sketch."""
     labels = labelled(kmers)
     keep = min(picks, len(labels))
     out = np.empty(sketches, np.uint64)
     step = max(1, cells // len(labels))
     for first in range(0, sketches, step):
-        seeds = mix64(np.arange(first + 1, min(sketches, first + step) + 1, dtype=np.uint64))
+        seeds = _seeds(first + 1, min(sketches, first + step) + 1)
         # An odd multiplier and a shift per sketch: a random order of the labelled k-mers.
-        ranks = (labels[None, :] * (seeds[:, None] | np.uint64(1)) + (seeds[:, None] >> np.uint64(7))) >> np.uint64(1)
+        ranks = labels[None, :] * (seeds[:, None] | np.uint64(1))
+        ranks += seeds[:, None] >> np.uint64(7)
+        ranks >>= np.uint64(1)
         ranks ^= ranks >> np.uint64(29)
-        places = np.argpartition(ranks, keep - 1, axis=1)[:, :keep] if keep < len(labels) else (
-            np.tile(np.arange(keep), (len(seeds), 1)))
-        places.sort(axis=1)  # the order of the text
         value = seeds.copy()
-        for column in places.T:
-            value = value * np.uint64(_BASE) + kmers[column]
+        for column in kmers[_smallest(ranks, keep).T]:  # in the order of the text
+            value *= np.uint64(_BASE)
+            value += column
         out[first: first + len(seeds)] = mix64(value)
     return out
 
@@ -183,16 +206,16 @@ def _bag_bound(a: np.ndarray, b: np.ndarray) -> int:
     return max(len(a), len(b)) - int(np.minimum(left, counts - left).sum())
 
 
-def words_of(text: str) -> list[str]:
-    """The lower-cased words between ASCII blanks."""
-    return [w for w in text.lower().translate(_CUT).split(" ") if w]
+def words_of(text: str) -> list[bytes]:
+    """The lower-cased words between ASCII blanks, in UTF-8."""
+    return text.lower().encode("utf-8", "surrogatepass").split()  # bytes are cut at ASCII blanks only
 
 
-def _key(words: list[str]) -> np.ndarray:
+def _key(words: list[bytes]) -> np.ndarray:
     """128 bits of a text's words, as two numbers."""
     import xxhash
 
-    return np.frombuffer(xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass")), np.int64)
+    return np.frombuffer(xxhash.xxh3_128_digest(b" ".join(words)), np.int64)
 
 
 def _sketched(given: DataFrame, sketches: int, picks: int) -> DataFrame:

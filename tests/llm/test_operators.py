@@ -97,6 +97,19 @@ def test_banded_distance_against_brute_force():
         assert order_minhash.banded_distance(x, y, limit) == min(edits(a, b), limit + 1)
 
 
+def test_sketches_take_the_smallest_ranks_and_words_are_cut_at_ascii_blanks():
+    draw = np.random.default_rng(3)
+    for width, top in ((3, 9), (6, 9), (7, 1 << 62), (300, 1 << 62), (300, 40)):  # with and without equal ranks
+        ranks = draw.integers(0, top, (40, width)).astype(np.uint64)
+        places = order_minhash._smallest(ranks, min(6, width))
+        assert (np.diff(places, axis=1) > 0).all()
+        taken = np.take_along_axis(ranks, places, axis=1)
+        assert (np.sort(taken, axis=1) == np.sort(ranks, axis=1)[:, :6]).all()
+    kmers = order_minhash.kmer_hashes([str(k % 70) for k in range(400)])
+    assert (order_minhash.sketch(kmers, 40, 6) == order_minhash.sketch(kmers, 40, 6, cells=64)).all()
+    assert order_minhash.words_of("A\x1cb\x85c\u00a0d \x0b\x0cE\r\nÄ") == ["a\x1cb\x85c\u00a0d".encode(), b"e", "ä".encode()]
+
+
 def test_classes_against_all_pairs(documents):
     draw = random.Random(5)
     passage = words(99, 40)  # in many documents that are not alike
