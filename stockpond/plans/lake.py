@@ -90,7 +90,8 @@ def run_silver(
     the existing silver table; otherwise the table is rebuilt. The merge
     rewrites only the buckets of the keys that arrived, except for tables whose
     rows depend on the day of the run. Shuffles are sized by the bronze files
-    that are read.
+    that are read. Rows are written by the tasks that deduplicated them, so
+    they are shuffled once.
     """
     return {table: _silver_table(spark, lake, table, as_of, processing_date) for table in tables}
 
@@ -108,13 +109,15 @@ def _silver_table(spark, lake, table, as_of, processing_date) -> WriteReport | N
     silver, key = build_silver(table, bronze, as_of), source_table(table).key
     if not processing_date or not path_exists(spark, target):
         with shuffle_sizing(spark, [bronze]):
-            return replace_buckets(silver, target, key, lake.silver_buckets)
+            return replace_buckets(silver, target, key, lake.silver_buckets, gather=False)
     version, existing = current_version(spark, target), read_layer(spark, target)
     if version is None or not version.buckets or table in DAILY_CHANGING:
         with shuffle_sizing(spark, [bronze, existing]):
-            return replace_buckets(merge_silver(table, existing, silver, as_of), target, key, lake.silver_buckets)
+            merged = merge_silver(table, existing, silver, as_of)
+            return replace_buckets(merged, target, key, lake.silver_buckets, gather=False)
     with scratch_scope(spark), shuffle_sizing(spark, [bronze, existing]):
-        return merge_buckets(target, silver, lambda existing, arrivals: merge_silver(table, existing, arrivals, as_of))
+        return merge_buckets(
+            target, silver, lambda existing, arrivals: merge_silver(table, existing, arrivals, as_of), gather=False)
 
 
 def run_key_gate(

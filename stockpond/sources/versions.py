@@ -139,31 +139,36 @@ def bucket_of(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
-def _write_buckets(df: DataFrame, root: str, key: str, buckets: int) -> tuple[WriteReport, dict[str, str]]:
+def _write_buckets(df: DataFrame, root: str, key: str, buckets: int, gather: bool) -> tuple[WriteReport, dict[str, str]]:
     folder = f"write-{uuid.uuid4().hex}"
-    written = write_table(df.withColumn(BUCKET, bucket_of(key, buckets)), f"{root}/{folder}", partition_by=[BUCKET])
+    written = write_table(df.withColumn(BUCKET, bucket_of(key, buckets)), f"{root}/{folder}", partition_by=[BUCKET], gather=gather)
     path, fs = hadoop_path(df.sparkSession, f"{root}/{folder}")
     names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
     return written, {n.split("=", 1)[1]: f"{folder}/{n}" for n in names if n.startswith(f"{BUCKET}=")}
 
 
-def replace_buckets(df: DataFrame, path: str, key: str, buckets: int) -> WriteReport:
-    """Make ``df`` the next version of a table in ``buckets`` buckets of ``key``."""
+def replace_buckets(df: DataFrame, path: str, key: str, buckets: int, gather: bool = True) -> WriteReport:
+    """Make ``df`` the next version of a table in ``buckets`` buckets of ``key``.
+
+    ``gather=False`` leaves out the shuffle that brings a bucket together, for
+    rows that come out of a shuffle: each task then writes a file per bucket.
+    """
     spark, root = df.sparkSession, path.rstrip("/")
     before = current_version(spark, root)
-    written, folders = _write_buckets(df, root, key, buckets)
+    written, folders = _write_buckets(df, root, key, buckets, gather)
     number = before.number + 1 if before else 1
     _commit(spark, root, before, Version(number, folders, df.schema, buckets, key))
     return written
 
 
 def merge_buckets(
-    path: str, arrivals: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]
+    path: str, arrivals: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], gather: bool = True
 ) -> WriteReport:
     """Merge rows into a bucketed table: ``merge(existing rows of their buckets, arrivals)`` replaces these buckets.
 
     ``merge`` must keep rows in the bucket of their key, as it does if it
-    decides key by key. The report counts the rows of the rewritten buckets.
+    decides key by key. The report counts the rows of the rewritten buckets;
+    ``gather`` is as in ``replace_buckets``.
     """
     spark, root = arrivals.sparkSession, path.rstrip("/")
     before = current_version(spark, root)
@@ -172,7 +177,7 @@ def merge_buckets(
     arrivals = stage(arrivals, "arrivals")  # read for its buckets, and again for its rows
     touched = [str(r[0]) for r in arrivals.select(bucket_of(before.key, before.buckets)).distinct().collect()]
     merged = merge(_rows(spark, root, before, touched), arrivals)
-    written, folders = _write_buckets(merged, root, before.key, before.buckets)
+    written, folders = _write_buckets(merged, root, before.key, before.buckets, gather)
     if not set(folders) <= set(touched):
         raise ValueError("the merge moved rows to other buckets")
     kept = {b: f for b, f in before.folders.items() if b not in touched}

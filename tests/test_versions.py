@@ -199,3 +199,24 @@ def test_one_day_is_listed_alone(spark, tmp_path, plan_of):
     assert read_layer(spark, path, "2030-01-01").isEmpty()
     _, fs = hadoop_path(spark, path)
     assert fs.exists(hadoop_path(spark, path)[0])
+
+
+def test_silver_rows_are_shuffled_once(spark, tmp_path, bronze, plan_of, monkeypatch):
+    """The tasks that deduplicate a table write its buckets, in a rebuild and in a merge of a day."""
+    lake, plans, plain = LakeConfig(str(tmp_path), silver_buckets=4), [], versions.write_table
+
+    def spy(df, path, **options):
+        gathered = df.hint("rebalance", versions.BUCKET) if options.get("gather", True) else df
+        plans.append(plan_of(gathered))
+        return plain(df, path, **options)
+
+    monkeypatch.setattr(versions, "write_table", spy)
+    for day in (1, 2):
+        rows = bronze("orders", *[{"order_id": f"O{k}", "status": f"day {day}"} for k in range(day, 40 * day)])
+        write_table(rows.withColumn("_ingestion_date", F.lit(f"2024-03-0{day}").cast("date")),
+                    lake.path("bronze", "orders"), mode="append", partition_by=["_ingestion_date"])
+        runs.run_silver(spark, lake, ["orders"], processing_date=f"2024-03-0{day}")
+    assert len(plans) == 2 and not any("REBALANCE" in text for text in plans)
+    found = dict(read_layer(spark, lake.path("silver", "orders")).select("order_id", "status").collect())
+    assert len(found) == 79 and found["O1"] == "day 1" and {found[f"O{k}"] for k in range(2, 80)} == {"day 2"}
+    assert current_version(spark, lake.path("silver", "orders")).buckets == 4
