@@ -255,7 +255,7 @@ def drop_common_lines(index: LineIndex, docs: DataFrame, group_rows: int = 1 <<
             for text, held in zip(rows["text"], rows[held_keys], strict=True):
                 lines = (text or "").split("\n")
                 kept = lines
-                if held:
+                if held is not None:  # an array where each document of the slice has common keys, else a list
                     common = set(held)
                     kept = [x for x in lines if _signed(x.strip(BLANKS).translate(_UPPER)) not in common]
                 texts.append(text if len(kept) == len(lines) else "\n".join(kept))

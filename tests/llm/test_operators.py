@@ -616,6 +616,16 @@ def test_lines_against_brute_force_and_back(documents, odd):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_lines_where_every_document_loses_some(documents):
+    rows = [(k, f"own {k}\nfirst shared\n SECOND shared \nfirst shared\nthird shared") for k in range(40)]
+    docs = documents(*rows)
+    kept = line_dedup.dedup_lines(docs.coalesce(1)).collect()
+    assert {r["doc_id"]: r["text"] for r in kept} == plain_lines(rows, 10) == {k: f"own {k}" for k in range(40)}
+    assert {(r["n_lines"], r["n_dropped"]) for r in kept} == {(5, 4)}
+    copies = documents(*[(k, "one line\nof copies") for k in range(12)])
+    assert {(r["text"], r["n_dropped"]) for r in line_dedup.dedup_lines(copies).collect()} == {("", 2)}
+
+
 def test_cuckoo_filter():
     hashes = np.random.default_rng(6).integers(-(1 << 62), 1 << 62, 5000)
     held = line_dedup.CuckooFilter.sized(5000)
