@@ -54,6 +54,15 @@ def test_copies_leave_one(spark, documents, tmp_path):
     assert left == {*range(11), 100}
 
 
+def test_every_document_loses_several_lines(spark, documents):
+    shared = "this line stands in all documents\nand so does this one"
+    body = {k: " ".join(words(800 + k, 12)) for k in range(15)}
+    rows = [(k, f"{text}\n{shared}", "en") for k, text in body.items()] + [(90, shared, "en")]
+    left = corpus_pipeline.drop_repeated_lines(spark, documents(*rows), "").collect()
+    assert {r["doc_id"]: r["text"] for r in left} == body
+    assert all(r["n_chars"] == len(r["text"]) for r in left)
+
+
 def test_empty_table(spark, documents, tmp_path):
     documents((1, "x", "en")).limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
